@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, sstable
+from tessera.llm import bpe, simhash, sstable, warc
 from tessera.session import ship_package
 
 
@@ -20,13 +20,37 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, vocabulary_path(), outputs=("digests",))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return simhash.groups(docs).select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return sstable.read_shards(sstable.write_shards(docs, vocabulary_path()), outputs=("crc32",))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op4_token_shards": op4_token_shards}
-ORACLES: dict[str, str] = {}
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc.read_archives(warc.write_archives(pages))
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op3_simhash": op3_simhash, "op4_token_shards": op4_token_shards, "op9_warc": op9_warc}
+
+ORACLES: dict[str, str] = {
+    "op9_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), w AS (
+            SELECT payload_digest, payload_bytes, max(page_id) AS chosen FROM p WHERE payload_bytes >= 1000 GROUP BY ALL
+        )
+        SELECT p.page_id, p.payload_bytes, p.payload_digest,
+               CASE WHEN w.chosen IS NULL OR w.chosen = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN w.chosen <> p.page_id THEN w.chosen END AS refers_to
+        FROM p LEFT JOIN w ON p.payload_digest = w.payload_digest AND p.payload_bytes = w.payload_bytes
+    """,
+}
 
 
 def queries() -> dict:
