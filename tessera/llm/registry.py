@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, simhash, sstable, warc
+from tessera.llm import bpe, rotation, simhash, sstable, templates, warc
 from tessera.session import ship_package
 
 
@@ -30,14 +30,47 @@ def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.read_shards(sstable.write_shards(docs, vocabulary_path()), outputs=("crc32",))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    return templates.contaminated(docs, items)
+
+
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotation.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return warc.read_archives(warc.write_archives(pages))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_simhash": op3_simhash, "op4_token_shards": op4_token_shards, "op9_warc": op9_warc}
+QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op3_simhash": op3_simhash,
+    "op4_token_shards": op4_token_shards,
+    "op5_decontamination": op5_decontamination,
+    "op7_embeddings": op7_embeddings,
+    "op9_warc": op9_warc,
+}
 
 ORACLES: dict[str, str] = {
+    "op7_embeddings": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), l AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+        ), r AS (
+            SELECT vec_id AS x, vec_id AS y FROM embeddings
+            UNION
+            SELECT r.x, l.y FROM r JOIN l ON r.y = l.x
+        ), c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x), n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+        SELECT c.x AS vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, c.x = c.component_id AS kept
+        FROM c LEFT JOIN n ON n.x = c.x
+    """,
     "op9_warc": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
