@@ -2,7 +2,7 @@
 
 Both sides are cut into tokens at white space, without the punctuation around them. Numbers, names
 and units become typed placeholders; all other tokens are lower-cased. A name is a capitalised
-token that does not begin a sentence; a unit is a known unit after a number, or a number written
+token, not all in capitals, that does not begin a sentence; a unit is a known unit after a number, or a number written
 together with one, which gives two tokens. Windows of five template tokens are joined by their
 hash. A document's windows that meet an item on one diagonal (document position less item
 position) form one alignment; it counts only if its slots are consistent: each slot value of the
@@ -49,11 +49,12 @@ def classify(chunk: str) -> tuple[int, str, str | None]:
             unit = m[1] if m[1] and m[1].lower() in UNITS else None
             if unit or not m[1]:
                 return NUMBER, core[: len(core) - len(unit or "")], unit
-    return (NAME if core[0].isupper() else WORD), core.lower(), None
+    return (NAME if core[0].isupper() and any(c.islower() for c in core) else WORD), core.lower(), None
 
 
-def canonical(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """Template tokens of a batch: (document of each, hash, kind, index of its value, values)."""
+def canonical(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Template tokens of a batch: (document of each, hash, kind, index of its value, values, whether
+    it would be a name if it did not begin its sentence)."""
     offsets, chunks, codes = chunk_codes(texts)
     kinds, hashes, values, units, ends = [], [], [], {}, []
     words = chunks.to_pylist()
@@ -92,13 +93,14 @@ def canonical(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     opens = (seen - seen[begins] == 0) if len(code) else np.zeros(0, bool)
     doc, code, opens = doc[real], code[real], opens[real]
     k = kind[code]
-    k = np.where((k == NAME) & opens, WORD, k)
+    named = (k == NAME) & opens
+    k = np.where(named, WORD, k)
     after_number = np.concatenate(([False], (k[:-1] == NUMBER) & (doc[1:] == doc[:-1]))) if len(k) else np.zeros(0, bool)
     k = np.where(after_number & is_unit[code], UNIT, np.where(k == UNIT, np.where(after_number, UNIT, WORD), k))
     h = plain[code]
     for place, value in _PLACE.items():
         h = np.where(k == place, np.uint64(value), h)
-    return doc, h, k, code, pa.array(values, pa.string())
+    return doc, h, k, code, pa.array(values, pa.string()), named
 
 
 def windows(doc: np.ndarray, h: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,13 +117,14 @@ def windows(doc: np.ndarray, h: np.ndarray, k: np.ndarray) -> tuple[np.ndarray,
     return at, w[at]
 
 
-_SLOTS = pa.list_(pa.struct([("kind", pa.int8()), ("value", pa.string())]))
 _SCHEMA = "k {}, position long, whash long, slots array<struct<kind:tinyint,value:string>>"
 
 
-def template_windows(texts: DataFrame, key: str, text: str, keep=None) -> DataFrame:
+def template_windows(texts: DataFrame, key: str, text: str, keep=None, embedded: bool = False) -> DataFrame:
     """(k, position, whash, slots) of every window, or of those that `keep`, a broadcast bit field
-    over the low bits of the hash, lets through; positions count from the document's first token."""
+    over the low bits of the hash, lets through; positions count from the document's first token.
+    With `embedded` the first window comes twice if its first token would be a name in the middle of
+    another text's sentence."""
     ship_package(texts.sparkSession)
     source = texts.select(F.col(key).alias("k"), F.col(text).alias("text"))
 
@@ -129,19 +132,27 @@ def template_windows(texts: DataFrame, key: str, text: str, keep=None) -> DataFr
         bits = None if keep is None else np.frombuffer(keep.value, np.uint8)
         for batch in batches:
             for part in slices(batch, "text"):
-                doc, h, kind, code, values = canonical(part.column("text"))
-                at, w = windows(doc, h, kind)
-                if bits is not None:
-                    low = (w & np.uint64(8 * len(bits) - 1)).astype(np.int64)
-                    hit = (bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1 > 0
-                    at, w = at[hit], w[hit]
+                doc, h, kind, code, values, named = canonical(part.column("text"))
                 start = np.searchsorted(doc, np.arange(part.num_rows))
-                inside = at[:, None] + np.arange(WINDOW)[None, :]
-                slot = kind[inside] != WORD
-                chosen = inside[slot]
-                offsets = np.concatenate(([0], np.cumsum(slot.sum(axis=1))))
-                slots = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(kind[chosen], pa.int8()), values.take(pa.array(code[chosen]))], names=["kind", "value"]))
-                yield pa.RecordBatch.from_arrays([part.column("k").take(pa.array(doc[at])), pa.array(at - start[doc[at]], pa.int64()), pa.array(w.view(np.int64)), slots], names=["k", "position", "whash", "slots"])
+                sets = [(h, kind, None)]
+                if embedded:
+                    named &= np.concatenate(([True], doc[1:] != doc[:-1]))[: len(doc)]
+                    sets.append((np.where(named, np.uint64(_PLACE[NAME]), h), np.where(named, NAME, kind), named))
+                for hashed, kinds, only in sets:
+                    at, w = windows(doc, hashed, kinds)
+                    if only is not None:
+                        at, w = at[only[at]], w[only[at]]
+                    if bits is not None:
+                        low = (w & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+                        hit = (bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1 > 0
+                        at, w = at[hit], w[hit]
+                    inside = at[:, None] + np.arange(WINDOW)[None, :]
+                    slot = kinds[inside] != WORD
+                    chosen = inside[slot]
+                    offsets = np.concatenate(([0], np.cumsum(slot.sum(axis=1))))
+                    pairs = pa.StructArray.from_arrays([pa.array(kinds[chosen], pa.int8()), values.take(pa.array(code[chosen]))], names=["kind", "value"])
+                    slots = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
+                    yield pa.RecordBatch.from_arrays([part.column("k").take(pa.array(doc[at])), pa.array(at - start[doc[at]], pa.int64()), pa.array(w.view(np.int64)), slots], names=["k", "position", "whash", "slots"])
 
     return source.mapInArrow(run, _SCHEMA.format(source.schema["k"].dataType.simpleString()))
 
@@ -165,7 +176,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, ke
     """
     spark = docs.sparkSession
     ship_package(spark)
-    items = materialise(template_windows(benchmark, item_key, item_text), "items").withColumnsRenamed({"k": "item_id", "position": "item_position", "slots": "item_slots"})
+    items = materialise(template_windows(benchmark, item_key, item_text, embedded=True), "items").withColumnsRenamed({"k": "item_id", "position": "item_position", "slots": "item_slots"})
     total = items.groupBy("item_id").agg(F.countDistinct("item_position").alias("windows"))
     keep = spark.sparkContext.broadcast(bit_field(items.select("whash").distinct()))
     hits = template_windows(docs, key, text, keep).join(items, "whash")
