@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, rotation, simhash, sstable, templates, warc
+from tessera.llm import bpe, languages, rotation, simhash, sstable, templates, warc
 from tessera.session import ship_package
 
 
@@ -39,6 +39,13 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotation.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    names, model = languages.fit(docs.where(~languages.held_out()))
+    found = languages.identify(docs, names, model)
+    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score", "languages", "proportions")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return warc.read_archives(warc.write_archives(pages))
@@ -50,6 +57,7 @@ QUERIES = {
     "op4_token_shards": op4_token_shards,
     "op5_decontamination": op5_decontamination,
     "op7_embeddings": op7_embeddings,
+    "op8_languages": op8_languages,
     "op9_warc": op9_warc,
 }
 
