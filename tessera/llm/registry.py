@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import bpe, languages, rotation, simhash, sstable, templates, warc
+from tessera.llm import bpe, interpolation, languages, rotation, simhash, sstable, templates, warc
 from tessera.session import ship_package
 
 
@@ -35,6 +36,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.contaminated(docs, items)
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return interpolation.score(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1)
+
+
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotation.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -56,6 +62,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_token_shards": op4_token_shards,
     "op5_decontamination": op5_decontamination,
+    "op6_language_model": op6_language_model,
     "op7_embeddings": op7_embeddings,
     "op8_languages": op8_languages,
     "op9_warc": op9_warc,
