@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, interpolation, languages, rotation, simhash, sstable, templates, warc
+import corpus_pipeline
+from tessera.llm import blocks, bpe, cotraining, interpolation, languages, rotation, simhash, sstable, templates, warc
 from tessera.session import ship_package
 
 
@@ -21,6 +22,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, vocabulary_path(), outputs=("digests",))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return simhash.groups(docs).select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -57,8 +62,14 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(pages))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return cotraining.score(docs, cotraining.fit(docs, labels))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_main_text": op2_main_text,
     "op3_simhash": op3_simhash,
     "op4_token_shards": op4_token_shards,
     "op5_decontamination": op5_decontamination,
@@ -66,6 +77,8 @@ QUERIES = {
     "op7_embeddings": op7_embeddings,
     "op8_languages": op8_languages,
     "op9_warc": op9_warc,
+    "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
@@ -113,4 +126,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return dict(ORACLES)
+    return ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
