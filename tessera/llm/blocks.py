@@ -449,11 +449,31 @@ def trained(pages: int = PAGES, epochs: int = EPOCHS, seed: int = SEED) -> Label
     return net
 
 
+def trained_in_task(spark) -> Labeller:
+    """trained(), computed in one Spark task: there numpy keeps to one thread, which is quicker for
+    matrices this small and gives the same weights everywhere. Kept by the driver."""
+    key = (PAGES, EPOCHS, SEED)
+    if key not in _TRAINED:
+        import pickle
+
+        ship_package(spark)
+
+        def run(batches):
+            import pandas as pd
+
+            for _ in batches:
+                pass
+            yield pd.DataFrame({"net": [pickle.dumps(trained())]})
+
+        _TRAINED[key] = pickle.loads(spark.range(1).coalesce(1).mapInPandas(run, "net binary").first()["net"])
+    return _TRAINED[key]
+
+
 def extract(pages: DataFrame, key: str = "page_id", html: str = "html", extra: tuple[str, ...] = ("url",), net: Labeller | None = None) -> DataFrame:
     """(key, extra columns, text, n_chars, n_blocks, n_kept) of every page. Nothing is shuffled."""
     spark = pages.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(net or trained())
+    shared = spark.sparkContext.broadcast(net or trained_in_task(spark))
     source = pages.select(F.col(key).alias("k"), *[F.col(c).alias(f"x{i}") for i, c in enumerate(extra)], F.col(html).alias("html"))
     kept = ["k", *[f"x{i}" for i in range(len(extra))]]
 
