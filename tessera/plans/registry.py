@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from tessera.plans import relational, retrieval, textual
+
 
 def _modules():
-    return []
+    return [relational, textual, retrieval]
 
 
 def queries() -> dict:
