@@ -84,6 +84,7 @@ def chunk_metrics(predictions: DataFrame, gold: DataFrame, query_key: str, doc:
         precision = sum(any(h) for h in hit) / len(kept) if kept else 0.0
         return pd.DataFrame({query_key: [key[0]], "precision": [precision], "recall": [sum(any(h[i] for h in hit) for i in range(len(refs))) / len(refs)]})
 
+    gold = gold.toDF(*gold.columns)  # fresh names, as both sides may come from one table
     rows = predictions.groupBy(query_key).cogroup(gold.groupBy(query_key)).applyInPandas(judge, f"{query_key} {t}, precision double, recall double")
     return rows.withColumn("f2", f2(F.col("precision"), F.col("recall")))
 

@@ -308,11 +308,11 @@ def metric_drift(spark, sf_dir):
     return C.drift(mean(d), mean(d.where("doc_id % 2 = 0")), "metric", "value", 0.02)
 
 
-@query("SELECT user_id, CAST(ts + INTERVAL 7 HOUR AS DATE) AS day, count(*) AS used, greatest(0, 3 - count(*)) AS left_today FROM events WHERE event_type = (SELECT min(event_type) FROM events) GROUP BY 1, 2")
+@query("SELECT user_id, CAST(CAST(ts + INTERVAL 7 HOUR AS DATE) AS VARCHAR) AS day, count(*) AS used, greatest(0, 3 - count(*)) AS left_today FROM events WHERE event_type = (SELECT min(event_type) FROM events) GROUP BY 1, 2")
 def journal_budget(spark, sf_dir):
     e = read(spark, sf_dir, "events")
     kind = e.agg(F.min("event_type").alias("event_type"))
-    day = F.to_date(F.from_utc_timestamp(F.col("ts").cast("timestamp"), "+07:00"))
+    day = F.to_date(F.from_utc_timestamp(F.col("ts").cast("timestamp"), "+07:00")).cast("string")
     return e.join(F.broadcast(kind), "event_type").groupBy("user_id", day.alias("day")).agg(F.count("*").alias("used"), F.greatest(F.lit(0), 3 - F.count("*")).alias("left_today"))
 
 

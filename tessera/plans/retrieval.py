@@ -81,10 +81,11 @@ def language_fan_out(spark, sf_dir):
     return R.by_language(read(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", ["en", "de"]).groupBy("partition").agg(F.count("*").alias("n"))
 
 
-@query("WITH g(entry, alias) AS (VALUES (1, 'the of'), (1, 'and'), (2, 'with'), (2, 'den'), (3, 'zzzz')), w AS (SELECT item_id, ' ' || array_to_string(" + TOKENS.format("text") + ", ' ') || ' ' AS t FROM benchmark), h AS (SELECT DISTINCT item_id, entry FROM w JOIN g ON contains(t, ' ' || alias || ' ')) SELECT item_id, list_sort(list_distinct(list(alias))) AS aliases FROM h JOIN g USING (entry) GROUP BY 1")
+@query("WITH g(entry, alias) AS (VALUES (1, 'the of'), (1, 'and'), (2, 'with'), (2, 'den'), (3, 'zzzz')), w AS (SELECT item_id, ' ' || array_to_string(" + TOKENS.format("text") + ", ' ') || ' ' AS t FROM benchmark), h AS (SELECT DISTINCT item_id, entry FROM w JOIN g ON contains(t, ' ' || alias || ' ')) SELECT item_id, array_to_string(list_sort(list_distinct(list(alias))), '|') AS aliases FROM h JOIN g USING (entry) GROUP BY 1")
 def alias_enrichment(spark, sf_dir):
     glossary = spark.createDataFrame([(1, "the of"), (1, "and"), (2, "with"), (2, "den"), (3, "zzzz")], "entry int, alias string")
-    return R.with_aliases(read(spark, sf_dir, "benchmark"), "item_id", "text", glossary)
+    found = R.with_aliases(read(spark, sf_dir, "benchmark"), "item_id", "text", glossary)
+    return found.withColumn("aliases", F.array_join("aliases", "|"))
 
 
 @query("""WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) SELECT 'null_vector' AS "check", (SELECT count(*) FROM e WHERE v IS NULL) AS violations UNION ALL SELECT 'wrong_dimension', (SELECT count(*) FROM e WHERE len(v) <> 64)
@@ -108,7 +109,7 @@ def cosine_topk(spark, sf_dir):
 @query(f"WITH {SEARCH}, u AS (SELECT query_id, e.label AS doc_id, score FROM hits h JOIN embeddings e USING (vec_id)) SELECT query_id, doc_id, max(score) AS score FROM u GROUP BY 1, 2")
 def maxp_documents(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings")
-    pairs = _vector_queries(spark, sf_dir).select("query_id", F.col("embedding").alias("q")).join(F.broadcast(e.select("vec_id", "label", "embedding")) if False else e.select("vec_id", "label", "embedding"), F.lit(True))
+    pairs = _vector_queries(spark, sf_dir).select("query_id", F.col("embedding").alias("q")).join(e.select("vec_id", "label", F.col("embedding")), F.lit(True))
     scored = pairs.select("query_id", F.col("label").alias("doc_id"), F.round(R.dot(F.col("q"), F.col("embedding")), 6).alias("score"))
     return R.max_per_document(scored, ["query_id", "doc_id"])
 

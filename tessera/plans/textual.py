@@ -133,8 +133,8 @@ def span_slices_integrity(spark, sf_dir):
 
 
 @query("""WITH l AS (SELECT doc_id, length(text) AS n, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i, string_split(text, chr(10))[3] AS h, text FROM documents),
-    p AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM l),
-    a AS (SELECT doc_id, n, at + length(line) - length(ltrim(line)) AS start_char, trim(line) AS heading_text FROM p WHERE trim(line) <> '' AND trim(line) = trim(h)),
+    p AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM l),
+    a AS (SELECT doc_id, n, pos + length(line) - length(ltrim(line)) AS start_char, trim(line) AS heading_text FROM p WHERE trim(line) <> '' AND trim(line) = trim(h)),
     s AS (SELECT * FROM a UNION ALL SELECT doc_id, length(text), 0, '' FROM documents d WHERE length(text) > 0 AND NOT EXISTS (SELECT 1 FROM a WHERE a.doc_id = d.doc_id AND a.start_char = 0))
     SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY start_char) - 1 AS section_index, heading_text, CAST(start_char AS BIGINT) AS start_char, CAST(coalesce(lead(start_char) OVER (PARTITION BY doc_id ORDER BY start_char), n) AS BIGINT) AS end_char FROM s""")
 def heading_sections(spark, sf_dir):
