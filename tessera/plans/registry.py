@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.plans import relational, retrieval, textual
+from tessera.plans import pipelines, relational, retrieval, textual
 
 
 def _modules():
-    return [relational, textual, retrieval]
+    return [relational, textual, retrieval, pipelines]
 
 
 def queries() -> dict:
