@@ -114,7 +114,7 @@ def exact_topk(queries: DataFrame, vectors: DataFrame, k: int, query_key: str =
         return reduce(DataFrame.unionByName, [exact_topk(p, vectors, k, query_key, key, vector, total, digits) for p in parts])
     got = rows.toArrow()
     ids = got.column(query_key).to_pylist()
-    matrix = np.array(got.column(vector).to_pylist(), np.float64).reshape(len(ids), -1)
+    matrix = np.array(got.column(vector).to_pylist(), np.float64).reshape(len(ids), -1) if ids else np.zeros((0, 1))
     shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
     qt, vt = (queries.schema[query_key].dataType.simpleString(), vectors.schema[key].dataType.simpleString())
 
@@ -127,9 +127,12 @@ def exact_topk(queries: DataFrame, vectors: DataFrame, k: int, query_key: str =
             m = np.array(batch.column(1).to_pylist(), np.float64)
             s = np.concatenate([best_s, np.round(q @ m.T, digits)], axis=1)
             keys = np.concatenate([best_k, np.tile(np.array(batch.column(0).to_pylist(), object), (len(names), 1))], axis=1)
-            order = np.lexsort((keys[0].astype(float) if len(names) == 1 else keys.astype(float), -s), axis=1)[:, :k]
+            place = np.unique(keys, return_inverse=True)[1].reshape(keys.shape)  # keys of any type, by order
+            order = np.lexsort((place, -s), axis=1)[:, :k]
             best_s, best_k = np.take_along_axis(s, order, 1), np.take_along_axis(keys, order, 1)
         n = best_s.shape[1]
+        if not n:
+            return
         yield pa.RecordBatch.from_pydict({query_key: [x for x in names for _ in range(n)], key: best_k.ravel().tolist(), "score": best_s.ravel()})
 
     local = vectors.select(key, vector).mapInArrow(run, f"{query_key} {qt}, {key} {vt}, score double")
