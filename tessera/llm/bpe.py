@@ -193,7 +193,7 @@ class Vocabulary:
     def merge_words_library(self, words: list[str]) -> list[tuple[int, ...]]:
         """The same by the library's own model."""
         run, ints, names = self.library.model.tokenize, self.ints, self.symbols
-        return [tuple([ints[t.id] for t in run(w if w.isascii() else "".join([names[b] for b in w.encode("utf-8")]))]) for w in words]
+        return [tuple([ints[t.id] for t in run(w if w.isascii() and w.isprintable() else "".join([names[b] for b in w.encode("utf-8")]))]) for w in words]
 
     def encode_chunks(self, chunks: list[str], by_library: bool = False) -> list[tuple[int, ...]]:
         """The ids of each chunk; a chunk is free of ASCII white space.
