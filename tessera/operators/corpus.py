@@ -38,8 +38,9 @@ def url_inventory(links: DataFrame, key: str = "id", url: str = "url") -> DataFr
 
 
 def domain_ranks(inventory: DataFrame) -> DataFrame:
-    """Population and rank of each domain; one row a domain, so the global window is narrow."""
-    return group_count(inventory, "domain", name="population").withColumn("domain_rank", F.row_number().over(Window.orderBy(F.desc("population"), "domain")))
+    """Population of each domain, and its rank by population and name; no global window."""
+    counted = group_count(inventory, "domain", name="population")
+    return positions(counted, [F.desc("population"), F.asc("domain")], "domain_rank").withColumn("domain_rank", F.col("domain_rank") + 1)
 
 
 def with_strata(inventory: DataFrame, top: int = 30, medium: int = 300) -> DataFrame:
@@ -134,17 +135,18 @@ def fingerprints_agree(prints: DataFrame, key: str, tag: str = "origin") -> Data
     return prints.groupBy(key).agg(F.count_distinct(tag).alias("origins"), F.count_distinct("digest", "rows").alias("versions")).where((F.col("origins") > 1) & (F.col("versions") > 1))
 
 
-def positions(ids: DataFrame, key: str, name: str = "position", partitions: int | None = None) -> DataFrame:
-    """Dense positions from 0 in ascending order of key, without bringing all rows to one task.
+def positions(rows: DataFrame, order, name: str = "position", partitions: int | None = None) -> DataFrame:
+    """Dense positions from 0 in the given order, without bringing all rows to one task.
 
-    Ids are dealt by range and numbered within their partition; the offsets are a running sum over
-    one count a partition.
+    order: a column or a list of them, a total order. Rows are dealt by range and numbered within
+    their partition; the offsets are a running sum over one count a partition.
     """
     from tessera.session import shuffle_partitions
 
-    n = partitions or shuffle_partitions(ids.sparkSession)
-    dealt = ids.repartitionByRange(n, key).withColumn("__p", F.spark_partition_id())
-    local = dealt.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(key)))
+    keys = order if isinstance(order, list) else [order]
+    n = partitions or shuffle_partitions(rows.sparkSession)
+    dealt = rows.repartitionByRange(n, *keys).withColumn("__p", F.spark_partition_id())
+    local = dealt.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(*keys)))
     sizes = local.groupBy("__p").agg(F.count("*").alias("__n"))
     starts = sizes.withColumn("__s", F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))).select("__p", F.coalesce("__s", F.lit(0)).alias("__s"))
     return local.join(F.broadcast(starts), "__p").withColumn(name, (F.col("__s") + F.col("__r") - 1).cast("long")).drop("__p", "__r", "__s")
