@@ -25,10 +25,10 @@ def query(oracle: str | None = None):
     return add
 
 
-@query(f"WITH {SEARCH}, h AS (SELECT query_id, vec_id AS position, score FROM hits), u AS (SELECT vec_id AS position, vec_id % 40 AS unit_id FROM embeddings), c AS (SELECT DISTINCT vec_id % 40 AS unit_id, vec_id % 17 AS doc_id FROM embeddings) SELECT query_id, doc_id, max(score) AS score FROM h JOIN u USING (position) JOIN c USING (unit_id) GROUP BY 1, 2")
+@query(f"WITH {SEARCH}, h AS (SELECT query_id, vec_id AS position, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM hits) WHERE r <= 60), u AS (SELECT vec_id AS position, vec_id % 40 AS unit_id FROM embeddings), c AS (SELECT DISTINCT vec_id % 40 AS unit_id, vec_id % 17 AS doc_id FROM embeddings) SELECT query_id, doc_id, max(score) AS score FROM h JOIN u USING (position) JOIN c USING (unit_id) GROUP BY 1, 2")
 def dense_documents(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings")
-    hits = R.exact_topk(_vector_queries(spark, sf_dir), e, 10**9).select("query_id", F.col("vec_id").alias("position"), "score")
+    hits = R.exact_topk(_vector_queries(spark, sf_dir), e, 60).select("query_id", F.col("vec_id").alias("position"), "score")
     units = e.select(F.col("vec_id").alias("position"), (F.col("vec_id") % 40).alias("unit_id"))
     kids = e.select((F.col("vec_id") % 40).alias("unit_id"), (F.col("vec_id") % 17).alias("doc_id")).distinct()
     return K.documents_of_hits(hits, units, kids, "query_id")

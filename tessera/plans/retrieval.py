@@ -106,12 +106,11 @@ def cosine_topk(spark, sf_dir):
     return R.exact_topk(_vector_queries(spark, sf_dir), read(spark, sf_dir, "embeddings"), 10)
 
 
-@query(f"WITH {SEARCH}, u AS (SELECT query_id, e.label AS doc_id, score FROM hits h JOIN embeddings e USING (vec_id)) SELECT query_id, doc_id, max(score) AS score FROM u GROUP BY 1, 2")
+@query(f"WITH {SEARCH}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM hits), u AS (SELECT query_id, e.label AS doc_id, score FROM r JOIN embeddings e USING (vec_id) WHERE rank <= 40) SELECT query_id, doc_id, max(score) AS score FROM u GROUP BY 1, 2")
 def maxp_documents(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings")
-    pairs = _vector_queries(spark, sf_dir).select("query_id", F.col("embedding").alias("q")).join(e.select("vec_id", "label", F.col("embedding")), F.lit(True))
-    scored = pairs.select("query_id", F.col("label").alias("doc_id"), F.round(R.dot(F.col("q"), F.col("embedding")), 6).alias("score"))
-    return R.max_per_document(scored, ["query_id", "doc_id"])
+    hits = R.exact_topk(_vector_queries(spark, sf_dir), e, 40).join(e.select("vec_id", F.col("label").alias("doc_id")), "vec_id")
+    return R.max_per_document(hits, ["query_id", "doc_id"])
 
 
 @query("WITH p AS (SELECT vec_id AS query_id, (vec_id * 7) % 50 * 10 AS vec_id FROM embeddings WHERE vec_id % 50 = 0) SELECT p.query_id, p.vec_id, round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM p JOIN embeddings a ON a.vec_id = p.query_id JOIN embeddings b ON b.vec_id = p.vec_id")
@@ -127,17 +126,17 @@ def ann_recall_gate(spark, sf_dir):
     return found.withColumns({"recall": F.lit(recall), "probes": F.lit(probes)})
 
 
-LEGS = f"{SEARCH}, legs AS (SELECT query_id, 'dense' AS branch, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, score FROM hits UNION ALL SELECT query_id, 'sparse', vec_id, row_number() OVER (PARTITION BY query_id ORDER BY (vec_id * 31 + query_id) % 97, vec_id), (vec_id * 31 + query_id) % 97 FROM hits), top AS (SELECT * FROM legs WHERE rank <= 30)"
+LEGS = f"{SEARCH}, hr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM hits), legs AS (SELECT query_id, 'dense' AS branch, vec_id, r AS rank, score FROM hr WHERE r <= 30 UNION ALL SELECT query_id, 'sparse', vec_id, row_number() OVER (PARTITION BY query_id ORDER BY (vec_id * 31 + query_id) % 97, vec_id), (vec_id * 31 + query_id) % 97 FROM hr WHERE r <= 80), top AS (SELECT * FROM legs WHERE rank <= 30)"
 
 
 def _legs(spark, sf_dir):
+    """Two branches over the same hits: by inner product, and by a made-up other score."""
     from pyspark.sql import Window
 
-    e, q = read(spark, sf_dir, "embeddings"), _vector_queries(spark, sf_dir)
-    dense = R.exact_topk(q, e, 30).withColumn("branch", F.lit("dense"))
-    place = F.expr("(vec_id * 31 + query_id) % 97").cast("double")
-    pairs = q.select("query_id").join(e.select("vec_id"), F.lit(True)).withColumn("score", place)
-    sparse = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))).where("rank <= 30").withColumn("branch", F.lit("sparse"))
+    hits = R.exact_topk(_vector_queries(spark, sf_dir), read(spark, sf_dir, "embeddings"), 80)
+    dense = hits.where("rank <= 30").withColumn("branch", F.lit("dense"))
+    other = hits.withColumn("score", F.expr("(vec_id * 31 + query_id) % 97").cast("double"))
+    sparse = other.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))).where("rank <= 30").withColumn("branch", F.lit("sparse"))
     return dense.unionByName(sparse)
 
 
