@@ -134,7 +134,8 @@ def count(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", gr
     """
     spark = docs.sparkSession
     ship_package(spark)
-    n = groups or shuffle_partitions(spark)
+    buckets = shuffle_partitions(spark)
+    n = groups or 3 * buckets  # a group is held by one worker with all its arrays; a bucket is small
     source = docs.select(F.col(key).alias("k"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
     source = source.withColumn("g", F.pmod(F.xxhash64("k", "text"), F.lit(n)).cast("int"))
     key_type = source.schema["k"].dataType.simpleString()
@@ -151,8 +152,8 @@ def count(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", gr
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         bigrams = np.add.reduceat(train[order].astype(np.int64), first)
         for kind, ks, cs in ((1, t.unigrams, unigrams), (2, keys[first], bigrams), (3, np.array([BEGIN]), begins)):
-            cuts = _cuts(ks, n)
-            for k in range(n):
+            cuts = _cuts(ks, buckets)
+            for k in range(buckets):
                 a, b = cuts[k], cuts[k + 1]
                 if a < b:
                     rows.append({"bucket": k, "g": g, "kind": kind, "keys": pack_keys(ks[a:b]), "counts": pack_counts(cs[a:b])})
