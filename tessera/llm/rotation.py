@@ -10,8 +10,8 @@ link is lost, whatever the rotation.
 
 Only equal labels are compared. Equal vectors of a label are one representative with a count. A
 label's representatives are dealt into blocks; each pair of blocks is one group of work, so a label
-with a third of all rows is many groups, none larger than two blocks. Groups emit links, never all
-pairs.
+with a third of all rows is many groups, none larger than two blocks. A group emits for each vector
+the number of its links and its root in the spanning forest of the group's links, never the pairs.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.simhash import _Forest
 from tessera.operators.components import connected_components
 from tessera.session import materialise, ship_package
 
@@ -48,11 +49,10 @@ def bounds(query: np.ndarray, bits: np.ndarray, correction: np.ndarray, seed: in
     return b / a, a * b - slack, a * b + slack
 
 
-def near_pairs(left: np.ndarray, right: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray, int]:
-    """(i, j, pairs recomputed) of the pairs with cosine of at least the threshold; with `same`
-    both sides are one block and i < j."""
+def near_pairs(left: np.ndarray, right: np.ndarray, threshold: float, same: bool):
+    """Yield (i, j, pairs recomputed) of the pairs with cosine of at least the threshold, some rows
+    of `left` at a time; with `same` both sides are one block and i < j."""
     bits, correction = codes(right)
-    found, recomputed = [], 0
     for i in range(0, len(left), 512):
         rows = left[i : i + 512]
         _, _, high = bounds(rows, bits, correction)
@@ -60,14 +60,10 @@ def near_pairs(left: np.ndarray, right: np.ndarray, threshold: float, same: bool
         if same:
             keep = a + i < b
             a, b = a[keep], b[keep]
-        recomputed += len(a)
         for k in range(0, len(a), 1 << 16):
             x, y = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
             sure = np.einsum("ij,ij->i", rows[x], right[y]) >= threshold
-            found.append((x[sure] + i, y[sure]))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), recomputed
-    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]), recomputed
+            yield x[sure] + i, y[sure], len(x)
 
 
 def representatives(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding", label: str = "label") -> tuple[DataFrame, DataFrame]:
@@ -105,15 +101,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str =
         unit /= np.linalg.norm(unit, axis=1, keepdims=True)
         own, i, j = table.column("own").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        x, y, _ = near_pairs(unit[left], unit[right], threshold, i == j)
-        rep, n = table.column("rep"), table.column("n").to_numpy()
-        a, b = left[x], right[y]
-        return pa.table({"a": rep.take(pa.array(a)), "b": rep.take(pa.array(b)), "na": pa.array(n[a], pa.int64()), "nb": pa.array(n[b], pa.int64())})
-
-    pairs = materialise(work.groupBy("part", "i", "j").applyInArrow(run, "a string, b string, na long, nb long"), "links")
-    ends = pairs.select(F.col("a").alias("rep"), F.col("nb").alias("m")).unionByName(pairs.select(F.col("b").alias("rep"), F.col("na").alias("m")))
-    counts = ends.groupBy("rep").agg(F.sum("m").alias("m"))
-    labels = connected_components(pairs, "a", "b")
+        linked, forest = np.zeros(len(unit), np.int64), _Forest(len(unit))
+        n = table.column("n").to_numpy()
+        for x, y, _ in near_pairs(unit[left], unit[right], threshold, i == j):
+            a, b = left[x], right[y]
+            linked += np.bincount(a, weights=n[b], minlength=len(unit)).astype(np.int64) + np.bincount(b, weights=n[a], minlength=len(unit)).astype(np.int64)
+            forest.add(a, b)
+        met = pa.array(np.flatnonzero(linked))
+        rep = table.column("rep")
+        return pa.table({"rep": rep.take(met), "root": rep.take(pa.array(forest.label)).take(met), "m": pa.array(linked[linked > 0], pa.int64())})
+
+    linked = materialise(work.groupBy("part", "i", "j").applyInArrow(run, "rep string, root string, m long"), "links")
+    counts = linked.groupBy("rep").agg(F.sum("m").alias("m"))
+    labels = connected_components(linked, "rep", "root")
     named = reps.join(counts, "rep", "left").join(labels, reps["rep"] == labels["node"], "left")
     named = named.select("g", "e", "first", (F.coalesce("m", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
