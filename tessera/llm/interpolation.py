@@ -13,7 +13,8 @@ bigrams, as 64-bit hashes in ascending order, with their training counts, and se
 the hash range one packed row. A bucket adds up the counts and answers every group in the group's
 own order. The groups, whose shuffle is used again, look up each token's counts. So a frequent word
 costs a group one entry, whatever its number of occurrences, and no step holds more than one group
-or one bucket. What is gathered grows with the distinct n-grams of the input.
+or one bucket; both are counted by the bytes of text, and a group sends no more rows than it has
+n-grams. What is gathered grows with the distinct n-grams of the input.
 
 Defined results: a null or empty text is one end token; texts are scored whole; repeated rows count
 and are scored each; a missing identifier is text for training; with no training text every score
@@ -33,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.chunks import chunk_codes
-from tessera.session import materialise, ship_package, shuffle_partitions
+from tessera.session import materialise, ship_package
 
 #: Hashes of the end of a text and of the context before its first token; no word hashes to them by rule.
 END, BEGIN = np.uint64(xxhash.xxh64_intdigest(b"\0end", 1)), np.uint64(xxhash.xxh64_intdigest(b"\0begin", 1))
 EM_ROUNDS, BUCKETS, BLOCK_TOKENS = 40, 34, 1 << 20
+#: Text for which there is one group, held by a worker with all its arrays, and one bucket of hashes.
+GROUP_BYTES, BUCKET_BYTES = 6_000_000, 16_000_000
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -134,10 +137,11 @@ def count(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", gr
     """
     spark = docs.sparkSession
     ship_package(spark)
-    buckets = shuffle_partitions(spark)
-    n = groups or 3 * buckets  # a group is held by one worker with all its arrays; a bucket is small
+    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    n = groups or max(1, -(-size // GROUP_BYTES))
+    buckets = max(1, -(-size // BUCKET_BYTES))
     source = docs.select(F.col(key).alias("k"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
-    source = source.withColumn("g", F.pmod(F.xxhash64("k", "text"), F.lit(n)).cast("int"))
+    source = source.withColumn("g", F.pmod(F.xxhash64("k", "text"), F.lit(n).cast("long")).cast("int"))
     key_type = source.schema["k"].dataType.simpleString()
 
     def ask(table: pa.Table) -> pa.Table:
