@@ -29,7 +29,7 @@ from tessera.llm.chunks import chunk_codes, slices
 from tessera.session import ship_package
 
 #: Bounds of a worker's caches, in entries.
-CACHED_WORDS, CACHED_CHUNKS = 400_000, 300_000
+CACHED_WORDS, CACHED_CHUNKS = 300_000, 200_000
 #: Fixed: the white space of the vocabulary's patterns.
 SPACE = r"\t-\r \x85\xa0  -     　"
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,6 +12,16 @@ import pyarrow.compute as pc
 SLICE_BYTES = 12_000_000
 
 
+def tidy() -> None:
+    """Give freed memory back to the system. A worker serves many tasks and stages, and what its
+    allocators keep would otherwise pile up beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU C library
+        pass
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     """Cut a batch into runs of rows with about `limit` bytes of text; a longer row stands alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -17,10 +29,12 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     for i, n in enumerate(sizes):
         if total and total + n > limit:
             yield batch.slice(start, i - start)
+            tidy()
             start, total = i, 0
         total += int(n)
     if start < batch.num_rows:
         yield batch.slice(start)
+        tidy()
 
 
 def chunk_codes(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:

@@ -272,20 +272,16 @@ def accepted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     if model is None:
         return docs
     shared = spark.sparkContext.broadcast(model)
-    names = model.names
-
-    @F.pandas_udf("double")
-    def probability(texts, *columns):
-        import pandas as pd
-
-        model, out, at = shared.value, np.zeros(len(texts)), 0
-        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *[pa.array(c, from_pandas=True) for c in columns]], names=["text", *names])
-        for part in slices(batch, "text"):
-            n = part.num_rows
-            (to, tf), (mo, mf) = text_features(part.column("text")), meta_features({c: part.column(c).to_pylist() for c in names}, n)
-            z = [np.bincount(np.repeat(np.arange(n), np.diff(o)), weights=m.w[f], minlength=n) + m.bias for o, f, m in ((to, tf, model.text), (mo, mf, model.meta))]
-            out[at : at + n] = model.scores(*z)[0]
-            at += n
-        return pd.Series(out)
-
-    return docs.where(probability(F.col(text), *[F.col(c).cast("long" if c == "n_chars" else "string") for c in names]) >= keep)
+    kinds = {"n_chars": pa.int64()}
+
+    def run(batches):
+        model = shared.value
+        for batch in batches:
+            for part in slices(batch, text):
+                n = part.num_rows
+                columns = {c: part.column(c).cast(kinds.get(c, pa.string())).to_pylist() for c in model.names}
+                (to, tf), (mo, mf) = text_features(part.column(text)), meta_features(columns, n)
+                z = [np.bincount(np.repeat(np.arange(n), np.diff(o)), weights=m.w[f], minlength=n) + m.bias for o, f, m in ((to, tf, model.text), (mo, mf, model.meta))]
+                yield part.filter(pa.array(model.scores(*z)[0] >= keep))
+
+    return docs.mapInArrow(run, docs.schema)

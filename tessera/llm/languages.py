@@ -206,19 +206,12 @@ def accepted(docs: DataFrame, key: str = "doc_id", text: str = "text", least: fl
     ship_package(spark)
     shared = spark.sparkContext.broadcast((names, model))
 
-    @F.pandas_udf("double")
-    def share(series):
+    def run(batches):
         names, model = shared.value
-        texts = pa.array(series, pa.string())
-        out = np.zeros(len(texts))
-        at = 0
-        for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", 1_500_000):
-            doc, feature, count, letters = trigrams(part.column("text"))
-            pi = infer(model, doc, feature, count, part.num_rows) if names else np.zeros((part.num_rows, 1))
-            out[at : at + part.num_rows] = np.where(letters > 0, pi.max(axis=1), 0)
-            at += part.num_rows
-        import pandas as pd
-
-        return pd.Series(out)
-
-    return docs.where(share(F.col(text)) > least)
+        for batch in batches:
+            for part in slices(batch, text, 1_500_000):
+                doc, feature, count, letters = trigrams(part.column(text))
+                pi = infer(model, doc, feature, count, part.num_rows) if names else np.zeros((part.num_rows, 1))
+                yield part.filter(pa.array((letters > 0) & (pi.max(axis=1) > least)))
+
+    return docs.mapInArrow(run, docs.schema)
