@@ -196,7 +196,8 @@ def hex_fingerprint(column: str = "fp"):
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """The rows whose key names their component: one document of each group of near copies.
 
-    Rows that share that key (repeated rows) are cut to one by their whole content's hash order.
+    Rows that share that key (repeated rows) are cut to one. Rows without a key go, as nothing could
+    name the one that stays.
     """
     named = groups(docs, key, text, radius).where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__kept")).distinct()
     return docs.join(named, docs[key] == named["__kept"], "left_semi").dropDuplicates([key])
