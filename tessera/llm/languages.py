@@ -29,6 +29,8 @@ from tessera.session import ship_package
 FIT_DOCUMENTS = 20_000
 FEATURES, ROUNDS, PENALTY, SMOOTH, LANGUAGES = 1 << 16, 8, 3.0, 0.5, 4
 UND = "und"
+#: Bytes of text at once: arrays of some fifty bytes a letter stand beside it.
+SLICE = 1_500_000
 
 
 def _letters_of(batch_text: str) -> np.ndarray:
@@ -142,7 +144,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 names = part.column("lang").to_pylist()
                 doc, feature, count, _ = trigrams(part.column("text"))
                 index = {x: i for i, x in enumerate(dict.fromkeys(names))}
@@ -172,7 +174,7 @@ def identify(docs: DataFrame, names: list[str], model: np.ndarray, key: str = "d
     def run(batches):
         names, model = shared.value
         for batch in batches:
-            for part in slices(batch, "text", 1_500_000):
+            for part in slices(batch, "text", SLICE):
                 doc, feature, count, letters = trigrams(part.column("text"))
                 pi = infer(model, doc, feature, count, part.num_rows, penalty) if names else np.zeros((part.num_rows, 1))
                 pi[letters == 0] = 0
@@ -209,7 +211,7 @@ def accepted(docs: DataFrame, key: str = "doc_id", text: str = "text", least: fl
     def run(batches):
         names, model = shared.value
         for batch in batches:
-            for part in slices(batch, text, 1_500_000):
+            for part in slices(batch, text, SLICE):
                 doc, feature, count, letters = trigrams(part.column(text))
                 pi = infer(model, doc, feature, count, part.num_rows) if names else np.zeros((part.num_rows, 1))
                 yield part.filter(pa.array((letters > 0) & (pi.max(axis=1) > least)))
