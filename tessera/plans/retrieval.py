@@ -45,6 +45,10 @@ def terms_sql(n: int) -> str:
     return f"terms AS (SELECT DISTINCT item_id, unnest({TOKENS.format('text')}) AS term FROM benchmark WHERE item_id < {n})"
 
 
+#: As terms_sql, of every benchmark item.
+ALL_TERMS = f"terms AS (SELECT DISTINCT item_id, unnest({TOKENS.format('text')}) AS term FROM benchmark)"
+
+
 def _queries(spark, sf_dir, n):
     return read(spark, sf_dir, "benchmark").where(F.col("item_id") < n)
 
@@ -59,6 +63,13 @@ def bm25_topk(spark, sf_dir):
     return R.ranked(R.bm25(q, "item_id", _words(), docs, "doc_id", _words()), "item_id", "doc_id", 20)
 
 
+@query(f"WITH {ALL_TERMS}, {bm25_sql('b', 'documents', 'doc_id', 'text')} SELECT item_id, doc_id, score, rank FROM (SELECT item_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM b) WHERE rank <= 20")
+def bm25_topk_all(spark, sf_dir):
+    """bm25_topk of every benchmark item."""
+    docs, q = read(spark, sf_dir, "documents", "benchmark")
+    return R.ranked(R.bm25(q, "item_id", _words(), docs, "doc_id", _words()), "item_id", "doc_id", 20)
+
+
 @query(f"WITH {terms_sql(3)}, h AS (SELECT doc_id, split_part(text, chr(10), 1) AS head, text FROM documents), {bm25_sql('x', 'h', 'doc_id', 'head')}, {bm25_sql('y', 'h', 'doc_id', 'text')}, u AS (SELECT item_id, doc_id, sum(s) AS score FROM (SELECT item_id, doc_id, 2.0 * score AS s FROM x UNION ALL SELECT item_id, doc_id, score FROM y) GROUP BY 1, 2) SELECT item_id, doc_id, score, rank FROM (SELECT item_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM u) WHERE rank <= 10")
 def bm25_fielded(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").withColumn("head", F.split_part("text", F.lit("\n"), F.lit(1)))
@@ -66,6 +77,14 @@ def bm25_fielded(spark, sf_dir):
     return R.ranked(R.bm25_fields(_queries(spark, sf_dir, 3), "item_id", _words(), docs, "doc_id", fields), "item_id", "doc_id", 10)
 
 
+@query(f"WITH {ALL_TERMS}, h AS (SELECT doc_id, split_part(text, chr(10), 1) AS head, text FROM documents), {bm25_sql('x', 'h', 'doc_id', 'head')}, {bm25_sql('y', 'h', 'doc_id', 'text')}, u AS (SELECT item_id, doc_id, sum(s) AS score FROM (SELECT item_id, doc_id, 2.0 * score AS s FROM x UNION ALL SELECT item_id, doc_id, score FROM y) GROUP BY 1, 2) SELECT item_id, doc_id, score, rank FROM (SELECT item_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM u) WHERE rank <= 10")
+def bm25_fielded_all(spark, sf_dir):
+    """bm25_fielded of every benchmark item."""
+    docs = read(spark, sf_dir, "documents").withColumn("head", F.split_part("text", F.lit("\n"), F.lit(1)))
+    fields = {"head": (_words("head"), 2.0), "body": (_words(), 1.0), "aliases": (_words("head"), 0.0)}
+    return R.ranked(R.bm25_fields(read(spark, sf_dir, "benchmark"), "item_id", _words(), docs, "doc_id", fields), "item_id", "doc_id", 10)
+
+
 CHILDREN = "w AS (SELECT doc_id, unnest(generate_series(0, greatest(0, length(text) - 1), 400)) AS s, length(text) AS n, text FROM documents WHERE length(text) > 0), c AS (SELECT doc_id, s // 400 AS chunk_order, substring(text, s + 1, least(s + 500, n) - s) AS text FROM w WHERE s = 0 OR s + 100 < n)"
 
 
@@ -76,6 +95,13 @@ def bm25_local(spark, sf_dir):
     return got.where("doc_id < 40").select("item_id", "doc_id", "chunk_order", F.round("score", 6).alias("score"))
 
 
+@query(f"WITH {CHILDREN}, {ALL_TERMS}, {bm25_sql('b', 'c', 'chunk_order', 'text', 'doc_id')} SELECT item_id, doc_id, chunk_order, round(score, 6) AS score FROM b")
+def bm25_local_all(spark, sf_dir):
+    """bm25_local of every benchmark item in every document."""
+    got = R.bm25_local(read(spark, sf_dir, "benchmark"), "item_id", _words(), children(spark, sf_dir), "doc_id", "chunk_order", _words())
+    return got.withColumn("score", F.round("score", 6))
+
+
 @query("SELECT partition, count(*) AS n FROM (SELECT CASE WHEN lang IN ('en', 'de') THEN [lang] ELSE ['en', 'de'] END AS p FROM documents), unnest(p) AS t(partition) GROUP BY 1")
 def language_fan_out(spark, sf_dir):
     return R.by_language(read(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", ["en", "de"]).groupBy("partition").agg(F.count("*").alias("n"))
@@ -213,7 +239,7 @@ def lcs_similarity(spark, sf_dir):
 
 
 def _candidates(spark, sf_dir):
-    hits = R.ranked(R.bm25(_queries(spark, sf_dir, 10), "item_id", _words(), children(spark, sf_dir).withColumn("child", F.concat_ws(":", "doc_id", "chunk_order")), "child", _words()), "item_id", "child", 60)
+    hits = R.ranked(R.bm25(read(spark, sf_dir, "benchmark"), "item_id", _words(), children(spark, sf_dir).withColumn("child", F.concat_ws(":", "doc_id", "chunk_order")), "child", _words()), "item_id", "child", 60)
     kids = children(spark, sf_dir).select("doc_id", F.concat_ws(":", "doc_id", "chunk_order").alias("child"), _words().alias("tokens"))
     return hits.join(kids, "child")
 
