@@ -232,10 +232,11 @@ def evaluation_regression(spark, sf_dir):
 
 @query()
 def lcs_similarity(spark, sf_dir):
-    kids = children(spark, sf_dir).where("chunk_order < 2").select("doc_id", "chunk_order", _words().alias("w"))
-    pairs = kids.where("chunk_order = 0").join(kids.where("chunk_order = 1").select("doc_id", F.col("w").alias("w2")), "doc_id")
+    kids = children(spark, sf_dir).select("doc_id", "chunk_order", _words().alias("w"))
+    following = kids.select("doc_id", (F.col("chunk_order") - 1).alias("chunk_order"), F.col("w").alias("w2"))
+    pairs = kids.join(following, ["doc_id", "chunk_order"])
     common = R.lcs(F.col("w"), F.col("w2"))
-    return pairs.select("doc_id", F.size("w").alias("n1"), F.size("w2").alias("n2"), common.alias("common"))
+    return pairs.select("doc_id", "chunk_order", F.size("w").alias("n1"), F.size("w2").alias("n2"), common.alias("common"))
 
 
 def _candidates(spark, sf_dir):

@@ -45,3 +45,21 @@ def test_every_item_gets_passages(spark, sf_dir):
     items = {r.item_id for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
     assert {r.item_id for r in run(spark, sf_dir, "select_parents").collect()} == items
     assert {r.item_id for r in run(spark, sf_dir, "chunk_f2").collect()} == items
+
+
+def test_lcs_of_every_neighbouring_pair(spark, tmp_path):
+    docs = [(1, " ".join(f"w{i * i % 37}" for i in range(900))), (2, "short one"), (3, " ".join(f"v{i % 5}" for i in range(300)))]
+    sf_dir = small_tables(spark, tmp_path, docs, [])
+    want = {}
+    for d, t in docs:
+        parts = [words(t[s : s + 500]) for s in range(0, len(t), 400) if s == 0 or s + 100 < len(t)]
+        for i, (a, b) in enumerate(zip(parts, parts[1:])):
+            row = [0] * (len(b) + 1)
+            for x in a:
+                new = [0]
+                for j, y in enumerate(b):
+                    new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+                row = new
+            want[d, i] = (len(a), len(b), row[-1])
+    got = {(r.doc_id, r.chunk_order): (r.n1, r.n2, r.common) for r in run(spark, sf_dir, "lcs_similarity").collect()}
+    assert len(want) > 5 and got == want
