@@ -55,6 +55,14 @@ def rerank_orders(spark, sf_dir):
     return K.rerank(rows, "query_id", "vec_id", "model", "score", share=0.7).select("query_id", "vec_id", "place").join(alone, ["query_id", "vec_id"])
 
 
+@query(f"WITH {SEARCH}, t AS (SELECT query_id, vec_id, score, (vec_id * 13) % 11 AS model, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM hits QUALIFY r <= 60), o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY model DESC, score DESC, vec_id) AS m FROM t) SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY round(0.7 / (60 + m) + 0.3 / (60 + r), 12) DESC, vec_id) AS place, m AS by_model FROM o")
+def rerank_orders_all(spark, sf_dir):
+    """rerank_orders of the 60 best of all vectors."""
+    rows = R.exact_topk(_vector_queries(spark, sf_dir), read(spark, sf_dir, "embeddings"), 60).select("query_id", "vec_id", "score", F.expr("(vec_id * 13) % 11").alias("model"))
+    alone = K.rerank(rows, "query_id", "vec_id", "model", "score").select("query_id", "vec_id", F.col("place").alias("by_model"))
+    return K.rerank(rows, "query_id", "vec_id", "model", "score", share=0.7).select("query_id", "vec_id", "place").join(alone, ["query_id", "vec_id"])
+
+
 @query(f"WITH {LEGS}, c AS (SELECT query_id, vec_id % 13 AS doc_id, vec_id, rank FROM top WHERE branch = 'dense'), d AS (SELECT query_id, doc_id, min(rank) AS d FROM c GROUP BY 1, 2) SELECT c.query_id, c.doc_id, vec_id, round(1 / (60 + d) + 1 / (60 + rank), 9) AS score FROM c JOIN d USING (query_id, doc_id)")
 def mining_fusion(spark, sf_dir):
     c = _legs(spark, sf_dir).where("branch = 'dense'").select("query_id", (F.col("vec_id") % 13).alias("doc_id"), "vec_id", "rank")
@@ -64,7 +72,7 @@ def mining_fusion(spark, sf_dir):
 
 @query()
 def suppressed_overlaps(spark, sf_dir):
-    kids = children(spark, sf_dir).where("doc_id < 60").select((F.col("doc_id") % 6).alias("query_id"), "doc_id", "start_char", (F.col("end_char")).alias("end_char"), "chunk_order")
+    kids = children(spark, sf_dir).select(F.col("doc_id").alias("query_id"), "doc_id", "start_char", (F.col("end_char")).alias("end_char"), "chunk_order")
     return K.suppress_overlaps(kids, "query_id", "doc_id", "start_char", "end_char", "chunk_order", 2, 8)
 
 
@@ -78,6 +86,17 @@ def centred_parents(spark, sf_dir):
     return got.select("doc_id", "start_char", "parent_start", "parent_end", F.sha2("parent_text", 256).alias("digest"))
 
 
+@query(f"""WITH {WINDOWS}, r AS (SELECT c.doc_id, c.start_char, c.end_char, d.text AS t, greatest(0, 800 - (c.end_char - c.start_char)) AS room FROM c JOIN documents d ON c.doc_id = d.doc_id),
+    s AS (SELECT *, greatest(0, start_char - room // 2) AS a, least(length(t), end_char + room - room // 2) AS b FROM r), p AS (SELECT *, substring(t, a + 1, start_char - a) AS head, substring(t, end_char + 1, b - end_char) AS tail FROM s),
+    x AS (SELECT *, CASE WHEN a > 0 AND instr(head, chr(10)) > 0 THEN a + instr(head, chr(10)) ELSE a END AS parent_start, CASE WHEN b < length(t) AND instr(reverse(tail), chr(10)) > 0 THEN b - instr(reverse(tail), chr(10)) ELSE b END AS parent_end FROM p)
+    SELECT doc_id, start_char, parent_start, parent_end, sha256(substring(t, parent_start + 1, parent_end - parent_start)) AS digest FROM x""")
+def centred_parents_all(spark, sf_dir):
+    """centred_parents of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("source_text"))
+    got = K.centred_parents(children(spark, sf_dir), docs, "doc_id", "source_text", 800)
+    return got.select("doc_id", "start_char", "parent_start", "parent_end", F.sha2("parent_text", 256).alias("digest"))
+
+
 @query("SELECT doc_id, sha256(array_to_string(list_filter([CASE WHEN trim(source) = trim(lang) THEN trim(source) ELSE trim(source) || chr(10) || chr(10) || trim(lang) END, text], lambda x: x <> ''), chr(10) || chr(10))) AS representation_hash FROM documents")
 def dense_representation(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.sha2(K.dense_text(F.col("source"), F.col("lang"), F.col("text")), 256).alias("representation_hash"))

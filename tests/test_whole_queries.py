@@ -63,3 +63,19 @@ def test_lcs_of_every_neighbouring_pair(spark, tmp_path):
             want[d, i] = (len(a), len(b), row[-1])
     got = {(r.doc_id, r.chunk_order): (r.n1, r.n2, r.common) for r in run(spark, sf_dir, "lcs_similarity").collect()}
     assert len(want) > 5 and got == want
+
+
+def test_ranking_reaches_every_document_and_vector(spark, tmp_path, sf_dir):
+    docs = [(i * 100, "line of words\n" * (3 * i + 1)) for i in range(1, 40)]
+    small = small_tables(spark, tmp_path, docs, [])
+    assert {r.doc_id for r in run(spark, small, "centred_parents_all").collect()} == {d for d, _ in docs}
+    kept = {}
+    for r in run(spark, small, "suppressed_overlaps").collect():
+        kept.setdefault(r.doc_id, []).append(r)
+    assert kept.keys() == {d for d, _ in docs}
+    for d, t in docs:
+        starts = [s for s in range(0, len(t), 400) if s == 0 or s + 100 < len(t)]
+        assert len(kept[d]) == min(2, len(starts))
+    rows = run(spark, sf_dir, "rerank_orders_all").collect()
+    n = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("vec_id % 50 = 0").count()
+    assert len(rows) == 60 * n and any(r.vec_id >= 60 for r in rows)
