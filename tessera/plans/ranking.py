@@ -171,6 +171,13 @@ def vector_agreement(spark, sf_dir):
     return K.vector_agreement(e.where("vec_id % 3 = 0"), e, "vec_id", "embedding")
 
 
+@query("SELECT count(*) AS \"rows\", round(min(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS least_cosine, 0.0 AS most_error, true AS agree FROM embeddings")
+def vector_agreement_all(spark, sf_dir):
+    """vector_agreement of every vector."""
+    e = read(spark, sf_dir, "embeddings")
+    return K.vector_agreement(e, e, "vec_id", "embedding")
+
+
 @query("SELECT doc_id % 5 AS worker, count(*) AS assigned, count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM labels)) AS completed, count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS remaining FROM documents GROUP BY 1")
 def assignment_progress(spark, sf_dir):
     d, done = read(spark, sf_dir, "documents", "labels")
@@ -191,6 +198,13 @@ def heading_hints(spark, sf_dir):
     return d.select("doc_id", F.array_join(K.heading_hints(F.concat(F.lit("## "), first, F.lit("\nx\n# not there")), F.col("text")), "|").alias("hints"))
 
 
+@query()
+def heading_hints_all(spark, sf_dir):
+    """heading_hints of every document, as an array: a heading may hold any character."""
+    first = F.trim(F.split("text", "\n")[0])
+    return read(spark, sf_dir, "documents").select("doc_id", K.heading_hints(F.concat(F.lit("## "), first, F.lit("\nx\n# not there")), F.col("text")).alias("hints"))
+
+
 @query("WITH a AS (SELECT doc_id % 4 AS shard, doc_id, source FROM documents) SELECT shard, count(*) AS records, count(DISTINCT doc_id) AS unique_ids, count(*) - count(DISTINCT doc_id) AS duplicates, count(*) FILTER (WHERE source = 'src0') AS hot FROM a GROUP BY 1")
 def batch_coverage(spark, sf_dir):
     d = read(spark, sf_dir, "documents")

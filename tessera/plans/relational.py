@@ -108,6 +108,13 @@ def missing_outcomes_anti(spark, sf_dir):
     return C.missing(orders.where("o_orderkey % 3 = 0").select("o_orderkey", "o_custkey", "o_totalprice"), lines.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"])
 
 
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R')")
+def missing_outcomes_anti_all(spark, sf_dir):
+    """missing_outcomes_anti of every order."""
+    orders, lines = read(spark, sf_dir, "orders", "lineitem")
+    return C.missing(orders.select("o_orderkey", "o_custkey", "o_totalprice"), lines.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"])
+
+
 @query("SELECT s.doc_id, s.url FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN source || 'x' WHEN doc_id % 11 = 0 THEN NULL ELSE source END AS url FROM documents) s LEFT JOIN (SELECT doc_id, source AS url FROM documents WHERE doc_id % 5 > 0) o ON s.doc_id = o.doc_id WHERE o.doc_id IS NULL OR s.url IS DISTINCT FROM o.url")
 def subset_pair_check(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")

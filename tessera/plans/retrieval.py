@@ -152,6 +152,14 @@ def ann_recall_gate(spark, sf_dir):
     return found.withColumns({"recall": F.lit(recall), "probes": F.lit(probes)})
 
 
+@query()
+def candidate_rescore_all(spark, sf_dir):
+    """Exact scores of the inverted-file search's hits, each query's own candidates."""
+    e, q = read(spark, sf_dir, "embeddings"), _vector_queries(spark, sf_dir)
+    pairs = R.gated_ann(q, e, 10)[0].select("query_id", "vec_id")
+    return R.rescore(pairs, q, e, "query_id", "vec_id").withColumn("score", F.round("score", 6))
+
+
 LEGS = f"{SEARCH}, hr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM hits), legs AS (SELECT query_id, 'dense' AS branch, vec_id, r AS rank, score FROM hr WHERE r <= 30 UNION ALL SELECT query_id, 'sparse', vec_id, row_number() OVER (PARTITION BY query_id ORDER BY (vec_id * 31 + query_id) % 97, vec_id), (vec_id * 31 + query_id) % 97 FROM hr WHERE r <= 80), top AS (SELECT * FROM legs WHERE rank <= 30)"
 
 

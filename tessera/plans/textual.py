@@ -221,6 +221,13 @@ def eligibility(spark, sf_dir):
     return d.select("doc_id", "text", F.length("text").alias("char_count"), reason.alias("exclusion_reason"))
 
 
+@query("SELECT doc_id, text, length(text) AS char_count, CASE WHEN regexp_matches(text, '(?i)^just a moment') THEN 'ERROR_PAGE' WHEN length(trim(text)) = 0 THEN 'EMPTY' END AS exclusion_reason FROM documents")
+def eligibility_all(spark, sf_dir):
+    """eligibility of every document."""
+    reason = F.when(F.col("text").rlike("(?i)^just a moment"), "ERROR_PAGE").when(F.length(F.trim("text")) == 0, "EMPTY")
+    return read(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").alias("char_count"), reason.alias("exclusion_reason"))
+
+
 @query()
 def extract_pages(spark, sf_dir):
     from tessera.functions.markup import extract

@@ -79,3 +79,24 @@ def test_ranking_reaches_every_document_and_vector(spark, tmp_path, sf_dir):
     rows = run(spark, sf_dir, "rerank_orders_all").collect()
     n = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("vec_id % 50 = 0").count()
     assert len(rows) == 60 * n and any(r.vec_id >= 60 for r in rows)
+
+
+def test_filters_drop_no_row(spark, tmp_path, sf_dir):
+    count = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count()
+    assert run(spark, sf_dir, "eligibility_all").count() == count("documents")
+    assert run(spark, sf_dir, "vector_agreement_all").first()["rows"] == count("embeddings")
+    returned = {r.l_orderkey for r in spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_returnflag = 'R'").collect()}
+    orders = {r.o_orderkey for r in spark.read.parquet(f"{sf_dir}/orders.parquet").collect()}
+    assert {r.o_orderkey for r in run(spark, sf_dir, "missing_outcomes_anti_all").collect()} == orders - returned
+    docs = [(1, "a | b\nc"), (2, " plain \nx"), (3, "c\na|b")]
+    small = small_tables(spark, tmp_path, docs, [])
+    assert {r.doc_id: r.hints for r in run(spark, small, "heading_hints_all").collect()} == {1: ["a | b"], 2: ["plain"], 3: ["c"]}
+
+
+def test_rescored_candidates_are_each_querys_own(spark, sf_dir):
+    vectors = {r.vec_id: r.embedding for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()}
+    rows = run(spark, sf_dir, "candidate_rescore_all").collect()
+    assert {r.query_id for r in rows} == {k for k in vectors if k % 50 == 0}
+    assert len(rows) == 10 * len({r.query_id for r in rows}) and len({r.vec_id for r in rows}) > 10
+    for r in rows:
+        assert abs(r.score - sum(a * b for a, b in zip(vectors[r.query_id], vectors[r.vec_id]))) < 1e-5
