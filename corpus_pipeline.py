@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, cotraining, languages, simhash, templates
+from tessera.llm import bpe, cotraining, languages, shingles, templates
 from tessera.session import materialise
 
 #: Most of the stages are models or tokenizers, which SQL cannot express; tests hold each stage
@@ -32,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the first by identifier, of each group of near copies."""
-    return simhash.keep_one(docs)
+    return shingles.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
