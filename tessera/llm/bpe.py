@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm.chunks import chunk_codes, slices
+from tessera.llm.chunks import chunk_codes, listed, slices, spread
 from tessera.session import ship_package
 
-#: Bounds of a worker's caches, in entries.
-CACHED_WORDS, CACHED_CHUNKS = 300_000, 200_000
+#: Words whose ids a worker keeps from slice to slice, at most.
+CACHED_WORDS = 500_000
 #: Fixed: the white space of the vocabulary's patterns.
 SPACE = r"\t-\r \x85\xa0  -     　"
 
@@ -73,11 +73,11 @@ class Vocabulary:
         self.pattern = regex.compile(pattern.replace(r"\s", SPACE) + r"|\n")
         self.library = Tokenizer.from_str(text)
         self.symbols, self.byte_of = symbols, {c: b for b, c in enumerate(symbols)}
-        self.ints = list(range(len(self.tokens)))
         self.seen: set[str] = set()
         self.odd: set[str] = set()
-        self.chunk_cache: dict[str, tuple[int, ...]] = {}
-        self.word_cache: dict[str, tuple[int, ...]] = {}
+        if any(not x or x.split() != [x] for x in self.added):
+            raise ValueError("an added token of this vocabulary holds white space")
+        self.forget()
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -145,32 +145,27 @@ class Vocabulary:
         ids = symbols[alive]
         return ids, np.concatenate(([0], np.cumsum(alive)))[np.concatenate(([0], ends))] if n else np.zeros(len(words) + 1, np.int64)
 
-    def words(self, chunks: list[str]) -> list[list[str] | int]:
-        """The words of each chunk, as text; a chunk that is an added token gives its id instead.
+    def words(self, chunks: list[str]) -> list[str]:
+        """The words of all chunks in order, with a line feed after each chunk.
 
         Characters on which the tables of this process and of the library may differ (they follow
         different versions of Unicode) are compared once, and their chunks are left to the
         library's own normaliser and splitter.
         """
         joined = "\n".join([*chunks, ""])
-        odd = ()
-        if not joined.isascii():
-            for c in set(joined) - self.seen:
-                self.seen.add(c)
-                if c not in "\n\ud800" and not c.isascii() and self.split_library(f"a{c}a!{c}!1{c}1") != self.split(f"a{c}a!{c}!1{c}1"):
-                    self.odd.add(c)
-            odd = self.odd.intersection(joined)
-        tokens, out, row = self.pattern.findall(self.lower(joined)), [], []
-        for t in tokens:
-            if t == "\n":
-                out.append(row)
-                row = []
-            else:
-                row.append(t)
-        if odd:
-            for i, c in enumerate(chunks):
-                if not odd.isdisjoint(c):
-                    out[i] = self.split_library(c)
+        if joined.isascii():
+            return self.pattern.findall(joined.lower())
+        for c in set(joined) - self.seen:
+            self.seen.add(c)
+            if c not in "\n\ud800" and not c.isascii() and self.split_library(f"a{c}a!{c}!1{c}1") != self.split(f"a{c}a!{c}!1{c}1"):
+                self.odd.add(c)
+        if self.odd.isdisjoint(joined):
+            return self.pattern.findall(self.lower(joined))
+        out = []
+        for odd, run in itertools.groupby(chunks, lambda c: not self.odd.isdisjoint(c)):
+            for c in run if odd else ():
+                out += [*self.split_library(c), "\n"]
+            out += [] if odd else self.pattern.findall(self.lower("\n".join([*run, ""])))
         return out
 
     @staticmethod
@@ -185,50 +180,59 @@ class Vocabulary:
         n = self.library
         return [bytes(map(self.byte_of.__getitem__, w)).decode("utf-8") for w, _ in n.pre_tokenizer.pre_tokenize_str(n.normalizer.normalize_str(text))]
 
-    def merge_words(self, words: list[str]) -> list[tuple[int, ...]]:
-        ids, offsets = self.merge([w.encode("utf-8") for w in words])
-        ids, offsets = list(map(self.ints.__getitem__, ids.tolist())), offsets.tolist()
-        return [tuple(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    def merge_library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of the words by the library's own model."""
+        run, names = self.library.model.tokenize, self.symbols
+        rows = [[t.id for t in run(w if w.isascii() and w.isprintable() else "".join([names[b] for b in w.encode("utf-8")]))] for w in words]
+        return np.fromiter(itertools.chain.from_iterable(rows), np.int32), np.cumsum([0, *map(len, rows)])
 
-    def merge_words_library(self, words: list[str]) -> list[tuple[int, ...]]:
-        """The same by the library's own model."""
-        run, ints, names = self.library.model.tokenize, self.ints, self.symbols
-        return [tuple([ints[t.id] for t in run(w if w.isascii() and w.isprintable() else "".join([names[b] for b in w.encode("utf-8")]))]) for w in words]
+    def forget(self) -> None:
+        """Start the store of known words anew, with the line feed that ends a chunk and the added tokens."""
+        self.known = {"\n": 0} | {f"\n{x}": i for i, x in enumerate(self.added, 1)}
+        self.known_ids = np.array(list(self.added.values()), np.int32)
+        self.known_sizes = np.array([0, *[1] * len(self.added)], np.int64)
 
-    def encode_chunks(self, chunks: list[str], by_library: bool = False) -> list[tuple[int, ...]]:
-        """The ids of each chunk; a chunk is free of ASCII white space.
+    def encode_flat(self, chunks: list[str], by_library: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes): the ids of all chunks end to end and how many each has; a chunk is free of
+        ASCII white space.
 
-        What earlier slices have met is kept in two bounded caches, which never change a result.
+        Ids of words met before are kept in a bounded store, which never changes a result. Words lie
+        in it end to end, so that no object stands for a chunk or an id.
         """
-        cache, known = self.chunk_cache, self.word_cache
-        fresh = [c for c in chunks if c not in cache]
+        joined, splits = "\n".join(chunks), {}
+        if any(x in joined for x in self.added):  # chunks with added tokens are taken apart there
+            splits = {i: [x for x in self.special.split(c) if x] for i, c in enumerate(chunks) if self.special.search(c)}
+            pieces = [p for i, c in enumerate(chunks) for p in ([("", x)[x not in self.added] for x in splits[i]] if i in splits else [c])]
+            words, parts = [], iter([x for i, c in enumerate(chunks) for x in (splits[i] if i in splits else [c])])
+            of_piece = np.repeat(np.arange(len(chunks)), [len(splits.get(i, "x")) for i in range(len(chunks))])
+            for w in self.words(pieces):
+                if w == "\n":
+                    x = next(parts)
+                    words += [f"\n{x}", w] if x in self.added else [w]
+                else:
+                    words.append(w)
+        else:
+            words = self.words(chunks)
+        fresh = list(dict.fromkeys([w for w in words if w not in self.known]))
+        if len(self.known) + len(fresh) > CACHED_WORDS:
+            self.forget()
+            fresh = list(dict.fromkeys([w for w in words if w not in self.known]))
         if fresh:
-            pieces, plan = fresh, {}
-            if self.special:
-                for i, c in enumerate(fresh):
-                    if "<|" in c and self.special.search(c):
-                        pieces = pieces if plan else list(fresh)
-                        parts = [x for x in self.special.split(c) if x]
-                        plan[i] = [(x, len(pieces) + k) for k, x in enumerate(parts)]
-                        pieces[i] = ""
-                        pieces += ["" if x in self.added else x for x in parts]
-            split = self.words(pieces)
-            new = [w for w in dict.fromkeys(itertools.chain.from_iterable(split)) if w not in known]
-            found = dict(zip(new, (self.merge_words_library if by_library else self.merge_words)(new), strict=True)) if new else {}
-            if len(known) + len(found) > CACHED_WORDS:
-                kept = {w: known[w] for w in set(itertools.chain.from_iterable(split)) & known.keys()}
-                known.clear()
-                known |= kept
-            known |= found
-            made = [known[ws[0]] if len(ws) == 1 else tuple(itertools.chain.from_iterable([known[w] for w in ws])) for ws in split]
-            for i, parts in plan.items():
-                made[i] = tuple(itertools.chain.from_iterable([(self.added[x],) if x in self.added else made[k] for x, k in parts]))
-            if len(cache) + len(fresh) > CACHED_CHUNKS:
-                kept = {c: cache[c] for c in chunks if c in cache}
-                cache.clear()
-                cache |= kept
-            cache |= zip(fresh, made)
-        return [cache[c] for c in chunks]
+            ids, offsets = self.merge_library(fresh) if by_library else self.merge([w.encode("utf-8") for w in fresh])
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+            self.known_ids = np.concatenate((self.known_ids, ids))
+            self.known_sizes = np.concatenate((self.known_sizes, np.diff(offsets)))
+        code = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        flat = self.known_ids[spread(self.known_sizes, np.cumsum(self.known_sizes) - self.known_sizes, code)]
+        ends = np.cumsum(self.known_sizes[code])[code == 0]
+        sizes = np.diff(ends, prepend=0)
+        return flat, (np.bincount(of_piece, weights=sizes, minlength=len(chunks)).astype(np.int64) if splits else sizes)
+
+    def encode_chunks(self, chunks: list[str], by_library: bool = False) -> list[tuple[int, ...]]:
+        """The ids of each chunk as a tuple."""
+        flat, sizes = self.encode_flat(chunks, by_library)
+        ids, ends = flat.tolist(), np.cumsum(sizes).tolist()
+        return [tuple(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
     def decode(self, ids) -> str:
         """The vocabulary names no decoder: its tokens, joined by one space."""
@@ -283,8 +287,9 @@ def encode(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str
         for batch in batches:
             for part in slices(batch, "text"):
                 offsets, chunks, codes = chunk_codes(part.column("text"))
-                ids = v.encode_chunks(chunks.to_pylist())
-                counts = np.fromiter(map(len, ids), np.int64, len(ids))
+                flat, counts = v.encode_flat(listed(chunks))
+                ids, ends = flat.tolist(), np.cumsum(counts).tolist()
+                ids = [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
                 if (counts == 0).any():
                     keep = counts[codes] > 0
                     offsets, codes = np.concatenate(([0], np.cumsum(keep)))[offsets], codes[keep]

@@ -56,6 +56,20 @@ def chunk_codes(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return offsets, words, codes
 
 
+def listed(chunks: pa.Array) -> list[str]:
+    """The chunks as Python strings: cut from one text, which costs a tenth of converting each."""
+    chunks = chunks.cast(pa.large_string())
+    if not len(chunks):
+        return []
+    bounds = np.frombuffer(chunks.buffers()[1], np.int64)[chunks.offset : chunks.offset + len(chunks) + 1]
+    data = np.frombuffer(chunks.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+    out = np.full(len(data) + len(chunks) - 1, 10, np.uint8)  # line feeds, which no chunk holds
+    inner = np.ones(len(out), bool)
+    inner[bounds[1:-1] - bounds[0] + np.arange(len(chunks) - 1)] = False
+    out[inner] = data
+    return out.tobytes().decode("utf-8").split("\n")
+
+
 def spread(lengths: np.ndarray, starts: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Indices of all items of all codes in order, where code c owns starts[c] .. +lengths[c]."""
     n = lengths[codes]

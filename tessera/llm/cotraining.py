@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.chunks import chunk_codes, slices
+from tessera.llm.chunks import chunk_codes, listed, slices
 from tessera.session import ship_package
 
 #: Rows that are fitted on at most, labelled and not.
@@ -42,7 +42,7 @@ META_WIDTH = 1 << 12
 def text_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, features): the ascending active features of each text."""
     offsets, chunks, codes = chunk_codes(texts)
-    words = chunks.to_pylist()
+    words = listed(chunks)
     ids, shape = np.zeros(len(words) + 1, np.int64), np.zeros((len(words) + 1, 5))
     for i, c in enumerate(words):
         core = c.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¡¿«»…")

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.chunks import chunk_codes
+from tessera.llm.chunks import chunk_codes, listed
 from tessera.session import materialise, ship_package
 
 #: Hashes of the end of a text and of the context before its first token; no word hashes to them by rule.
@@ -74,7 +74,7 @@ class Tokens:
     def __init__(self, texts: pa.Array):
         offsets, words, codes = chunk_codes(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
         digest = xxhash.xxh64_intdigest
-        hashes = np.array([*[digest(w, 1) for w in words.to_pylist()], int(END)], np.uint64)
+        hashes = np.array([*[digest(w, 1) for w in listed(words)], int(END)], np.uint64)
         sizes = np.diff(offsets)
         self.ends = np.cumsum(sizes + 1) - 1
         self.starts = self.ends - sizes

@@ -7,14 +7,16 @@ A shard holds the documents of one range of keys in ascending order:
     Bloom filter     over the keys, ten bits each
     footer           offsets and sizes of index and filter, counts of documents and ids, magic
 
-A key is the big-endian identifier with its sign bit flipped, so bytes order as numbers do; a value
-is the ids as little-endian unsigned 32-bit integers. Lookup reads the footer, asks the filter,
+A key is one byte 1 and the big-endian identifier with its sign bit flipped, so bytes order as
+numbers do; documents without an identifier come first, under nine zero bytes. A value is the ids
+as little-endian unsigned 32-bit integers. Lookup reads the footer, asks the filter,
 searches the index in halves and reads one block.
 """
 
 from __future__ import annotations
 
 import bisect
+import itertools
 import struct
 import zlib
 
@@ -26,20 +28,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import _vocabulary, share
-from tessera.llm.chunks import chunk_codes, slices, spread
+from tessera.llm.chunks import chunk_codes, listed, slices, spread
 from tessera.llm.files import opened, publishing
 from tessera.session import new_folder, ship_package, shuffle_partitions
 
 BLOCK_BYTES, BLOOM_BITS, BLOOM_HASHES = 1 << 18, 10, 7
-FOOTER, MAGIC = struct.Struct("<QQQQQQ8s"), b"TSRSST01"
+#: A task begins a new file after so many bytes of values, which bounds the keys that it holds.
+SHARD_BYTES, KEY_BYTES = 1 << 28, 9
+FOOTER, MAGIC = struct.Struct("<QQQQQQ8s"), b"TSRSST02"
 
 
-def key_bytes(identifier: int) -> bytes:
-    return struct.pack(">Q", (identifier + (1 << 63)) & 0xFFFFFFFFFFFFFFFF)
+def key_bytes(identifier: int | None) -> bytes:
+    return bytes(KEY_BYTES) if identifier is None else struct.pack(">BQ", 1, (identifier + (1 << 63)) & 0xFFFFFFFFFFFFFFFF)
 
 
-def key_value(key: bytes) -> int:
-    return struct.unpack(">Q", key)[0] - (1 << 63)
+def key_value(key: bytes) -> int | None:
+    return struct.unpack(">Q", key[1:])[0] - (1 << 63) if key[0] else None
 
 
 def _varint(n: int) -> bytes:
@@ -76,7 +80,7 @@ class Writer:
         self.index, self.keys, self.offset, self.ids = [], [], 0, 0
         self.zstd = zstandard.ZstdCompressor(level=1)
 
-    def add(self, identifier: int, value: bytes) -> None:
+    def add(self, identifier: int | None, value: bytes) -> None:
         key = key_bytes(identifier)
         if self.block and key < self.last:
             raise ValueError("identifiers must ascend")
@@ -120,7 +124,7 @@ class Reader:
         if magic != MAGIC:
             raise ValueError("not a token shard")
         raw = file.read_at(index_n, index_at)
-        self.index = [(raw[i : i + 8], *struct.unpack_from("<QQ", raw, i + 8)) for i in range(0, len(raw), 24)]
+        self.index = [(raw[i : i + KEY_BYTES], *struct.unpack_from("<QQ", raw, i + KEY_BYTES)) for i in range(0, len(raw), KEY_BYTES + 16)]
         bloom = file.read_at(bloom_n, bloom_at)
         self.bits, self.bloom = struct.unpack_from("<Q", bloom)[0], np.frombuffer(bloom, np.uint8, offset=8)
         self.zstd = zstandard.ZstdDecompressor()
@@ -141,7 +145,7 @@ class Reader:
         for i in range(len(self.index)):
             yield from self.block(i)
 
-    def get(self, identifier: int) -> list[np.ndarray]:
+    def get(self, identifier: int | None) -> list[np.ndarray]:
         """The ids of every document of that identifier; an empty list if the shard has none."""
         key, found = key_bytes(identifier), []
         at = _bloom_bits([key], self.bits)[0].astype(np.int64)
@@ -161,40 +165,47 @@ def write_shards(docs: DataFrame, vocabulary_path: str, folder: str | None = Non
     """Encode every whole text with the tokenizers library, append end_id and write shards.
 
     Texts are dealt by range of (key, hash of the text), so one identifier with very many rows
-    spreads over shards; each task sorts its range, encodes it and publishes one file. Returns the
-    manifest, one row a shard: shard, path, documents, ids, start (ids of all shards before it).
-    The manifest alone passes the driver. Null and empty texts hold end_id only; rows without an
-    identifier are left out, as nothing could look them up; repeated rows are kept, ties in the
-    order of their texts.
+    spreads over shards; each task sorts its range, encodes it and publishes a file for every
+    SHARD_BYTES of ids. Returns the manifest, one row a file: shard, path, documents, ids, start
+    (ids of all files before it). The manifest alone passes the driver. Null and empty texts hold
+    end_id only; rows without an identifier come first; repeated rows are kept, ties in the order
+    of their texts' hashes.
     """
     spark = docs.sparkSession
     ship_package(spark)
     folder = folder or new_folder(spark, "sstable")
     shared = share(spark, vocabulary_path)
     n = shuffle_partitions(spark)
-    source = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text")).where("k is not null")
+    source = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     dealt = source.withColumn("h", F.xxhash64("text")).repartitionByRange(n, "k", "h").sortWithinPartitions("k", "h").drop("h")
 
+    def files(parts, shard: int):
+        """(path, documents, ids) of the files of one task."""
+        v, end, part, row = _vocabulary(shared), np.array([end_id], "<u4").tobytes(), next(parts, None), 0
+        for file in itertools.count():
+            if part is None:
+                return
+            path = f"{folder}/shard-{shard:06d}-{file:06d}.sst"
+            with publishing(path) as stream:
+                w = Writer(stream)
+                while part is not None and w.ids * 4 < SHARD_BYTES:
+                    if not row:
+                        offsets, chunks, codes = chunk_codes(part.column("text"))
+                        flat, sizes = v.encode_flat(listed(chunks), by_library=True)
+                        flat, starts, keys = flat.astype("<u4"), np.cumsum(sizes) - sizes, part.column("k").to_pylist()
+                    while row < len(keys) and w.ids * 4 < SHARD_BYTES:
+                        w.add(keys[row], flat[spread(sizes, starts, codes[offsets[row] : offsets[row + 1]])].tobytes() + end)
+                        row += 1
+                    if row == len(keys):
+                        part, row = next(parts, None), 0
+                documents, total = w.finish()
+            yield path, documents, total
+
     def run(batches):
         from pyspark import TaskContext
 
-        v, shard = _vocabulary(shared), TaskContext.get().partitionId()
-        path, any_row = f"{folder}/shard-{shard:06d}.sst", False
-        with publishing(path) as stream:
-            w = Writer(stream)
-            for batch in batches:
-                for part in slices(batch, "text"):
-                    any_row = True
-                    offsets, chunks, codes = chunk_codes(part.column("text"))
-                    ids = v.encode_chunks(chunks.to_pylist(), by_library=True)
-                    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-                    flat = np.fromiter((i for c in ids for i in c), np.uint32, int(lengths.sum()))
-                    starts = np.cumsum(lengths) - lengths
-                    end = np.array([end_id], np.uint32).tobytes()
-                    for k, a, b in zip(part.column("k").to_pylist(), offsets[:-1], offsets[1:], strict=True):
-                        w.add(k, flat[spread(lengths, starts, codes[a:b])].astype("<u4").tobytes() + end)
-            documents, total = w.finish()
-        if any_row:
+        shard = TaskContext.get().partitionId()
+        for path, documents, total in files((p for b in batches for p in slices(b, "text")), shard):
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [path], "documents": pa.array([documents], pa.int64()), "ids": pa.array([total], pa.int64())})
 
     rows = sorted(dealt.mapInArrow(run, "shard int, path string, documents long, ids long").collect())

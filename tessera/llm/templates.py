@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.chunks import chunk_codes, slices
+from tessera.llm.chunks import chunk_codes, listed, slices
 from tessera.session import materialise, ship_package
 
 WINDOW, SHARE, FILTER_BITS = 5, 0.8, 24
@@ -57,7 +57,7 @@ def canonical(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     it would be a name if it did not begin its sentence)."""
     offsets, chunks, codes = chunk_codes(texts)
     kinds, hashes, values, units, ends = [], [], [], {}, []
-    words = chunks.to_pylist()
+    words = listed(chunks)
     for i, c in enumerate(words):
         kind, value, unit = classify(c)
         kinds.append(kind)
