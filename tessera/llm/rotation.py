@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.simhash import _Forest
+from tessera.llm.simhash import Forest
 from tessera.operators.components import connected_components
 from tessera.session import materialise, ship_package
 
@@ -101,7 +101,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str =
         unit /= np.linalg.norm(unit, axis=1, keepdims=True)
         own, i, j = table.column("own").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        linked, forest = np.zeros(len(unit), np.int64), _Forest(len(unit))
+        linked, forest = np.zeros(len(unit), np.int64), Forest(len(unit))
         n = table.column("n").to_numpy()
         for x, y, _ in near_pairs(unit[left], unit[right], threshold, i == j):
             a, b = left[x], right[y]

@@ -1,75 +1,101 @@
 """Near-duplicate search by SimHash fingerprints and vantage-point trees.
 
-Fingerprints are cut into five sub-spaces of 12 or 13 bits. Two fingerprints that differ in at most
-four bits agree wholly in one sub-space, so there both lie at the same Hamming distance from every
-vantage point: a shard is one sub-space point, and no boundary of a sub-space is crossed. A shard
-with more than `hot` fingerprints is split at full width into shells by Hamming distance from its
-own vantage point; as |d(x,v) - d(y,v)| <= d(x,y), a shell queries its own members and the
-overlap of `radius` shells above it. Inside a shard a vantage-point tree splits at the median
-distance, drops every branch that the triangle bound rules out, and compares leaves exactly.
-
-Only a spanning forest of the links of a shard leaves its task: a group of thousands of near copies
-gives as many edges as members, never all pairs. Components are then joined by star contraction.
+Hamming distance over a part of the bits is a metric too, and two fingerprints within the radius
+are at distance zero in some part when the bits are cut into more parts than the radius has. So
+each fingerprint goes to one cell in each of a few tables, by the bits of some parts; how many parts
+a table uses follows from the number of fingerprints alone, so that cells stay small at every size
+and the tables, 5 to 70 of them, stay complete.
+
+A cell is partitioned by the full Hamming distance from a vantage point of its own, in shells of
+eight. As |d(x, v) - d(y, v)| <= d(x, y), a pair crosses a shell's boundary only from within the
+radius of it: those fingerprints are guests of the next shell and are queried there. Within a shard
+(one shell of one cell) a vantage-point tree splits at the median distance, sends to the far side
+only what the triangle bound lets lie within the radius of the boundary, and compares its leaves
+exactly. A shard with very many fingerprints is worked off as pairs of blocks of bounded size.
+
+Only a spanning forest of the links of a shard leaves its task, each edge a true link: a group of
+thousands of near copies gives as many edges as members, never all pairs. Components are then
+joined by star contraction.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tessera.operators.components import connected_components
 from tessera.llm.chunks import slices
-from tessera.session import materialise, ship_package, shuffle_partitions
+from tessera.session import materialise, ship_package
 
-SHINGLE, RADIUS, SEED, LEAF, HOT = 4, 4, 42, 64, 20_000
-#: First bit and width of the sub-spaces: one more than the radius.
-SUBSPACES = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+SHINGLE, RADIUS, SEED = 4, 4, 42
+#: Members of a leaf of the tree; fingerprints that a cell should hold; shell width; members of a block.
+LEAF, CELL, SHELL, BLOCK = 32, 1024, 8, 32_768
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The fingerprint of one text: a bit is set if it is set in over half of the shingles' XXH64.
+def shingle_hashes(text: str | None, shingle: int, seed: int = SEED) -> np.ndarray:
+    """XXH64 of each shingle in order, repeats included.
 
-    Words are runs of anything but ASCII white space, after A-Z are lower-cased; repeats count.
-    Fewer words than a shingle make one shingle; no word, null and empty give zero.
+    Words are runs of anything but ASCII white space, after A-Z are lower-cased. Fewer words than a
+    shingle make one shingle; no word, null and empty give none.
     """
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
     starts = ends - sizes
     n = max(1, len(words) - shingle + 1)
     data, digest = b" ".join(words), xxhash.xxh64_intdigest
-    hashes = np.array([digest(data[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)], np.uint64)
+    return np.array([digest(data[a:b], seed) for a, b in zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)], np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes; zero if there are none."""
     total = np.zeros(64, np.int64)
-    for i in range(0, n, 1 << 15):  # long texts by parts
+    for i in range(0, len(hashes), 1 << 15):  # long texts by parts
         total += np.unpackbits(hashes[i : i + (1 << 15)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
-    return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big")
+    return int.from_bytes(np.packbits(total * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, fp long): the fingerprint's bits as a signed number."""
-    ship_package(docs.sparkSession)
-    source = docs.select(F.col(key).alias("k"), F.col(text).alias("text"))
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The fingerprint of one text: a bit is set if it is set in over half of the shingles' XXH64."""
+    return majority(shingle_hashes(text, shingle))
+
+
+def _with_fingerprint(source: DataFrame, text: str, column: str) -> DataFrame:
+    """All columns of source and the fingerprint of `text`, its bits as a signed number."""
+    ship_package(source.sparkSession)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
-                fp = np.array([fingerprint(t) for t in part.column("text").to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("k"), pa.array(fp.view(np.int64))], names=["k", "fp"])
+            for part in slices(batch, text):
+                fp = np.array([fingerprint(t) for t in part.column(text).to_pylist()], np.uint64)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(fp.view(np.int64))], names=[*part.schema.names, column])
+
+    return source.mapInArrow(run, StructType([*source.schema.fields, StructField(column, LongType())]))
 
-    return source.mapInArrow(run, f"k {source.schema['k'].dataType.simpleString()}, fp long").withColumnRenamed("k", key)
+
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, fp long) of every row."""
+    return _with_fingerprint(docs.select(F.col(key).alias("k"), F.col(text).alias("text")), "text", "fp").select(F.col("k").alias(key), "fp")
 
 
-class _Forest:
-    """Links between positions, kept as a label that falls to the smallest position linked."""
+class Forest:
+    """A spanning forest of links between positions: each position's label is the smallest position
+    that links reach, and the edges kept are links that joined two trees. Counts what a tree search
+    compared and what the triangle bound let it leave out."""
 
     def __init__(self, n: int):
-        self.label = np.arange(n)
+        self.label, self._edges = np.arange(n), []
+        self.compared = self.pruned = 0
 
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
         label = self.label
@@ -78,115 +104,127 @@ class _Forest:
             differ = x != y
             if not differ.any():
                 return
-            a, b, x, y = a[differ], b[differ], x[differ], y[differ]
-            np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+            a, b, high, low = a[differ], b[differ], np.maximum(x, y)[differ], np.minimum(x, y)[differ]
+            order = np.lexsort((low, high))
+            first = order[np.concatenate(([True], high[order][1:] != high[order][:-1]))]
+            self._edges.append((a[first], b[first]))  # each tree is hooked to a smaller one, once
+            label[high[first]] = low[first]
             while True:
                 up = label[label]
                 if (up == label).all():
                     break
                 label[:] = up
 
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self._edges:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return tuple(np.concatenate(x) for x in zip(*self._edges, strict=True))
+
 
-def _compare(fp: np.ndarray, home: np.ndarray, other: np.ndarray, radius: int, forest: _Forest) -> None:
-    """Link every member of home with every member of home and other within the radius."""
-    both = np.concatenate((home, other))
+def _compare(fp: np.ndarray, home: np.ndarray, other: np.ndarray, radius: int, forest: Forest, within: bool) -> None:
+    """Link members of home with those of other and, if `within`, of home."""
+    both = np.concatenate((home, other)) if within else other
     for i in range(0, len(home), 256):
         rows = home[i : i + 256]
         near = np.bitwise_count(fp[rows][:, None] ^ fp[both][None, :]) <= radius
+        forest.compared += near.size
         a, b = np.nonzero(near)
         forest.add(rows[a], both[b])
 
 
-def tree_links(fp: np.ndarray, home: np.ndarray, other: np.ndarray, radius: int, forest: _Forest) -> None:
-    """Vantage-point tree over home, with the overlap `other` queried against it only.
+def tree_links(fp: np.ndarray, home: np.ndarray, other: np.ndarray, radius: int, forest: Forest, within: bool = True) -> None:
+    """Vantage-point tree over home, which `other` is queried against; with `within` home's own pairs
+    are found too. fp holds no fingerprint twice among home.
 
     A branch gets from the far side of its boundary what the triangle bound lets lie within the
-    radius of it, each pair on one side alone. A branch that the bound cannot cut further is
-    compared block by block.
+    radius of it, each pair on one side alone.
     """
-    stack = [(home, other, 0)]
+    stack = [(home, other)]
     while stack:
-        home, other, stuck = stack.pop()
-        if not len(home):
+        home, other = stack.pop()
+        if len(home) <= LEAF:
+            if len(home) and (within or len(other)):
+                _compare(fp, home, other, radius, forest, within)
             continue
-        if len(home) <= LEAF or stuck > 3:
-            _compare(fp, home, other, radius, forest)
-            continue
-        vantage = fp[home[len(home) // 2 if stuck else 0]]
-        dh, do = np.bitwise_count(fp[home] ^ vantage), np.bitwise_count(fp[other] ^ vantage)
-        near = home[dh <= radius]
-        forest.add(near, np.full(len(near), home[len(home) // 2 if stuck else 0]))
-        mid = np.median(dh)
-        low = dh <= mid
-        if low.all():
-            low = dh < mid
-        edge = dh[low].max() if low.any() else mid
+        vantage = fp[home[0]]
+        dh, do = np.bitwise_count(fp[home] ^ vantage).astype(np.int64), np.bitwise_count(fp[other] ^ vantage).astype(np.int64)
+        edge = int(np.median(dh))
+        if edge == dh.max():
+            edge -= 1  # the vantage point itself is at zero, all others are not
+        low = dh <= edge
         inner, outer = home[low], home[~low]
-        inner_other = np.concatenate((other[do <= edge + radius], outer[dh[~low] <= edge + radius]))
-        outer_other = other[do.astype(np.int64) > edge - radius]
-        less = max(len(inner) + len(inner_other), len(outer) + len(outer_other)) < 0.9 * (len(home) + len(other))
-        stack += [(inner, inner_other, 0 if less else stuck + 1), (outer, outer_other, 0 if less else stuck + 1)]
-
-
-def _shard_forest(shards: np.ndarray, fp: np.ndarray, home: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(member, root) of the spanning forest of all shards of a task."""
-    order = np.lexsort((~home, shards))
-    shards, fp, home = shards[order], fp[order], home[order]
-    forest = _Forest(len(fp))
-    cuts = np.concatenate(([0], np.flatnonzero(shards[1:] != shards[:-1]) + 1, [len(fp)]))
-    sizes = np.diff(cuts)
-    small = np.repeat(sizes <= LEAF, sizes) & home
-    for step in range(1, min(LEAF, int(sizes.max(initial=1)))):  # all small shards at once, by distance in order
-        a = np.flatnonzero((shards[step:] == shards[:-step]) & small[:-step] & small[step:])
-        a = a[np.bitwise_count(fp[a] ^ fp[a + step]) <= radius]
-        forest.add(a, a + step)
-    mixed = np.add.reduceat(~home, cuts[:-1]) > 0 if len(fp) else np.zeros(0, bool)
-    for i in np.flatnonzero((sizes > LEAF) | mixed):
-        at = np.arange(cuts[i], cuts[i + 1])
-        tree_links(fp, at[home[at]], at[~home[at]], radius, forest)
-    member = np.flatnonzero(forest.label != np.arange(len(fp)))
-    return fp[member], fp[forest.label[member]]
-
-
-def links(distinct: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
-    """(a, b): enough links between the fingerprints in column fp, each within the radius, to
-    connect all that a chain of links connects. distinct: no fingerprint twice."""
-    if radius >= len(SUBSPACES):
-        raise ValueError("the radius must be less than the number of sub-spaces")
-    spark = distinct.sparkSession
-    cells = F.array(*[F.shiftrightunsigned("fp", b).bitwiseAND(F.lit((1 << w) - 1)) + F.lit(j << 16) for j, (b, w) in enumerate(SUBSPACES)])
+        crossing = outer[dh[~low] <= edge + radius] if within else outer[:0]
+        inner_other, outer_other = other[do <= edge + radius], other[do > edge - radius]
+        forest.pruned += (len(outer) - len(crossing) if within else 0) + 2 * len(other) - len(inner_other) - len(outer_other)
+        stack += [(inner, np.concatenate((inner_other, crossing))), (outer, outer_other)]
+
+
+def tables(n: int, radius: int = RADIUS, cell: int = CELL) -> list[int]:
+    """Bit masks, one a table: two fingerprints within the radius agree on all bits of some mask, and
+    n fingerprints spread over its bits leave about `cell` of them in each cell."""
+    need = max(0, math.ceil(math.log2(max(1, n) / cell)))
+    if not need:
+        return [0]
+    for parts in range(radius + 1, radius + 5):
+        bounds = [64 * i // parts for i in range(parts + 1)]
+        agree = parts - radius
+        if 64 // parts * agree >= need or parts == radius + 4:
+            each = min(64 // parts, math.ceil(need / agree))
+            return [sum(((1 << each) - 1) << bounds[i] for i in chosen) for chosen in itertools.combinations(range(parts), agree)]
+
+
+def links(distinct: DataFrame, radius: int = RADIUS, cell: int = CELL, block: int = BLOCK) -> DataFrame:
+    """(a, b): links between the fingerprints in column fp, each within the radius, that connect all
+    that a chain of links connects. distinct: no fingerprint twice."""
+    if not 0 <= radius < SHELL:
+        raise ValueError("the radius must be less than a shell's width")
+    ship_package(distinct.sparkSession)
+    signed = [m - (1 << 64) if m >> 63 else m for m in tables(distinct.count(), radius, cell)]
+    cells = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(signed)])
     placed = distinct.select("fp", F.explode(cells).alias("cell"))
-    large = placed.groupBy("cell").agg(F.count("*").alias("n"), F.min("fp").alias("vantage")).where(F.col("n") > hot).select("cell", "vantage")
-    away = F.bit_count(F.col("fp").bitwiseXOR(F.col("vantage")))
-    shells = F.when(F.col("vantage").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.greatest(F.lit(0), away - radius), away))
-    held = placed.join(large, "cell", "left").select("fp", "cell", "vantage", away.alias("d"), F.explode(shells).alias("shell"))
-    held = held.select("fp", (F.col("cell") * 128 + F.when(F.col("vantage").isNull(), 127).otherwise(F.col("shell"))).cast("long").alias("shard"), (F.col("vantage").isNull() | (F.col("shell") == F.col("d"))).alias("home"))
-    dealt = held.repartition(shuffle_partitions(spark), "shard")
-
-    def run(batches):
-        got = [pa.Table.from_batches([b]) for b in batches]
-        if got:
-            t = pa.concat_tables(got)
-            a, b = _shard_forest(t.column("shard").to_numpy(), t.column("fp").to_numpy().view(np.uint64), t.column("home").to_numpy(), radius)
-            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-
-    return dealt.mapInArrow(run, "a long, b long")
-
-
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, hot: int = HOT) -> DataFrame:
+    away = F.bit_count(F.col("fp").bitwiseXOR(F.xxhash64("cell", F.lit(7))))  # a cell's vantage point
+    shell = F.floor(away / SHELL).cast("int")
+    guest = (away + radius) >= (shell + 1) * SHELL
+    both = F.when(guest, F.array(F.struct(shell.alias("shell"), F.lit(True).alias("home")), F.struct((shell + 1).alias("shell"), F.lit(False).alias("home")))).otherwise(F.array(F.struct(shell.alias("shell"), F.lit(True).alias("home"))))
+    held = placed.select("fp", "cell", F.explode(both).alias("s")).select("fp", "cell", "s.shell", "s.home")
+    large = held.groupBy("cell", "shell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("blocks > 1")
+    dealt = held.join(large, ["cell", "shell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp", F.lit(3)), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    work = dealt.select("cell", "shell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "home", "own")
+
+    def run(shard: pa.Table) -> pa.Table:
+        fp, home, own = shard.column("fp").to_numpy().view(np.uint64), shard.column("home").to_numpy(zero_copy_only=False), shard.column("own").to_numpy()
+        forest, first = Forest(len(fp)), own == shard.column("i")[0].as_py()
+        if first.all():
+            tree_links(fp, np.flatnonzero(home), np.flatnonzero(~home), radius, forest)
+        else:
+            tree_links(fp, np.flatnonzero(first), np.flatnonzero(~first), radius, forest, within=False)
+        a, b = forest.edges()
+        signs = fp.view(np.int64)
+        return pa.table({"a": pa.array(signs[a]), "b": pa.array(signs[b])})
+
+    return work.groupBy("cell", "shell", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def components(marked: DataFrame, key: str, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
+    """(fp, c): for each fingerprint in marked the least (no key, key, fp) of its component."""
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "fp")
+    reps = materialise(marked.groupBy("fp").agg(F.min(order).alias("node")), "fingerprints")
+    near = links(reps.select("fp"), radius, cell)
+    for c in "ab":  # nodes are named by their keys, so that a component's least node has its least key
+        near = near.join(reps.select(F.col("fp").alias(c), F.col("node").alias(f"n{c}")), c)
+    at = connected_components(near, "na", "nb").select(F.col("node.fp").alias("f"), "component")
+    return reps.join(at, F.col("fp") == F.col("f"), "left").select("fp", F.coalesce("component", "node").alias("c"))
+
+
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, cell: int = CELL) -> DataFrame:
     """(key, fp, component_id) of every row: component_id is the smallest key reachable by links.
 
     Null and empty texts have fingerprint zero and link like any other. Repeated rows stay. Rows
     without a key keep their place in links, but a component is named by the keys that are not null.
     """
-    spark = docs.sparkSession
-    ship_package(spark)
     marked = materialise(fingerprints(docs, key, text), "fingerprints")
-    reps = marked.groupBy("fp").agg(F.min(key).alias("first"))
-    labels = connected_components(links(reps.select("fp"), radius, hot), "a", "b")
-    named = reps.join(labels, reps["fp"] == labels["node"], "left").select(reps["fp"], "first", F.coalesce("component", reps["fp"]).alias("label"))
-    least = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    return marked.join(named.join(least, "label").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
+    return marked.join(components(marked, key, radius, cell), "fp").select(key, "fp", F.col("c.key").alias("component_id"))
 
 
 def hex_fingerprint(column: str = "fp"):
@@ -194,10 +232,12 @@ def hex_fingerprint(column: str = "fp"):
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """The rows whose key names their component: one document of each group of near copies.
+    """One row of each group of near copies: that of the least key, those without a key last.
 
-    Rows that share that key (repeated rows) are cut to one. Rows without a key go, as nothing could
-    name the one that stays.
+    Repeated rows are cut to one; rows of one key with different fingerprints are told apart, those
+    with the same one count as copies.
     """
-    named = groups(docs, key, text, radius).where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__kept")).distinct()
-    return docs.join(named, docs[key] == named["__kept"], "left_semi").dropDuplicates([key])
+    marked = materialise(_with_fingerprint(docs, text, "__fp"), "fingerprints")
+    best = components(marked.select(F.col(key).alias("k"), F.col("__fp").alias("fp")), "k", radius, CELL).where(F.col("fp") == F.col("c.fp")).select(F.col("fp").alias("__f"), F.col("c.key").alias("__k"))
+    kept = marked.join(best, (F.col("__fp") == F.col("__f")) & F.col(key).eqNullSafe(F.col("__k")), "left_semi")
+    return kept.dropDuplicates([key, "__fp"]).drop("__fp")

@@ -61,3 +61,26 @@ def test_a_group_larger_than_the_steps_is_whole(spark):
     rows = [(i, " ".join(base[:k] + [f"y{i}"] + base[k + 1 :])) for i in range(150) for k in [(i * 7) % 200]]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert [r.doc_id for r in shingles.keep_one(df).collect()] == [0]
+
+
+def test_clusters_of_several_blocks_lose_no_pair(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(240):  # about half of the pairs of near copies reach the similarity
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 3, 12])):
+            copy[rng.randrange(60)] = f"x{i}{rng.randrange(99)}"
+        texts.append(" ".join(copy))
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = {r.doc_id for r in shingles.keep_one(df).collect()}
+    monkeypatch.setattr(shingles, "BLOCK_TEXTS", 16)
+    assert {r.doc_id for r in shingles.keep_one(df).collect()} == whole
+    label = list(range(len(rows)))
+    for i, a in rows:
+        for j, b in rows[:i]:
+            if label[i] != label[j] and similarity(a, b) >= 0.8:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert whole == set(label) and 1 < len(whole) < 240

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tessera.llm import rotation, simhash, templates
+from tessera.llm import registry, rotation, simhash, templates
 from tessera.operators.components import connected_components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -47,18 +47,49 @@ def crowded(seed, groups, members):
     return np.array(sorted(out), np.uint64)
 
 
-@pytest.mark.parametrize("hot", [20, 20_000])
-def test_links_connect_all_that_brute_force_connects(spark, hot):
+@pytest.mark.parametrize("cell,block", [(1 << 20, 1 << 20), (300, 50), (8, 1 << 20), (0.01, 100), (0.00001, 100)])
+def test_links_connect_all_that_brute_force_connects(spark, cell, block):
     fp = crowded(5, 8, 120)
-    label = closure(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 4)
+    near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 4
+    label = closure(near)
     df = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long")
-    found = simhash.links(df, hot=hot).collect()
-    assert len(found) < 5 * 5 * len(fp)  # forests, not pairs
+    found = simhash.links(df, cell=cell, block=block).collect()
+    assert all(((r.a ^ r.b) & (1 << 64) - 1).bit_count() <= 4 for r in found)  # every edge is a link
+    assert len(found) < 100 * len(fp)  # forests, not pairs
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(found, "a long, b long"), "a", "b").collect()}
     named = [got.get(int(x), int(x)) for x in fp.view(np.int64)]
     assert len(set(zip(label, named))) == len(set(label)) == len(set(named))
 
 
+def test_tables_are_complete():
+    rng = np.random.default_rng(3)
+    for n in (1, 2000, 10**5, 10**7, 10**9, 10**12):
+        masks = simhash.tables(n)
+        for _ in range(500):
+            flips = sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
+            assert any(not flips & m for m in masks)
+
+
+def test_the_tree_decides_the_pairs_of_the_real_tables(spark):
+    fp = np.array([r.fp for r in simhash.fingerprints(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).distinct().collect()], np.int64).view(np.uint64)
+    fp = np.unique(fp)
+    forest = simhash.Forest(len(fp))
+    simhash.tree_links(fp, np.arange(len(fp)), np.arange(0), 4, forest)
+    assert (closure(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 4) == forest.label).all()
+    assert forest.pruned > len(fp) and forest.compared < 0.75 * len(fp) ** 2 / 2
+
+
+def test_simhash_query_equals_brute_force(spark):
+    base = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{base}/documents.parquet").collect()}
+    ids = sorted(docs)
+    fp = np.array([slow_fingerprint(docs[i]) for i in ids], np.uint64)
+    label = closure(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 4)
+    want = {i: (f"{int(f):016x}", ids[c]) for i, f, c in zip(ids, fp, label)}
+    got = registry.queries()["op3_simhash"](spark, base).collect()
+    assert len(got) == len(ids) and {r.doc_id: (r.fingerprint, r.component_id) for r in got} == want
+
+
 def test_groups_of_odd_rows(spark):
     rows = [(5, None), (4, ""), (3, "one two three four five"), (2, "one two three four five"), (2, "one two three four five"), (9, "x " * 3000), (None, "one two three four five"), (None, "alone among all the others here")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'c' as fp", "1 as component_id", "2 as k")
