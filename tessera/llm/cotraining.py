@@ -1,12 +1,13 @@
 """Quality classification by co-training on two views of a document.
 
-The text view reads the distinct hashed words of the whole text and the binned shape of it (shares
-of symbols, capitals, digits and repeats, lengths); the metadata view reads source, language and the
-binned number of characters, never the text. Both are logistic models. In each round a view labels
-the pool of unlabelled documents; labels of which it is confident, as measured on calibration rows
-that no model learns from, are given to the other view. A view that shows no such confidence, for
-want of a signal, gives none. Then each view's logits are calibrated, and a last logistic model of
-both gives the score: the probability that a document is of good quality and not toxic.
+The text view reads the distinct hashed words of the whole text. The metadata view never sees a
+word: it reads source, language and stated number of characters, and the layout of the page in bins
+(lines, their length and repetition, size, and the shares of symbols, capitals, digits and repeats).
+Both are logistic models. In each round a view labels the pool of unlabelled documents; labels of
+which it is confident, as measured on calibration rows that no model learns from, are given to the
+other view, which learns from them beside the true labels. Then each view's logits are calibrated,
+and a last logistic model of both gives the score: the probability that a document is of good
+quality and not toxic. What each view gave in each round is kept in the model's history.
 
 Fit on bounded samples of rows, chosen by a hash of the identifier; every document is scored.
 
@@ -33,14 +34,15 @@ CHI_SQUARE = 15.0
 BITS, ROUNDS, CONFIDENT, PRECISION, EPOCHS, KEEP = 18, 3, 0.97, 0.97, 8, 0.5
 _WORDS = 1 << BITS
 _BINS = 16
-#: The shape features, each in bins after the hashed words.
-SHAPES = ("symbols", "capitals", "digits", "bare", "repeats", "word_length", "words", "line_length")
-WIDTH = _WORDS + len(SHAPES) * _BINS
-META_WIDTH = 1 << 12
+#: The layout features, each in bins after the hashed metadata.
+SHAPES = ("symbols", "capitals", "digits", "bare", "repeats", "word_length", "words", "line_length", "lines", "repeated_lines", "size_gap")
+WIDTH = _WORDS
+_META = 1 << 12
+META_WIDTH = _META + len(SHAPES) * _BINS
 
 
-def text_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets, features): the ascending active features of each text."""
+def features(texts: pa.Array, columns: dict[str, list]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """(offsets, ascending active features) of each text in the text view and in the metadata view."""
     offsets, chunks, codes = chunk_codes(texts)
     words = listed(chunks)
     ids, shape = np.zeros(len(words) + 1, np.int64), np.zeros((len(words) + 1, 5))
@@ -52,35 +54,39 @@ def text_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         symbols = len(c) - n + (0 if plain else sum(not x.isalnum() for x in core))
         soft = c[n:] in ("", ",", ".") if c.startswith(core) else False
         shape[i] = (0 if soft and plain else symbols, n if n > 1 and core.isupper() else 0, 0 if plain else sum(x.isdigit() for x in core), n == 0, len(c))
-    sizes = np.diff(offsets)
-    n = len(texts)
+    sizes, n = np.diff(offsets), len(texts)
     doc = np.repeat(np.arange(n), sizes)
     totals = np.stack([np.bincount(doc, weights=shape[codes, j], minlength=n) for j in range(5)], axis=1) if len(codes) else np.zeros((n, 5))
-    key = np.unique(doc * (1 << 40) + codes)
-    distinct = np.bincount(key >> 40, minlength=n)
+    distinct = np.bincount(np.unique(doc * (1 << 40) + codes) >> 40, minlength=n)
     key = np.unique(doc * (1 << 40) + ids[codes])
-    lines = np.array([t.count("\n") + 1 if t else 1 for t in texts.to_pylist()])
+    text = np.concatenate(([0], np.cumsum(np.bincount(key >> 40, minlength=n)))), key & ((1 << 40) - 1)
+    lines, own, chars = np.ones(n), np.ones(n), np.zeros(n)
+    for i, t in enumerate(texts.to_pylist()):
+        if t:
+            chars[i] = len(t)
+            if "\n" in t:
+                rows = t.split("\n")
+                lines[i], own[i] = len(rows), len(set(rows))
+    stated = np.array([-1 if v is None else v for v in columns.get("n_chars", [None] * n)], np.float64)
+    gap = np.where(stated < 0, _BINS - 1, np.minimum(np.abs(stated - chars) / np.maximum(chars, 1) * 20, _BINS - 2))
     letters, count = np.maximum(totals[:, 4], 1), np.maximum(sizes, 1)
-    values = [totals[:, 0] / letters * 40, totals[:, 1] / letters * 15, totals[:, 2] / letters * 40, totals[:, 3] / count * 30, (1 - distinct / count) * 15, totals[:, 4] / count, np.log2(sizes + 1), np.log2(count / lines + 1) * 2]
-    shapes = np.stack([np.clip(np.ceil(v), 0, _BINS - 1).astype(np.int64) + j * _BINS + _WORDS for j, v in enumerate(values)], axis=1)
-    extra = (np.arange(n)[:, None] * (1 << 40) + shapes).ravel()
-    key = np.sort(np.concatenate((key, extra)))
-    return np.concatenate(([0], np.cumsum(np.bincount(key >> 40, minlength=n)))), key & ((1 << 40) - 1)
+    values = [totals[:, 0] / letters * 40, totals[:, 1] / letters * 15, totals[:, 2] / letters * 40, totals[:, 3] / count * 30, (1 - distinct / count) * 15, totals[:, 4] / count, np.log2(sizes + 1), np.log2(count / lines + 1) * 2, np.log2(lines) * 2, (1 - own / lines) * 15, gap]
+    shapes = np.stack([np.clip(np.ceil(v), 0, _BINS - 1).astype(np.int64) + j * _BINS + _META for j, v in enumerate(values)], axis=1)
+    named = _metadata(columns, n)
+    flat = np.concatenate([x for r, t in zip(named, shapes, strict=True) for x in (r, t)]) if n else np.zeros(0, np.int64)
+    return text, (np.concatenate(([0], np.cumsum([len(r) + len(SHAPES) for r in named]))).astype(np.int64), flat)
 
 
-def meta_features(columns: dict[str, list], n: int) -> tuple[np.ndarray, np.ndarray]:
+def _metadata(columns: dict[str, list], n: int) -> list[np.ndarray]:
     """Hashed source, language and length bin, each alone and source with language."""
-    rows = []
+    rows, known = [], {}
     for i in range(n):
-        parts = []
-        for name, values in columns.items():
-            v = values[i]
-            if name == "n_chars":
-                v = None if v is None or v < 0 else int(2 * np.log2(v + 1))
-            parts.append(f"{name}={v}")
-        parts.append("|".join(p for p in parts if not p.startswith("n_chars")))
-        rows.append(sorted({xxhash.xxh3_64_intdigest(p) % META_WIDTH for p in parts}))
-    return np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64), np.array([x for r in rows for x in r], np.int64)
+        parts = tuple(f"{c}={None if v[i] is None or c == 'n_chars' and v[i] < 0 else int(2 * np.log2(v[i] + 1)) if c == 'n_chars' else v[i]}" for c, v in columns.items())
+        if parts not in known:
+            both = "|".join(p for p in parts if not p.startswith("n_chars"))
+            known[parts] = np.unique([xxhash.xxh3_64_intdigest(p) % _META for p in (*parts, both)])
+        rows.append(known[parts])
+    return rows
 
 
 class Rows:
@@ -150,15 +156,31 @@ def _calibrate(z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return w
 
 
+def _joined(t: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Both views' logits and the lower of them: a document must be good in either view."""
+    return np.column_stack([t, m, np.minimum(t, m)])
+
+
 class Model:
-    def __init__(self, text: Logistic, meta: Logistic, text_scale, meta_scale, both, names):
-        self.text, self.meta, self.text_scale, self.meta_scale, self.both, self.names = text, meta, text_scale, meta_scale, both, names
+    """history: for each round and view, the area under the curve on calibration rows and, for each
+    label that the view gave, how many it gave and how many calibration rows of it were right."""
+
+    def __init__(self, text: Logistic, meta: Logistic, text_scale, meta_scale, both, names, history=()):
+        self.text, self.meta, self.text_scale, self.meta_scale, self.both, self.names, self.history = text, meta, text_scale, meta_scale, both, names, list(history)
 
     def scores(self, zt: np.ndarray, zm: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(score, text view, metadata view), all probabilities."""
         sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         t, m = np.column_stack([zt, np.ones(len(zt))]) @ self.text_scale, np.column_stack([zm, np.ones(len(zm))]) @ self.meta_scale
-        return sigmoid(np.column_stack([t, m, np.ones(len(t))]) @ self.both), sigmoid(t), sigmoid(m)
+        return sigmoid(np.column_stack([_joined(t, m), np.ones(len(t))]) @ self.both), sigmoid(t), sigmoid(m)
+
+
+def area(z: np.ndarray, y: np.ndarray) -> float:
+    """The chance that a good row is ranked above a bad one, ties by half."""
+    _, place, met = np.unique(z, return_inverse=True, return_counts=True)
+    rank = (np.cumsum(met) - (met - 1) / 2)[place]
+    good = int(y.sum())
+    return float((rank[y == 1].sum() - good * (good + 1) / 2) / max(1, good * (len(y) - good)))
 
 
 def telling(rows: Rows, at: np.ndarray, y: np.ndarray, width: int) -> np.ndarray:
@@ -184,6 +206,7 @@ def cotrain(text: Rows, meta: Rows, y: np.ndarray, names: list[str], rounds: int
     for rows, width in views:
         rows.only(telling(rows, train, y[train], width))
     given = [np.full(len(y), -1) for _ in views]  # pseudo-labels that each view has received
+    history = []
     for step in range(rounds + 1):
         models, scales, told = [], [], []
         for (rows, width), extra in zip(views, given, strict=True):
@@ -200,15 +223,17 @@ def cotrain(text: Rows, meta: Rows, y: np.ndarray, names: list[str], rounds: int
         for v, (rows, _) in enumerate(views):
             p = lambda at: 1 / (1 + np.exp(-(models[v].logits(rows, at) * scales[v][0] + scales[v][1])))  # noqa: B023, E731
             on_calibration, on_pool = p(calibration), p(pool)
-            label = np.full(len(y), -1)
+            label, entry = np.full(len(y), -1), {"round": step, "view": ("text", "meta")[v], "area": area(on_calibration, y[calibration])}
             for value, chosen, sure in ((1, on_pool >= CONFIDENT, on_calibration >= CONFIDENT), (0, on_pool <= 1 - CONFIDENT, on_calibration <= 1 - CONFIDENT)):
                 if sure.sum() >= 20 and (y[calibration][sure] == value).mean() >= PRECISION:
                     label[pool[chosen]] = value
+                    entry[("bad", "good")[value]] = (int(chosen.sum()), float((y[calibration][sure] == value).mean()))
             told.append(label)
+            history.append(entry)
         given = [told[1], told[0]]
     z = [m.logits(rows, calibration) for m, (rows, _) in zip(models, views, strict=True)]
-    both = _calibrate(np.column_stack([z[v] * scales[v][0] + scales[v][1] for v in (0, 1)]), y[calibration])
-    return Model(models[0], models[1], scales[0], scales[1], both, names)
+    both = _calibrate(_joined(*[z[v] * scales[v][0] + scales[v][1] for v in (0, 1)]), y[calibration])
+    return Model(models[0], models[1], scales[0], scales[1], both, names, history)
 
 
 def _views(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, list[str]]:
@@ -233,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for batch in batches:
             for part in slices(batch, "text"):
                 columns = {c: part.column(c).to_pylist() for c in names}
-                (to, tf), (mo, mf) = text_features(part.column("text")), meta_features(columns, part.num_rows)
+                (to, tf), (mo, mf) = features(part.column("text"), columns)
                 yield pa.RecordBatch.from_arrays([part.column("place"), part.column("y"), pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(tf, pa.int32())), pa.ListArray.from_arrays(pa.array(mo, pa.int32()), pa.array(mf, pa.int32()))], names=["place", "y", "t", "m"])
 
     table = few.mapInArrow(run, "place long, y int, t array<int>, m array<int>").toArrow()  # bounded by labelled + pool rows
@@ -257,7 +282,7 @@ def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str =
                 if model is None:
                     out = [np.full(n, 0.5)] * 3
                 else:
-                    (to, tf), (mo, mf) = text_features(part.column("text")), meta_features({c: part.column(c).to_pylist() for c in names}, n)
+                    (to, tf), (mo, mf) = features(part.column("text"), {c: part.column(c).to_pylist() for c in names})
                     z = [np.bincount(np.repeat(np.arange(n), np.diff(o)), weights=m.w[f], minlength=n) + m.bias for o, f, m in ((to, tf, model.text), (mo, mf, model.meta))]
                     out = model.scores(*z)
                 yield pa.RecordBatch.from_arrays([part.column("k"), *[pa.array(x) for x in out], pa.array(out[0] >= keep)], names=["k", "score", "text_score", "meta_score", "keep"])
@@ -280,7 +305,7 @@ def accepted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
             for part in slices(batch, text):
                 n = part.num_rows
                 columns = {c: part.column(c).cast(kinds.get(c, pa.string())).to_pylist() for c in model.names}
-                (to, tf), (mo, mf) = text_features(part.column(text)), meta_features(columns, n)
+                (to, tf), (mo, mf) = features(part.column(text), columns)
                 z = [np.bincount(np.repeat(np.arange(n), np.diff(o)), weights=m.w[f], minlength=n) + m.bias for o, f, m in ((to, tf, model.text), (mo, mf, model.meta))]
                 yield part.filter(pa.array(model.scores(*z)[0] >= keep))
 

@@ -14,6 +14,7 @@ predicted each. If nothing is labelled every document is `und`.
 
 from __future__ import annotations
 
+import math
 import unicodedata
 
 import numpy as np
@@ -27,8 +28,12 @@ from tessera.session import ship_package
 
 #: Labelled documents that a model is fitted on at most; chosen by hash of the identifier.
 FIT_DOCUMENTS = 20_000
-FEATURES, ROUNDS, PENALTY, SMOOTH, LANGUAGES = 1 << 16, 8, 3.0, 0.5, 4
+FEATURES, ROUNDS, PENALTY, SMOOTH = 1 << 16, 8, 3.0, 0.5
+#: Cells of a model at most, 64 MB: with more than 256 languages trigrams are hashed more coarsely.
+CELLS = 1 << 24
 UND = "und"
+#: The proportion of its main language from which a document counts as being in it.
+LEAST = 0.5
 #: Bytes of text at once: arrays of some fifty bytes a letter stand beside it.
 SLICE = 1_500_000
 
@@ -53,7 +58,7 @@ def _table() -> np.ndarray:
 _TABLE = _table()
 
 
-def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def trigrams(texts: pa.Array, features: int = FEATURES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, feature, count) of the distinct trigrams of each text, and letters in each text."""
     lengths = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     text = pc.binary_join(pa.scalar(pc.fill_null(texts, "").to_pylist(), pa.list_(pa.string())), "").as_py() if len(texts) else ""
@@ -72,12 +77,12 @@ def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         before[new] = 32
         after[np.concatenate((new[1:], [True]))] = 32
     h = (before * np.uint64(0x9E3779B1) + c.astype(np.uint64) * np.uint64(0x85EBCA77) + after * np.uint64(0xC2B2AE3D)) * np.uint64(0x27D4EB2F165667C5)
-    key = (doc.astype(np.uint64) * np.uint64(FEATURES) + (h >> np.uint64(40)) % np.uint64(FEATURES)).astype(np.int64)
+    key = (doc.astype(np.uint64) * np.uint64(features) + (h >> np.uint64(40)) % np.uint64(features)).astype(np.int64)
     key.sort()
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
     count = np.diff(np.concatenate((first, [len(key)])))
     key = key[first]
-    return key // FEATURES, key % FEATURES, count, letters
+    return key // features, key % features, count, letters
 
 
 def _mix(p: np.ndarray, count: np.ndarray, starts: np.ndarray, sizes: np.ndarray, allowed: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,8 +99,8 @@ def _mix(p: np.ndarray, count: np.ndarray, starts: np.ndarray, sizes: np.ndarray
 def infer(model: np.ndarray, doc: np.ndarray, feature: np.ndarray, count: np.ndarray, n: int, penalty: float = PENALTY) -> np.ndarray:
     """Proportions of each of n documents over the languages; a row of zeros has no trigram.
 
-    A language that would be added must pass the penalty. At any point the gain of adding languages
-    is at most total * (largest mean ratio - 1), so most documents settle without a further fit.
+    The likeliest languages of the full mixture are added one by one; each must pass the penalty, and
+    once no document gains by a further language none is fitted.
     """
     languages = model.shape[1]
     out = np.zeros((n, languages))
@@ -131,36 +136,35 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     """(languages in order, probabilities of the features) from at most about `most` labelled rows.
 
     Rows are chosen by a hash of their identifier against a share that one count of the labels sets.
-    Counts are summed by language before they reach the driver, which gets one array a language.
+    Counts are summed by language and feature before they reach the driver: CELLS of them at most.
     """
     ship_package(docs.sparkSession)
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    known = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()}
-    total = sum(known.values())
-    if not total:
-        return [], np.zeros((FEATURES, 0), np.float32)
+    total = labelled.count()
     if total > most:
         labelled = labelled.where(F.pmod(F.xxhash64(F.col("k"), F.lit(17)), F.lit(1_000_000)) < int(1_000_000 * most / total))
+    features, known = FEATURES, labelled.agg(F.count_distinct("lang")).first()[0]
+    while features * known > CELLS and features > 1:
+        features //= 2
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                names = part.column("lang").to_pylist()
-                doc, feature, count, _ = trigrams(part.column("text"))
-                index = {x: i for i, x in enumerate(dict.fromkeys(names))}
-                of = np.array([index[x] for x in names], np.int64)
-                flat = np.bincount(of[doc] * FEATURES + feature, weights=count, minlength=len(index) * FEATURES).reshape(len(index), FEATURES)
-                for x, i in index.items():
-                    at = np.flatnonzero(flat[i])
-                    yield pa.RecordBatch.from_pydict({"lang": pa.array([x] * len(at), pa.string()), "feature": pa.array(at, pa.int32()), "n": pa.array(flat[i][at].astype(np.int64))})
-
-    counts = labelled.mapInArrow(run, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
-    packed = counts.groupBy("lang").agg(F.collect_list(F.struct("feature", "n")).alias("c")).collect()  # 65,536 a language at most
-    names = sorted(r["lang"] for r in packed)
-    table = np.full((FEATURES, len(names)), SMOOTH)
-    for r in packed:
-        got = np.array([(x["feature"], x["n"]) for x in r["c"]], np.int64)
-        table[got[:, 0], names.index(r["lang"])] += got[:, 1]
+                codes = part.column("lang").dictionary_encode()
+                doc, feature, count, _ = trigrams(part.column("text"), features)
+                place = codes.indices.to_numpy()[doc].astype(np.int64) * features + feature
+                at, row = np.unique(place, return_inverse=True)
+                n = np.bincount(row, weights=count, minlength=len(at)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([codes.dictionary.take(pa.array(at // features)), pa.array(at % features, pa.int32()), pa.array(n)], names=["lang", "feature", "n"])
+
+    counts = labelled.mapInArrow(run, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
+    codes = counts.column("lang").combine_chunks().dictionary_encode()
+    found = codes.dictionary.to_pylist()
+    names = sorted(found)
+    table = np.full((features, len(names)), SMOOTH)
+    if names:
+        place = np.array([names.index(x) for x in found])
+        table[counts.column("feature").to_numpy(), place[codes.indices.to_numpy()]] += counts.column("n").to_numpy()
     return names, (table / table.sum(axis=0)).astype(np.float32)
 
 
@@ -168,14 +172,14 @@ def identify(docs: DataFrame, names: list[str], model: np.ndarray, key: str = "d
     """(key, lang_pred, score, languages, proportions) of every row, by its text alone."""
     spark = docs.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast((names, model))  # 256 kB a language
+    shared = spark.sparkContext.broadcast((names, model))  # 64 MB at most
     source = docs.select(F.col(key).alias("k"), F.col(text).alias("text"))
 
     def run(batches):
         names, model = shared.value
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                doc, feature, count, letters = trigrams(part.column("text"))
+                doc, feature, count, letters = trigrams(part.column("text"), len(model))
                 pi = infer(model, doc, feature, count, part.num_rows, penalty) if names else np.zeros((part.num_rows, 1))
                 pi[letters == 0] = 0
                 top = pi.argmax(axis=1)
@@ -201,8 +205,21 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def accepted(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.0) -> DataFrame:
-    """The rows of docs whose text has a language, with a proportion above `least`."""
+def fitting(model: np.ndarray, pi: np.ndarray, doc: np.ndarray, feature: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Mean log likelihood of each document's trigrams under its mixture, above that of trigrams
+    drawn evenly; negative for a text in a language that was not learnt."""
+    p = np.einsum("fl,fl->f", model[feature], pi[doc])
+    gain = np.bincount(doc, weights=count * (np.log(np.maximum(p, 1e-30)) + math.log(len(model))), minlength=len(pi))
+    return gain / np.maximum(np.bincount(doc, weights=count, minlength=len(pi)), 1)
+
+
+def accepted(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
+    """The rows of docs that are in a language: the largest proportion of the chosen set is at least
+    `least`, and the text is likelier under its mixture than as an even draw of trigrams.
+
+    Texts that are null or without letters go, as do mixtures without a main language and texts in
+    languages that were not learnt. With nothing labelled every text with a letter stays.
+    """
     names, model = fit(docs.where(~held_out(key)), key, text)
     spark = docs.sparkSession
     ship_package(spark)
@@ -212,8 +229,11 @@ def accepted(docs: DataFrame, key: str = "doc_id", text: str = "text", least: fl
         names, model = shared.value
         for batch in batches:
             for part in slices(batch, text, SLICE):
-                doc, feature, count, letters = trigrams(part.column(text))
-                pi = infer(model, doc, feature, count, part.num_rows) if names else np.zeros((part.num_rows, 1))
-                yield part.filter(pa.array((letters > 0) & (pi.max(axis=1) > least)))
+                doc, feature, count, letters = trigrams(part.column(text), len(model))
+                keep = letters > 0
+                if names:
+                    pi = infer(model, doc, feature, count, part.num_rows)
+                    keep &= (pi.max(axis=1) >= least) & (fitting(model, pi, doc, feature, count) > 0)
+                yield part.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

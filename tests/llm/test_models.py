@@ -218,3 +218,157 @@ def test_extract_edges(spark):
     got = blocks.extract(df).collect()
     assert len(got) == 5 and all(r.text == "" and r.n_chars == 0 for r in got if r.page_id in (1, 2))
     assert blocks.extract(df.limit(0)).count() == 0
+
+
+def test_both_views_exchange_labels(spark):
+    base = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))
+    model = cotraining.fit(docs, labels)
+    for view in ("text", "meta"):
+        given = [h for h in model.history if h["view"] == view]
+        assert len(given) == cotraining.ROUNDS and all(h["area"] > 0.75 for h in given)
+        for h in given:
+            told = [h[x] for x in ("bad", "good") if x in h]
+            assert sum(n for n, _ in told) > 50 and all(right >= cotraining.PRECISION for _, right in told)
+    assert (model.text.w != 0).sum() > 20 and (model.meta.w != 0).sum() > 10
+
+
+def slow_cotraining(text, meta, y):
+    """The rounds with dense matrices and one row at a time, without the class's batching of rows."""
+
+    def fit(x, at, target, weight):
+        rng, w, bias = np.random.default_rng(0), np.zeros(x.shape[1]), 0.0
+        square, bias_square = np.full(x.shape[1], 1e-2), 1e-2
+        for _ in range(cotraining.EPOCHS):
+            order = rng.permutation(len(at))
+            for i in range(0, len(order), 128):
+                g, total, touched = np.zeros(len(w)), 0.0, np.zeros(len(w), bool)
+                for j in order[i : i + 128]:
+                    z = sum(w[f] for f in np.flatnonzero(x[at[j]])) + bias
+                    error = (1 / (1 + math.exp(-max(-30, min(30, z)))) - target[j]) * weight[j]
+                    g += error * x[at[j]]
+                    total += error
+                touched = g != 0
+                step = np.where(touched, g + 1e-5 * w, 0)
+                square += step**2
+                w = w - 0.3 * step / np.sqrt(square)
+                bias_square += total**2
+                bias -= 0.3 * total / math.sqrt(bias_square)
+        return lambda rows: np.array([sum(w[f] for f in np.flatnonzero(x[r])) + bias for r in rows])
+
+    labelled = [i for i in range(len(y)) if y[i] >= 0]
+    calibration, train = [i for k, i in enumerate(labelled) if k % 4 == 0], [i for k, i in enumerate(labelled) if k % 4]
+    pool = [i for i in range(len(y)) if y[i] < 0]
+    xs = []
+    for x in (text, meta):
+        x, n, good = x.copy(), len(train), sum(y[i] for i in train)
+        for f in range(x.shape[1]):
+            met, both = sum(x[i, f] for i in train), sum(x[i, f] * y[i] for i in train)
+            part = met * (n - met) * good * (n - good)
+            if not part or n * (both * n - met * good) ** 2 / part < cotraining.CHI_SQUARE:
+                x[:, f] = 0
+        xs.append(x)
+    given = [{}, {}]
+    for step in range(cotraining.ROUNDS + 1):
+        models, scales = [], []
+        for x, extra in zip(xs, given):
+            at = np.array(train + sorted(extra))
+            target = np.array([*(y[i] for i in train), *(extra[i] for i in sorted(extra))])
+            share = min(0.95, max(0.05, target.mean()))
+            weight = [(0.5 / share if t else 0.5 / (1 - share)) * (1 if k < len(train) else 0.3) for k, t in enumerate(target)]
+            models.append(fit(x, at, target, weight))
+            scales.append(cotraining._calibrate(models[-1](calibration)[:, None], y[calibration]))
+        if step == cotraining.ROUNDS:
+            break
+        told = []
+        for m, s in zip(models, scales):
+            p = lambda rows: 1 / (1 + np.exp(-(m(rows) * s[0] + s[1])))  # noqa: B023, E731
+            sure, label = p(calibration), {}
+            for value, hit in ((1, lambda q: q >= cotraining.CONFIDENT), (0, lambda q: q <= 1 - cotraining.CONFIDENT)):
+                right = [y[i] == value for i, q in zip(calibration, sure) if hit(q)]
+                if len(right) >= 20 and np.mean(right) >= cotraining.PRECISION:
+                    label |= {i: value for i, q in zip(pool, p(pool)) if hit(q)}
+            told.append(label)
+        given = told[::-1]
+    return [m(range(len(y))) * s[0] + s[1] for m, s in zip(models, scales)], given
+
+
+def test_cotraining_equals_the_plain_rounds():
+    rng = np.random.default_rng(12)
+    n = 400
+    truth = rng.integers(0, 2, n)
+    text = (rng.random((n, 30)) < np.where(truth[:, None] == 1, 0.85, 0.1) * (np.arange(30) < 8) + 0.1 * (np.arange(30) >= 8)).astype(float)
+    meta = (rng.random((n, 12)) < np.where(truth[:, None] == 1, 0.9, 0.08) * (np.arange(12) < 6) + 0.3 * (np.arange(12) >= 6)).astype(float)
+    y = np.where(np.arange(n) < 320, truth, -1)
+    lists = lambda x: cotraining.Rows([np.flatnonzero(r) for r in x])
+    rows = [lists(text), lists(meta)]
+    model = cotraining.cotrain(*rows, y, [])
+    (zt, zm), given = slow_cotraining(text, meta, y)
+    assert given[0] and given[1]
+    every = np.arange(n)
+    _, t, m = model.scores(model.text.logits(rows[0], every), model.meta.logits(rows[1], every))
+    assert np.allclose(t, 1 / (1 + np.exp(-zt)), atol=1e-6) and np.allclose(m, 1 / (1 + np.exp(-zm)), atol=1e-6)
+    told = {(h["view"], x): h[x][0] for h in model.history[-2:] for x in ("bad", "good") if x in h}
+    assert sum(c for (v, _), c in told.items() if v == "meta") == len(given[0]) and sum(c for (v, _), c in told.items() if v == "text") == len(given[1])
+
+
+def test_languages_equal_plain_counts_and_em():
+    """Fit, trigrams, mixture and choice of 50 documents by dictionaries."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    table = pq.read_table("/root/testdata/sf0.001/documents.parquet").slice(0, 120)
+    texts = [*table["text"].to_pylist()[:47], None, "7 - 7", "mot eau word"]
+    langs = [*table["lang"].to_pylist()[:47], None, "en", "fr"]
+
+    def grams(t):
+        words = re.findall(r"[^\W\d_]+", (t or "").lower())
+        s = " " + "".join(w + " " for w in words)
+        return collections.Counter(s[i - 1 : i + 2] for i in range(1, len(s) - 1) if s[i] != " ")
+
+    doc, feature, count, letters = languages.trigrams(pa.array(texts))
+    plain = [sum(v for g, v in grams(t).items()) for t in texts]
+    assert [int(x) for x in letters] == plain
+    names = sorted({x for x in langs if x})
+    model = np.full((languages.FEATURES, len(names)), languages.SMOOTH)
+    for d, f, c in zip(doc, feature, count):
+        if langs[d]:
+            model[f, names.index(langs[d])] += c
+    model = (model / model.sum(axis=0)).astype(np.float32)
+    got = languages.infer(model, doc, feature, count, len(texts))
+    for i in range(len(texts)):
+        mine = [(f, c) for d, f, c in zip(doc, feature, count) if d == i]
+        if not mine:
+            assert not got[i].any()
+            continue
+        n = sum(c for _, c in mine)
+
+        def em(allowed):
+            pi = {l: 1 / len(allowed) for l in allowed}
+            for _ in range(languages.ROUNDS):
+                new = dict.fromkeys(allowed, 0.0)
+                for f, c in mine:
+                    m = sum(float(model[f, l]) * pi[l] for l in allowed)
+                    for l in allowed:
+                        new[l] += c * float(model[f, l]) * pi[l] / m / n
+                pi = new
+            return pi, sum(c * math.log(sum(float(model[f, l]) * pi[l] for l in allowed)) for f, c in mine)
+
+        every = list(range(len(names)))
+        full = em(every)[0]
+        order = sorted(every, key=lambda l: -full[l])
+        cost = languages.PENALTY * math.log(n + 1)
+        alone = [sum(c * math.log(float(model[f, l])) for f, c in mine) for l in every]
+        best, value = {int(np.argmax(alone)): 1.0}, max(alone) - cost
+        for k in range(2, len(names) + 1):
+            pi, likelihood = em(order[:k])
+            if likelihood - k * cost > value:
+                best, value = pi, likelihood - k * cost
+        assert np.allclose(got[i], [best.get(l, 0.0) for l in every], atol=1e-6), i
+
+
+def test_stage_rejects_texts_in_no_learnt_language(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = spark.createDataFrame([(10**6, "漢字仮名交文章資料処理言語判定試験問題" * 9, None, None, None), (10**6 + 1, "123 456", None, None, None), (10**6 + 2, None, None, None, None)], docs.schema)
+    kept = {r.doc_id for r in languages.accepted(docs.unionByName(odd)).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").select("doc_id").collect()}
