@@ -203,3 +203,20 @@ def test_decontamination_of_the_tables_equals_plain_windows(spark, sf_dir):
                 met.setdefault(i, set()).add(p)
         want |= {(r.doc_id, i) for i, s in met.items() if len(s) >= 0.8 * size[i]}
     assert {(r.doc_id, r.item_id) for r in templates.contaminated(docs, items).collect()} == want
+
+
+def test_most_links_are_decided_by_the_code_alone():
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((50, 64))
+    x = np.concatenate([base, base + 0.02 * rng.standard_normal((50, 64)), base * 3])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = list(rotation.near_pairs(x, x, 0.93, True))
+    found = sum(len(a) for a, _, _ in got)
+    assert found == ((x @ x.T >= 0.93).sum() - len(x)) // 2 == 150
+    assert sum(n for _, _, n in got) < 0.02 * len(x) * (len(x) - 1) / 2 + found
+
+
+def test_codes_are_stored_packed(spark):
+    _, reps = rotation.representatives(spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet"))
+    r = rotation._coded(reps).first()
+    assert len(r.code) == (len(r.e) + 7) // 8 and 0 < r.factor <= 1
