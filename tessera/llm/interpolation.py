@@ -11,7 +11,7 @@ the cells on the driver.
 How it spreads. Documents are dealt into groups by hash. A group finds its distinct tokens and
 bigrams, as 64-bit hashes in ascending order, with their training counts, and sends each bucket of
 the hash range one packed row. A bucket adds up the counts and answers every group in the group's
-own order. The groups, whose shuffle is used again, look up each token's counts. So a frequent word
+own order, one row for each bucket that the group has n-grams in. The groups, whose shuffle is used again, look up each token's counts. So a frequent word
 costs a group one entry, whatever its number of occurrences, and no step holds more than one group
 or one bucket; both are counted by the bytes of text, and a group sends no more rows than it has
 n-grams. What is gathered grows with the distinct n-grams of the input.
@@ -32,6 +32,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tessera.llm.chunks import chunk_codes, listed
 from tessera.session import materialise, ship_package
@@ -96,10 +97,13 @@ class Tokens:
         return np.repeat(flags, self.ends - self.starts + 1)
 
 
-def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket's share of the hash range begins in ascending keys, and the end."""
-    edges = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
-    return np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
+def shares(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """(bucket, from, to) of the buckets of the hash range that ascending keys fall into."""
+    if not len(keys):
+        return []
+    of = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    cuts = np.concatenate(([0], np.flatnonzero(of[1:] != of[:-1]) + 1, [len(keys)]))
+    return list(zip(of[cuts[:-1]].astype(np.int64).tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
 
 
 def bucket(context: np.ndarray) -> np.ndarray:
@@ -142,7 +146,6 @@ def count(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", gr
     buckets = max(1, -(-size // BUCKET_BYTES))
     source = docs.select(F.col(key).alias("k"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
     source = source.withColumn("g", F.pmod(F.xxhash64("k", "text"), F.lit(n).cast("long")).cast("int"))
-    key_type = source.schema["k"].dataType.simpleString()
 
     def ask(table: pa.Table) -> pa.Table:
         t = Tokens(table.column("text").combine_chunks())
@@ -156,11 +159,7 @@ def count(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", gr
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         bigrams = np.add.reduceat(train[order].astype(np.int64), first)
         for kind, ks, cs in ((1, t.unigrams, unigrams), (2, keys[first], bigrams), (3, np.array([BEGIN]), begins)):
-            cuts = _cuts(ks, buckets)
-            for k in range(buckets):
-                a, b = cuts[k], cuts[k + 1]
-                if a < b:
-                    rows.append({"bucket": k, "g": g, "kind": kind, "keys": pack_keys(ks[a:b]), "counts": pack_counts(cs[a:b])})
+            rows += [{"bucket": k, "g": g, "kind": kind, "keys": pack_keys(ks[a:b]), "counts": pack_counts(cs[a:b])} for k, a, b in shares(ks, buckets)]
         return pa.Table.from_pylist(rows, schema=pa.schema([("bucket", pa.int32()), ("g", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
 
     def answer(table: pa.Table) -> pa.Table:
@@ -223,10 +222,9 @@ def count(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", gr
 
     arrow = pa.schema(
         [("kind", pa.int32()), ("tokens", pa.int64()), ("types", pa.int64()), ("begins", pa.int64())]
-        + [(c, pa.list_({"boolean": pa.bool_(), "bigint": pa.int64(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string()}[k])) for c, k in lists.items()]
+        + [(c, pa.list_(to_arrow_type(source.schema["k"].dataType) if c == "ids" else {"boolean": pa.bool_(), "long": pa.int64(), "double": pa.float64()}[k])) for c, k in lists.items()]
         + [("unigrams", pa.binary()), ("bigrams", pa.binary()), ("cell", pa.list_(pa.int64())), ("cell_n", pa.list_(pa.int64())), ("cell_p2", pa.list_(pa.float64())), ("cell_w", pa.list_(pa.float64()))]
     )
-    assert key_type in ("bigint", "int", "string"), key_type
     asked = source.groupBy("g").applyInArrow(ask, "bucket int, g int, kind int, keys binary, counts binary")
     answers = asked.groupBy("bucket").applyInArrow(answer, "g int, kind int, bucket int, counts binary, tokens long, types long")
     return materialise(source.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(look_up, out), "counts")

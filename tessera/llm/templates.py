@@ -194,6 +194,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, ke
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose identifier no contaminated document bears."""
-    bad = contaminated(docs, benchmark, share, key, text).select(F.col(key).alias("__bad")).distinct()
-    return docs.join(bad, docs[key] == bad["__bad"], "left_anti")
+    """The rows of docs whose text holds no item, whatever their identifiers."""
+    marked = docs.withColumn("__text", F.xxhash64(text))
+    bad = contaminated(marked.select("__text", F.col(text).alias("text")), benchmark, share, "__text", "text").select(F.col("__text").alias("__bad")).distinct()
+    return marked.join(bad, F.col("__text") == F.col("__bad"), "left_anti").drop("__text")

@@ -33,20 +33,22 @@ INDEX_SKIPPABLE = 0x184D2A5D
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
-def record_id(identifier: int) -> str:
+def record_id(identifier: int | str) -> str:
     """A name-based UUID, so that any job gives a page the same record identifier."""
     import uuid
 
     return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{identifier}')}"
 
 
-def record(identifier: int, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record(identifier: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     revisit = refers_to is not None
     block = HTTP_HEAD if revisit else HTTP_HEAD + payload
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{record_id(identifier)}>", "WARC-Date: 1970-01-01T00:00:00Z"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{record_id(f'{digest} {url}' if identifier is None else identifier)}>", "WARC-Date: 1970-01-01T00:00:00Z"]
     if url is not None:
         head.append(f"WARC-Target-URI: {quote(url, safe='%/:=&?~#+!$,;@()*[]')}")
-    head += [f"WARC-Payload-Digest: sha1:{digest}", f"Page-ID: {identifier}", f"Payload-Length: {len(payload)}"]
+    head += [f"WARC-Payload-Digest: sha1:{digest}", f"Payload-Length: {len(payload)}"]
+    if identifier is not None:
+        head.append(f"Page-ID: {identifier}")
     if revisit:
         head += [f"WARC-Refers-To: <{record_id(refers_to)}>", f"Refers-To-Page-ID: {refers_to}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     head += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
@@ -71,8 +73,9 @@ class BundleWriter:
         self.zstd = zstandard.ZstdCompressor(level=3)
         self.bytes = 0
 
-    def add(self, identifier: int, data: bytes) -> None:
-        self.index.append((identifier, len(self.frames), self.size))
+    def add(self, identifier: int | None, data: bytes) -> None:
+        if identifier is not None:  # nothing could look the others up
+            self.index.append((identifier, len(self.frames), self.size))
         self.held.append(data)
         self.size += len(data)
         if self.size >= FRAME_BYTES:
@@ -140,16 +143,17 @@ def write_archives(pages: DataFrame, folder: str | None = None, key: str = "page
     """Write one bundle for each task and return the manifest: path, records, bytes.
 
     Equal payloads meet by digest and length in an aggregate that combines before its shuffle; its
-    few rows, one for each payload that occurs twice, are joined back. Payloads cross at most one
+    few rows, one for each payload that occurs twice, are joined back. Pages without an identifier are
+    written too, and revisit a page that has one. Payloads cross at most one
     shuffle, and that join can be split where one payload is very frequent.
     """
     spark = pages.sparkSession
     ship_package(spark)
     folder = folder or new_folder(spark, "warc")
-    source = pages.select(F.col(key).cast("long").alias("k"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html")).where("k is not null")
+    source = pages.select(F.col(key).cast("long").alias("k"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     source = source.withColumn("digest", F.sha1(F.encode("html", "utf-8"))).withColumn("size", F.octet_length("html"))
     repeated = source.where(F.col("size") >= least).groupBy("digest", "size").agg(F.max("k").alias("chosen"), F.count("*").alias("n")).where("n > 1").select("digest", "size", "chosen")
-    marked = source.join(repeated, ["digest", "size"], "left").select("k", "url", "html", "digest", F.when(F.col("chosen") != F.col("k"), F.col("chosen")).alias("refers_to"))
+    marked = source.join(repeated, ["digest", "size"], "left").select("k", "url", "html", "digest", F.when(~F.col("chosen").eqNullSafe(F.col("k")), F.col("chosen")).alias("refers_to"))
 
     def run(batches):
         from pyspark import TaskContext
@@ -189,9 +193,10 @@ def read_archives(manifest: DataFrame, payload: bool = False) -> DataFrame:
                         kind = headers["warc-type"]
                         digest = headers["warc-payload-digest"].partition(":")[2]
                         if kind == "response" and hashlib.sha1(body).hexdigest() != digest:
-                            raise ValueError(f"payload of page {headers['page-id']} is damaged")
+                            raise ValueError(f"payload of page {headers.get('page-id')} is damaged")
                         refers = headers.get("refers-to-page-id")
-                        row = [int(headers["page-id"]), int(headers["payload-length"]), digest, kind, None if refers is None else int(refers)]
+                        page = headers.get("page-id")
+                        row = [None if page is None else int(page), int(headers["payload-length"]), digest, kind, None if refers is None else int(refers)]
                         rows.append(row + [body if kind == "response" else None] * payload)
                         held += len(body) if payload else 1
                         if held > (1 << 23 if payload else 20_000):

@@ -78,6 +78,60 @@ def test_scores_equal_the_plain_model(spark, sf_dir):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def exact_scores(rows, is_held):
+    """The model with its own EM over every deleted token, not over cells of sums."""
+    train = [tokens(t) for k, t in rows if not is_held(k)]
+    c1 = collections.Counter(w for t in train for w in t)
+    c2 = collections.Counter((v, w) for t in train for v, w in zip(["<s>", *t], t))
+    cv = lambda v: len(train) if v == "<s>" else c1[v]
+    n, types = sum(c1.values()), len(c1)
+    group = lambda k: 1 + int(math.log2(k)) if k else 0
+    seen = collections.defaultdict(list)
+    for t in train:
+        for v, w in zip(["<s>", *t], t):
+            left = cv(v) - 1
+            seen[group(left)].append(((c2[v, w] - 1) / left if left else 0.0, (c1[w] - 1) / max(1, n - 1), 1 / (types + 1)))
+    p = {b: np.array(x) for b, x in seen.items()}
+    weights = {b: np.full(3, 1 / 3) for b in p}
+    for _ in range(interpolation.EM_ROUNDS):
+        got = {}
+        for b, x in p.items():
+            share = x * weights[b]
+            got[b] = (share / share.sum(axis=1, keepdims=True)).sum(axis=0)
+        overall = sum(got.values()) / sum(g.sum() for g in got.values())
+        weights = {b: (g + overall) / (g + overall).sum() for b, g in got.items()}
+    weights.setdefault(0, overall.copy())
+    weights[0] = np.array([0, *(weights[0][1:] / weights[0][1:].sum())])
+    out = []
+    for _, text in rows:
+        t = tokens(text)
+        out.append(sum(math.log10(sum(weights.get(group(cv(v)), overall) * (c2[v, w] / cv(v) if cv(v) else 0, c1[w] / n, 1 / (types + 1)))) for v, w in zip(["<s>", *t], t)))
+    return np.array(out)
+
+
+def test_the_grid_loses_little_against_exact_em(spark, sf_dir):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(150).collect()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in interpolation.score(df, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, groups=5).collect()}
+    want = exact_scores(rows, lambda k: held(k, 1))
+    mine = np.array([got[k] for k, _ in rows])
+    out = np.array([held(k, 1) for k, _ in rows])
+    assert abs(mine[out].sum() / want[out].sum() - 1) < 2e-3 and np.abs(mine / want - 1).max() < 0.02
+
+
+def test_any_kind_of_identifier(spark):
+    df = spark.createDataFrame([("2020-01-01", "a b"), (None, "c")], "d string, text string").selectExpr("cast(d as date) as doc_id", "text")
+    assert interpolation.score(df, F.lit(False)).count() == 2
+
+
+def test_shares_cover_the_hash_range():
+    keys = np.sort(np.random.default_rng(2).integers(0, 1 << 64, 5000, dtype=np.uint64))
+    for buckets in (1, 3, 70, 10**6):
+        got = interpolation.shares(keys, buckets)
+        assert [k for k, _, _ in got] == sorted({k for k, _, _ in got}) and got[-1][0] < buckets
+        assert got[0][1] == 0 and got[-1][2] == len(keys) and all(x[2] == y[1] for x, y in zip(got, got[1:]))
+
+
 def test_scores_without_training_or_rows(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert all(r.score == 0 and r.base_score == 0 for r in interpolation.score(df, F.lit(True)).collect())

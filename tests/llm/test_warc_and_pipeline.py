@@ -19,12 +19,12 @@ def table(spark, rows):
 
 
 def test_archives_round_trip(spark):
-    rows = [(1, "http://a/", LONG), (7, None, LONG), (4, "http://a b/\r\nX: y", LONG), (2, "u", "short"), (3, "u", "short"), (5, "u", None), (6, "é", "é" * 600), (8, "u", "é" * 600), (9, "u", "WARC/1.1\r\n\r\n" * 200), (None, "u", LONG), (7, None, LONG)]
+    rows = [(1, "http://a/", LONG), (7, None, LONG), (4, "http://a b/\r\nX: y", LONG), (2, "u", "short"), (3, "u", "short"), (5, "u", None), (6, "é", "é" * 600), (8, "u", "é" * 600), (9, "u", "WARC/1.1\r\n\r\n" * 200), (None, "u", LONG), (7, None, LONG), (10, "u", "<p>" * 2_000_000)]
     manifest = warc.write_archives(table(spark, rows))
     got = warc.read_archives(manifest, payload=True).collect()
-    assert sorted(r.page_id for r in got) == sorted(k for k, _, _ in rows if k is not None)
+    assert sorted(r.page_id or 0 for r in got) == sorted(k or 0 for k, _, _ in rows)
     html = {k: (h or "").encode() for k, _, h in rows}
-    chosen = {1: 7, 4: 7, 6: 8}
+    chosen = {1: 7, 4: 7, 6: 8, None: 7}
     for r in got:
         body = html[r.page_id]
         assert r.payload_bytes == len(body) and r.payload_digest == hashlib.sha1(body).hexdigest()
