@@ -29,7 +29,9 @@ from tessera.llm.chunks import chunk_codes, listed, slices, spread
 from tessera.session import ship_package
 
 #: Words whose ids a worker keeps from slice to slice, at most.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
+#: Bytes of text at once where decoded texts stand beside it.
+SLICE = 6_000_000
 #: Fixed: the white space of the vocabulary's patterns.
 SPACE = r"\t-\r \x85\xa0  -     　"
 
@@ -285,7 +287,7 @@ def encode(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str
     def run(batches):
         v = _vocabulary(shared)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 offsets, chunks, codes = chunk_codes(part.column("text"))
                 flat, counts = v.encode_flat(listed(chunks))
                 ids, ends = flat.tolist(), np.cumsum(counts).tolist()
