@@ -57,14 +57,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the shared one; removed when the driver ends, if it can be."""
+    """A fresh folder name below the shared one; removed when the session's driver ends, by the file
+    system that holds it."""
     path = f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
     local = urlparse(path)
     if local.scheme == "file":
         atexit.register(shutil.rmtree, local.path, ignore_errors=True)
+    else:
+        atexit.register(_remove, spark, path)
     return path
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # noqa: BLE001 - the session has ended; nothing depends on the folder
+        pass
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df below the shared folder and read it back: later work starts from files, so a lost
     executor costs no recomputation and no driver memory."""
@@ -75,8 +87,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers of any cluster, once for each application."""
+    """Make this package importable in Python workers of any cluster, once for each application, and
+    bound the bytes of an Arrow batch where the session leaves that at Spark's 64 MB: a worker holds
+    a whole batch, and ten thousand long texts may come in one."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "") == "67108864b":
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     if sc.applicationId in _SHIPPED:
         return
     _SHIPPED.add(sc.applicationId)
