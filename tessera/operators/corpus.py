@@ -138,15 +138,16 @@ def fingerprints_agree(prints: DataFrame, key: str, tag: str = "origin") -> Data
 def positions(rows: DataFrame, order, name: str = "position", partitions: int | None = None) -> DataFrame:
     """Dense positions from 0 in the given order, without bringing all rows to one task.
 
-    order: a column or a list of them, a total order. Rows are dealt by range and numbered within
-    their partition; the offsets are a running sum over one count a partition.
+    order: a column or a list of them, a total order. Rows are dealt by range, numbered within their
+    partition and written; offsets, a running sum over one count a partition, and rows are both read
+    from there, as a second dealing by range might draw other bounds.
     """
-    from tessera.session import shuffle_partitions
+    from tessera.session import materialise, shuffle_partitions
 
     keys = order if isinstance(order, list) else [order]
     n = partitions or shuffle_partitions(rows.sparkSession)
     dealt = rows.repartitionByRange(n, *keys).withColumn("__p", F.spark_partition_id())
-    local = dealt.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(*keys)))
+    local = materialise(dealt.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(*keys))), "positions")
     sizes = local.groupBy("__p").agg(F.count("*").alias("__n"))
     starts = sizes.withColumn("__s", F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))).select("__p", F.coalesce("__s", F.lit(0)).alias("__s"))
     return local.join(F.broadcast(starts), "__p").withColumn(name, (F.col("__s") + F.col("__r") - 1).cast("long")).drop("__p", "__r", "__s")

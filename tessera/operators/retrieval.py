@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from functools import reduce
 
 import numpy as np
@@ -66,11 +67,13 @@ def by_language(docs: DataFrame, lang: str, languages: list[str]) -> DataFrame:
 
 def with_aliases(queries: DataFrame, key: str, text: str, glossary: DataFrame) -> DataFrame:
     """(key, aliases): all names of every glossary entry (entry, alias) that the text names as a
-    whole word. Words, and so one- and two-word names, are matched by equality, not by scanning."""
-    grams = queries.select(key, T.words(F.col(text)).alias("w"))
-    pairs = F.when(F.size("w") > 1, F.transform(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.concat_ws(" ", F.col("w")[i], F.col("w")[i + 1]))).otherwise(F.array().cast("array<string>"))
-    grams = grams.select(key, F.explode(F.array_distinct(F.concat("w", pairs))).alias("gram"))
+    whole word. Runs of words as long as the longest name are matched by equality, not by scanning."""
     names = glossary.select("entry", "alias", T.query_key(F.col("alias")).alias("gram"))
+    longest = names.agg(F.max(F.size(F.split("gram", " ")))).first()[0] or 1
+    words = queries.select(key, T.words(F.col(text)).alias("w"))
+    at = lambda n: F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.concat_ws(" ", F.slice("w", i, n)))
+    runs = [F.when(F.size("w") >= n, at(n)).otherwise(F.array().cast("array<string>")) for n in range(1, longest + 1)]
+    grams = words.select(key, F.explode(F.array_distinct(F.concat(*runs))).alias("gram"))
     hit = grams.join(names, "gram").select(key, "entry").distinct()
     return hit.join(glossary, "entry").groupBy(key).agg(F.array_sort(F.collect_set("alias")).alias("aliases"))
 
@@ -237,21 +240,25 @@ def maxp_legs(rows: DataFrame, by: list[str], leg: str, score: str, original: st
 
 
 def lcs_length(left, right) -> int:
-    """Longest common subsequence by bits: one big-integer step for each token of left."""
-    masks: dict = {}
+    """Length of the longest common subsequence, by the bit vector recurrence of Crochemore,
+    Iliopoulos, Pinzon and Reid (2001): a set bit of `open_` is a place of `right` at which the
+    length does not grow yet, and adding the matches to it carries each into the next block."""
+    full, places = (1 << len(right)) - 1, defaultdict(int)
     for i, token in enumerate(right):
-        masks[token] = masks.get(token, 0) | 1 << i
-    row = 0
+        places[token] += 1 << i
+    open_ = full
     for token in left:
-        x = row | masks.get(token, 0)
-        row = x & ~(x - (row << 1 | 1))
-    return row.bit_count()
+        met = open_ & places.get(token, 0)
+        open_ = (open_ + met | open_ ^ met) & full
+    return len(right) - open_.bit_count()
 
 
 def lcs_similarity(left, right) -> float:
-    common = lcs_length(left, right)
-    union = len(left) + len(right) - common
-    return common / union if union else 1.0
+    """Common length over the length of both less the common one; two empty lists are alike."""
+    if not len(left) and not len(right):
+        return 1.0
+    n = lcs_length(left, right)
+    return n / (len(left) + len(right) - n)
 
 
 @F.pandas_udf(IntegerType())
@@ -259,28 +266,32 @@ def lcs(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([None if a is None or b is None else lcs_length(list(a), list(b)) for a, b in zip(left, right, strict=True)], dtype="Int32")
 
 
-def select_passages(children: DataFrame, query_key: str, doc: str, parent: str, tokens: str, order: str, per_doc: int, most: int, threshold: float = 0.8) -> DataFrame:
-    """Passages of each query in order, without a parent twice, near copies within a document by
-    LCS over union, more than per_doc of a document, or more than `most` in all.
+def select_passages(children: DataFrame, query_key: str, doc: str, parent: str, tokens: str, order: str, per_doc: int, most: int, threshold: float = 0.8, documents: int | None = None) -> DataFrame:
+    """Passages of each query in order: of the first `documents` documents, without a parent twice or
+    a near copy (LCS over union) of a passage before it in its document, per_doc of a document and
+    `most` in all.
 
-    A choice depends on those before it, so a query's candidates, a bounded list, are one group.
+    What a document yields hangs on that document alone, so each query and document is one small
+    group; documents and passages are then counted off by windows.
     """
-    schema = f"{query_key} {children.schema[query_key].dataType.simpleString()}, {doc} {children.schema[doc].dataType.simpleString()}, {parent} {children.schema[parent].dataType.simpleString()}, place int"
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        chosen, seen = [], set()
-        for row in group.sort_values([order, parent]).itertuples():
-            d, p, t = getattr(row, doc), getattr(row, parent), list(getattr(row, tokens))
-            mates = [x for x in chosen if x[1] == d]
-            if p in seen or len(mates) >= per_doc or any(lcs_similarity(x[3], t) >= threshold for x in mates):
-                continue
-            seen.add(p)
-            chosen.append((getattr(row, query_key), d, p, t))
-            if len(chosen) == most:
-                break
-        return pd.DataFrame([(q, d, p, i + 1) for i, (q, d, p, _) in enumerate(chosen)], columns=[query_key, doc, parent, "place"])
-
-    return children.groupBy(query_key).applyInPandas(fold, schema)
+    if documents is not None:
+        first = Window.partitionBy(query_key, doc)
+        by_document = Window.partitionBy(query_key).orderBy("__first", doc)
+        children = children.withColumn("__first", F.min(order).over(first)).withColumn("__d", F.dense_rank().over(by_document)).where(F.col("__d") <= documents).drop("__first", "__d")
+    names = [query_key, doc, parent, order]
+    schema = ", ".join(f"{c} {children.schema[c].dataType.simpleString()}" for c in names)
+
+    def distinct_passages(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(order, "ascending"), (parent, "ascending")])
+        texts, parents, kept = group.column(tokens).to_pylist(), group.column(parent).to_pylist(), []
+        for i, p in enumerate(parents):
+            if len(kept) < per_doc and parents.index(p) == i and all(lcs_similarity(texts[j], texts[i]) < threshold for j in kept):
+                kept.append(i)
+        return group.select(names).take(pa.array(kept, pa.int64()))
+
+    place = F.row_number().over(Window.partitionBy(query_key).orderBy(order, parent))
+    chosen = children.select(*names, tokens).groupBy(query_key, doc).applyInArrow(distinct_passages, schema)
+    return chosen.withColumn("place", place).where(F.col("place") <= most).select(query_key, doc, parent, "place")
 
 
 def merged_spans(spans: DataFrame, by: list[str], start: str, end: str) -> DataFrame:

@@ -271,16 +271,19 @@ def merged_spans(spark, sf_dir):
     return R.merged_spans(d.withColumn("b", F.col("a") + 30 + F.col("doc_id") % 200), ["doc_id"], "a", "b")
 
 
-@query("WITH RECURSIVE e AS (SELECT d.doc_id AS x, m.m AS y FROM documents d JOIN (SELECT sha256(text) AS h, min(doc_id) AS m FROM documents GROUP BY 1) m ON sha256(d.text) = m.h UNION SELECT d.doc_id, m.m FROM documents d JOIN (SELECT sha256(split_part(text, chr(10), 1)) AS h, min(doc_id) AS m FROM documents GROUP BY 1) m ON sha256(split_part(d.text, chr(10), 1)) = m.h), b AS (SELECT x, y FROM e WHERE x <> y UNION SELECT y, x FROM e WHERE x <> y), r(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, b.y FROM r JOIN b ON r.y = b.x) SELECT x AS doc_id, min(y) AS \"group\" FROM r GROUP BY 1")
+GROUPS = "WITH RECURSIVE e AS (SELECT d.doc_id AS x, m.m AS y FROM documents d JOIN (SELECT sha256(text) AS h, min(doc_id) AS m FROM documents GROUP BY 1) m ON sha256(d.text) = m.h UNION SELECT d.doc_id, m.m FROM documents d JOIN (SELECT sha256(split_part(text, chr(10), 1)) AS h, min(doc_id) AS m FROM documents GROUP BY 1) m ON sha256(split_part(d.text, chr(10), 1)) = m.h), b AS (SELECT x, y FROM e WHERE x <> y UNION SELECT y, x FROM e WHERE x <> y), r(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, b.y FROM r JOIN b ON r.y = b.x), grouped AS (SELECT x AS doc_id, min(y) AS \"group\" FROM r GROUP BY 1)"
+
+
+@query(f"{GROUPS} SELECT * FROM grouped")
 def connected_groups(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("doc_id", "text", F.split_part("text", F.lit("\n"), F.lit(1)).alias("head"))
     return E.duplicate_groups(d, "doc_id", ["text", "head"])
 
 
-@query("SELECT doc_id, lang AS \"group\", CASE WHEN ('0x' || substr(sha256('5:' || doc_id), 1, 8))::BIGINT / 4294967296.0 < 0.8 THEN 'train' WHEN ('0x' || substr(sha256('5:' || doc_id), 1, 8))::BIGINT / 4294967296.0 < 0.9 THEN 'dev' ELSE 'held_out' END AS split FROM documents")
+@query(f"{GROUPS}, p AS (SELECT *, ('0x' || substr(sha256('5:' || \"group\"), 1, 8))::BIGINT / 4294967296.0 AS place FROM grouped) SELECT doc_id, \"group\", CASE WHEN place < 0.8 THEN 'train' WHEN place < 0.9 THEN 'dev' ELSE 'held_out' END AS split FROM p")
 def group_splits(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").alias("g"), F.col("lang").alias("group"))
-    return E.split_groups(d, "doc_id", "g", 5, {"train": 0.8, "dev": 0.1, "held_out": 0.1}).join(d.select("doc_id", "group"), "doc_id").select("doc_id", "group", "split")
+    d = read(spark, sf_dir, "documents").select("doc_id", "text", F.split_part("text", F.lit("\n"), F.lit(1)).alias("head"))
+    return E.split_groups(E.duplicate_groups(d, "doc_id", ["text", "head"]), "doc_id", "group", 5, {"train": 0.8, "dev": 0.1, "held_out": 0.1})
 
 
 @query("WITH w AS (SELECT item_id, " + TOKENS.format("text") + " AS w FROM benchmark), p AS (SELECT a.item_id, a.w AS l, b.w AS r FROM w a JOIN w b ON b.item_id = (a.item_id // 2) * 2) SELECT item_id, array_to_string(l, ' ') <> array_to_string(r, ' ') AND NOT (len(l) >= 5 AND len(r) >= 5 AND len(list_intersect(l, r)) / greatest(1, len(list_distinct(list_concat(l, r)))) >= 0.9) AS independent FROM p")

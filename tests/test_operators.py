@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import markup, text, urls
 from tessera.operators import corpus, evaluation, intake, retrieval, spans
 from tessera.operators.components import connected_components
+from tessera.plans import registry
 from tessera.sources import tables
 from tessera.streaming import ingest as stream
 
@@ -223,3 +224,31 @@ def test_submission_rows(spark):
     p = spark.createDataFrame([(7, 3, "b", 2), (7, 3, "a", 1), (7, 1, "c", 3)], "q int, doc_id int, t string, place int")
     r = tables.submission(p, "q", "doc_id", "t").first()
     assert r.relevant_docs == [3, 1] and [c.chunk_text for c in r.relevant_chunks] == ["a", "b", "c"]
+
+
+def test_positions_with_carried_columns_are_dense(spark):
+    rows = spark.range(0, 1_000_000, numPartitions=60).selectExpr("pmod(xxhash64(id), 1000000007) * 1000000 + id as k", "repeat('x', 20) as text", "id % 7 as g")
+    got = corpus.positions(rows, "k", partitions=200).selectExpr("count(distinct position) as n", "max(position) as top", "min(position) as low").first()
+    assert (got.n, got.low, got.top) == (1_000_000, 0, 999_999)
+
+
+def test_long_names_are_found(spark):
+    glossary = spark.createDataFrame([("a", "high blood pressure of pregnancy"), ("a", "preeclampsia"), ("b", "flu")], "entry string, alias string")
+    q = spark.createDataFrame([(1, "What is High blood pressure of pregnancy?"), (2, "the flu"), (3, "blood pressure"), (4, None)], "q long, t string")
+    got = {r.q: r.aliases for r in retrieval.with_aliases(q, "q", "t", glossary).collect()}
+    assert got == {1: ["high blood pressure of pregnancy", "preeclampsia"], 2: ["flu"]}
+
+
+def test_splits_keep_duplicates_together(spark, sf_dir):
+    rows = registry.queries()["group_splits"](spark, sf_dir).collect()
+    of = {}
+    for r in rows:
+        of.setdefault(r.group, set()).add(r.split)
+    assert all(len(x) == 1 for x in of.values()) and len(of) < len(rows)
+
+
+def test_document_cutoff_of_passages(spark):
+    rows = [(1, d, f"{d}{i}", [f"w{d}{i}"], r) for r, (d, i) in enumerate([("a", 0), ("b", 0), ("c", 0), ("a", 1), ("c", 1)])]
+    df = spark.createDataFrame(rows, "q long, d string, p string, w array<string>, rank int")
+    got = retrieval.select_passages(df, "q", "d", "p", "w", "rank", 2, 8, documents=2).orderBy("place").collect()
+    assert [(r.p, r.place) for r in got] == [("a0", 1), ("b0", 2), ("a1", 3)]
