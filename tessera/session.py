@@ -91,7 +91,7 @@ def ship_package(spark: SparkSession) -> None:
     bound the bytes of an Arrow batch where the session leaves that at Spark's 64 MB: a worker holds
     a whole batch, and ten thousand long texts may come in one."""
     sc = spark.sparkContext
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "") == "67108864b":
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     if sc.applicationId in _SHIPPED:
         return
