@@ -311,6 +311,7 @@ def encode(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str
                     made["decoded_sha256"] = pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string())
                 names = ["n_tokens", *[c[0] for c in columns]]
                 yield pa.RecordBatch.from_arrays([part.column("key"), *[made[c] for c in names]], names=["key", *names])
+        v.forget()  # the worker serves other stages after this one
 
     schema = ", ".join([f"`key` {key_type}", "n_tokens long", *[f"{c[0]} {c[1]}" for c in columns]])
     return source.mapInArrow(run, schema).withColumnRenamed("key", key)
