@@ -31,6 +31,11 @@ def windows(docs: DataFrame, key: str, text: str, size: int, step: int, kind: st
     return rows.select(key, "chunk_order", "source_text_sha256", "start_char", end.alias("end_char"), F.substring("__t", F.col("start_char") + 1, end - F.col("start_char")).alias("text")).withColumn("chunk_id", span_id(F.col(key), F.col("source_text_sha256"), F.col("start_char"), F.col("end_char"), kind))
 
 
+def window_count(n: Column, size: int, step: int) -> Column:
+    """How many windows a text of n characters has."""
+    return F.when(n > 0, F.greatest(F.lit(1), F.ceil((n - (size - step)) / step))).otherwise(0)
+
+
 def sections(docs: DataFrame, key: str, text: str, headings: Column) -> DataFrame:
     """Sections that begin at exact heading lines and together cover the text; the first has no
     heading if text comes before one. Offsets are running sums over lines: native."""

@@ -47,16 +47,8 @@ def baseline_ranking(spark, sf_dir):
     return K.baseline_ranking(d, s, "query_id", "doc_id", "vec_id", 2)
 
 
-@query(f"WITH {SEARCH}, t AS (SELECT query_id, vec_id, score, (vec_id * 13) % 11 AS model FROM hits WHERE vec_id < 60), o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY model DESC, score DESC, vec_id) AS m, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM t) SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY round(0.7 / (60 + m) + 0.3 / (60 + r), 12) DESC, vec_id) AS place, m AS by_model FROM o")
-def rerank_orders(spark, sf_dir):
-    e = read(spark, sf_dir, "embeddings").where("vec_id < 60")
-    rows = R.exact_topk(_vector_queries(spark, sf_dir), e, 60).select("query_id", "vec_id", "score", F.expr("(vec_id * 13) % 11").alias("model"))
-    alone = K.rerank(rows, "query_id", "vec_id", "model", "score").select("query_id", "vec_id", F.col("place").alias("by_model"))
-    return K.rerank(rows, "query_id", "vec_id", "model", "score", share=0.7).select("query_id", "vec_id", "place").join(alone, ["query_id", "vec_id"])
-
-
 @query(f"WITH {SEARCH}, t AS (SELECT query_id, vec_id, score, (vec_id * 13) % 11 AS model, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM hits QUALIFY r <= 60), o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY model DESC, score DESC, vec_id) AS m FROM t) SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY round(0.7 / (60 + m) + 0.3 / (60 + r), 12) DESC, vec_id) AS place, m AS by_model FROM o")
-def rerank_orders_all(spark, sf_dir):
+def rerank_orders(spark, sf_dir):
     """rerank_orders of the 60 best of all vectors."""
     rows = R.exact_topk(_vector_queries(spark, sf_dir), read(spark, sf_dir, "embeddings"), 60).select("query_id", "vec_id", "score", F.expr("(vec_id * 13) % 11").alias("model"))
     alone = K.rerank(rows, "query_id", "vec_id", "model", "score").select("query_id", "vec_id", F.col("place").alias("by_model"))
@@ -76,22 +68,11 @@ def suppressed_overlaps(spark, sf_dir):
     return K.suppress_overlaps(kids, "query_id", "doc_id", "start_char", "end_char", "chunk_order", 2, 8)
 
 
-@query(f"""WITH {WINDOWS}, r AS (SELECT c.doc_id, c.start_char, c.end_char, d.text AS t, greatest(0, 800 - (c.end_char - c.start_char)) AS room FROM c JOIN documents d ON c.doc_id = d.doc_id WHERE c.doc_id < 200),
-    s AS (SELECT *, greatest(0, start_char - room // 2) AS a, least(length(t), end_char + room - room // 2) AS b FROM r), p AS (SELECT *, substring(t, a + 1, start_char - a) AS head, substring(t, end_char + 1, b - end_char) AS tail FROM s),
-    x AS (SELECT *, CASE WHEN a > 0 AND instr(head, chr(10)) > 0 THEN a + instr(head, chr(10)) ELSE a END AS parent_start, CASE WHEN b < length(t) AND instr(reverse(tail), chr(10)) > 0 THEN b - instr(reverse(tail), chr(10)) ELSE b END AS parent_end FROM p)
-    SELECT doc_id, start_char, parent_start, parent_end, sha256(substring(t, parent_start + 1, parent_end - parent_start)) AS digest FROM x""")
-def centred_parents(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").where("doc_id < 200").select("doc_id", F.col("text").alias("source_text"))
-    got = K.centred_parents(children(spark, sf_dir).where("doc_id < 200"), docs, "doc_id", "source_text", 800)
-    return got.select("doc_id", "start_char", "parent_start", "parent_end", F.sha2("parent_text", 256).alias("digest"))
-
-
 @query(f"""WITH {WINDOWS}, r AS (SELECT c.doc_id, c.start_char, c.end_char, d.text AS t, greatest(0, 800 - (c.end_char - c.start_char)) AS room FROM c JOIN documents d ON c.doc_id = d.doc_id),
     s AS (SELECT *, greatest(0, start_char - room // 2) AS a, least(length(t), end_char + room - room // 2) AS b FROM r), p AS (SELECT *, substring(t, a + 1, start_char - a) AS head, substring(t, end_char + 1, b - end_char) AS tail FROM s),
     x AS (SELECT *, CASE WHEN a > 0 AND instr(head, chr(10)) > 0 THEN a + instr(head, chr(10)) ELSE a END AS parent_start, CASE WHEN b < length(t) AND instr(reverse(tail), chr(10)) > 0 THEN b - instr(reverse(tail), chr(10)) ELSE b END AS parent_end FROM p)
     SELECT doc_id, start_char, parent_start, parent_end, sha256(substring(t, parent_start + 1, parent_end - parent_start)) AS digest FROM x""")
-def centred_parents_all(spark, sf_dir):
-    """centred_parents of every document."""
+def centred_parents(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("source_text"))
     got = K.centred_parents(children(spark, sf_dir), docs, "doc_id", "source_text", 800)
     return got.select("doc_id", "start_char", "parent_start", "parent_end", F.sha2("parent_text", 256).alias("digest"))
@@ -113,18 +94,28 @@ def query_complexity(spark, sf_dir):
     return read(spark, sf_dir, "benchmark").select("item_id", K.is_complex(F.col("text")).alias("is_complex"))
 
 
-@query()
+VARIANTS = r"""v AS (SELECT item_id, text AS q, CASE item_id % 4 WHEN 0 THEN ' ' WHEN 1 THEN text || ' 7' WHEN 2 THEN substr(text, 1, length(text) // 2) ELSE upper(text) END AS v, list_filter([split_part(text, ' ', 1), split_part(text, ' ', -1)], lambda t: t <> '') AS terms FROM benchmark)"""
+FOLDED = "replace(replace(lower({}), 'ß', 'ss'), 'ς', 'σ')"
+
+
+@query(f"""WITH {VARIANTS}, n AS (SELECT *, list_sort(regexp_extract_all(q, '\\d+(?:[.,]\\d+)?|[<>≤≥]=?')) AS a, list_sort(regexp_extract_all(v, '\\d+(?:[.,]\\d+)?|[<>≤≥]=?')) AS b FROM v)
+    SELECT item_id, array_to_string(list_filter([CASE WHEN trim(v) = '' THEN 'EMPTY' END, CASE WHEN a <> b THEN 'NUMBERS_CHANGED' END, CASE WHEN len(list_filter(terms, lambda t: contains({FOLDED.format('q')}, {FOLDED.format('t')}) AND NOT contains({FOLDED.format('v')}, {FOLDED.format('t')}))) > 0 THEN 'PROTECTED_TERM_LOST' END], lambda x: x IS NOT NULL), ',') AS problems FROM n""")
 def variant_checks(spark, sf_dir):
-    rows = [(1, "HbA1c > 7.5 in 30 days", "HbA1c trên > 7.5 trong 30 ngày", ["HbA1c"]), (2, "HbA1c > 7", "A1c > 7", ["HbA1c"]), (3, "dose 5 mg", "dose 50 mg", []), (4, "dose", " ", []), (5, "a", None, [])]
-    df = spark.createDataFrame(rows, "id int, q string, v string, terms array<string>")
-    return df.select("id", K.variant_problems(F.col("q"), F.coalesce("v", F.lit("")), F.col("terms")).alias("problems"))
+    """Rewritten forms of every benchmark item: emptied, with a number added, cut in half, in capitals."""
+    q = F.col("text")
+    v = F.when(F.expr("item_id % 4 = 0"), F.lit(" ")).when(F.expr("item_id % 4 = 1"), F.concat(q, F.lit(" 7"))).when(F.expr("item_id % 4 = 2"), F.expr("substring(text, 1, int(length(text) div 2))")).otherwise(F.upper(q))
+    terms = F.filter(F.array(F.split_part(q, F.lit(" "), F.lit(1)), F.split_part(q, F.lit(" "), F.lit(-1))), lambda t: t != "")
+    return read(spark, sf_dir, "benchmark").select("item_id", F.array_join(K.variant_problems(q, v, terms), ",").alias("problems"))
 
 
 @query()
 def expansion_checks(spark, sf_dir):
-    rows = [(1, '{"subqueries": ["sugar level"], "passage": "sugar is"}'), (2, "no json"), (3, '{"subqueries": ["a sugar", "sugar b", "sugar c"], "passage": ""}'), (4, '{"subqueries": ["weather"], "passage": "x"}')]
-    df = spark.createDataFrame(rows, "id int, raw string")
-    return df.select("id", K.expansion_problems(F.col("raw"), F.lit("blood sugar")).alias("problems"))
+    """Expansions of every benchmark item: sound, no JSON, too many subqueries, and off the subject."""
+    q = F.col("text")
+    word = lambda i: F.split_part(q, F.lit(" "), F.lit(i))
+    made = lambda subqueries, passage: F.to_json(F.struct(subqueries.alias("subqueries"), passage.alias("passage")))
+    raw = F.when(F.expr("item_id % 4 = 0"), made(F.array(word(1)), word(2))).when(F.expr("item_id % 4 = 1"), F.lit("no json")).when(F.expr("item_id % 4 = 2"), made(F.array(word(1), word(2), word(3)), F.lit(""))).otherwise(made(F.array(F.lit("weather")), F.lit("x")))
+    return read(spark, sf_dir, "benchmark").select("item_id", F.array_join(K.expansion_problems(raw, q), ",").alias("problems"))
 
 
 @query("SELECT sha256(text) AS content_hash, min(doc_id) AS doc_id, arg_min(source, doc_id) AS source FROM documents GROUP BY 1")
@@ -165,15 +156,8 @@ def review_import(spark, sf_dir):
     return K.reviewed(pairs, once.unionByName(twice), "pair_id", ["source"])
 
 
-@query("SELECT count(*) AS \"rows\", round(min(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS least_cosine, 0.0 AS most_error, true AS agree FROM embeddings WHERE vec_id % 3 = 0")
-def vector_agreement(spark, sf_dir):
-    e = read(spark, sf_dir, "embeddings")
-    return K.vector_agreement(e.where("vec_id % 3 = 0"), e, "vec_id", "embedding")
-
-
 @query("SELECT count(*) AS \"rows\", round(min(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS least_cosine, 0.0 AS most_error, true AS agree FROM embeddings")
-def vector_agreement_all(spark, sf_dir):
-    """vector_agreement of every vector."""
+def vector_agreement(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings")
     return K.vector_agreement(e, e, "vec_id", "embedding")
 
@@ -191,16 +175,8 @@ def exact_prefix(spark, sf_dir):
     return K.exact_prefix(old, new, "i", "h")
 
 
-@query("SELECT doc_id, array_to_string(list_filter(list_distinct([trim(string_split(text, chr(10))[1]), trim(string_split(text, chr(10))[1])]), lambda x: x <> ''), '|') AS hints FROM documents WHERE NOT contains(text, '|')")
-def heading_hints(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").where(~F.col("text").contains("|"))
-    first = F.trim(F.split("text", "\n")[0])
-    return d.select("doc_id", F.array_join(K.heading_hints(F.concat(F.lit("## "), first, F.lit("\nx\n# not there")), F.col("text")), "|").alias("hints"))
-
-
 @query()
-def heading_hints_all(spark, sf_dir):
-    """heading_hints of every document, as an array: a heading may hold any character."""
+def heading_hints(spark, sf_dir):
     first = F.trim(F.split("text", "\n")[0])
     return read(spark, sf_dir, "documents").select("doc_id", K.heading_hints(F.concat(F.lit("## "), first, F.lit("\nx\n# not there")), F.col("text")).alias("hints"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -91,10 +93,13 @@ def query_key(spark, sf_dir):
     return read(spark, sf_dir, "benchmark").select("item_id", T.query_key(F.col("text")).alias("key"))
 
 
-@query()
+@query(r"""WITH p AS (SELECT doc_id, unnest(regexp_extract_all(replace(replace(lower(text), 'ß', 'ss'), 'ς', 'σ'), '[\p{L}\p{N}]+')) AS w, generate_subscripts(regexp_extract_all(replace(replace(lower(text), 'ß', 'ss'), 'ς', 'σ'), '[\p{L}\p{N}]+'), 1) AS i FROM (SELECT doc_id, '病毒 ' || text || ' 感染了' AS text FROM documents)),
+    t AS (SELECT doc_id, i, CASE WHEN regexp_matches(w, '[\x{3400}-\x{9fff}]') THEN list_concat(string_split(w, ''), list_transform(generate_series(1, length(w) - 1), lambda k: substr(w, k, 2))) ELSE [w] END AS x FROM p)
+    SELECT doc_id, len(flatten(list(x ORDER BY i))) AS n, sha256(array_to_string(flatten(list(x ORDER BY i)), ' ')) AS digest FROM t GROUP BY 1""")
 def cjk_bigram_tokens(spark, sf_dir):
-    rows = [(1, "HbA1c 病毒感染 test"), (2, "感"), (3, "Straße"), (4, "")]
-    return spark.createDataFrame(rows, "id long, text string").select("id", T.lexical_tokens(F.col("text")).alias("tokens"))
+    """Tokens of each document between two runs of ideographs, which the table itself lacks."""
+    tokens = T.lexical_tokens(F.concat(F.lit("病毒 "), "text", F.lit(" 感染了")))
+    return read(spark, sf_dir, "documents").select("doc_id", tokens.alias("t")).where("t is not null").select("doc_id", F.size("t").alias("n"), F.sha2(F.concat_ws(" ", "t"), 256).alias("digest"))
 
 
 @query()
@@ -187,7 +192,7 @@ SNAPSHOT = """
     parents AS (SELECT doc_id, sha, a AS s, least(a + 1000, n) AS e, substring(t, a + 1, least(a + 1000, n) - a) AS text FROM starts WHERE a = 0 OR a + 600 < n)"""
 
 
-@query(f"""WITH {SNAPSHOT}, bad AS (SELECT 'kids' AS kind, c.*, d.source_text_sha256 AS dsha, d.source_text FROM kids c JOIN documents_ d ON c.doc_id = d.doc_id UNION ALL SELECT 'parents', c.*, d.source_text_sha256, d.source_text FROM parents c JOIN documents_ d ON c.doc_id = d.doc_id),
+SNAPSHOT_CHECKS = f"""WITH {SNAPSHOT}, bad AS (SELECT 'kids' AS kind, c.*, d.source_text_sha256 AS dsha, d.source_text FROM kids c JOIN documents_ d ON c.doc_id = d.doc_id UNION ALL SELECT 'parents', c.*, d.source_text_sha256, d.source_text FROM parents c JOIN documents_ d ON c.doc_id = d.doc_id),
     x("check", violations) AS (
     SELECT 'duplicate_document_ids', (SELECT count(*) - count(DISTINCT doc_id) FROM documents_) UNION ALL
     SELECT 'duplicate_outcome_ids', (SELECT count(*) - count(DISTINCT doc_id) FROM outcomes) UNION ALL
@@ -207,23 +212,40 @@ SNAPSHOT = """
     SELECT 'missing_document_children', (SELECT count(*) FROM documents_ d WHERE NOT EXISTS (SELECT 1 FROM kids c WHERE c.doc_id = d.doc_id)) UNION ALL
     SELECT 'child_outside_section', (SELECT count(*) FROM kids k JOIN documents_ d ON k.doc_id = d.doc_id WHERE k.e > length(d.source_text)) UNION ALL
     SELECT 'token_budget_failures', (SELECT count(*) FROM kids WHERE len(string_split(text, ' ')) > 90) + (SELECT count(*) FROM parents WHERE len(string_split(text, ' ')) > 190) UNION ALL
-    SELECT 'manifest_input_count_mismatch', (SELECT abs(count(*) - 1000) FROM ledger) UNION ALL
-    SELECT 'manifest_documents_count_mismatch', (SELECT abs(count(*) - 900) FROM documents_))
-    SELECT "check", CAST(violations AS BIGINT) AS violations FROM x""")
+    SELECT 'manifest_input_count_mismatch', (SELECT abs(count(*) - (SELECT count(*) FROM documents)) FROM ledger) UNION ALL
+    SELECT 'manifest_documents_count_mismatch', (SELECT abs(count(*) - (SELECT count(*) - count_if(doc_id % 10 = 0) FROM documents)) FROM documents_) UNION ALL
+    SELECT 'manifest_children_count_mismatch', (SELECT abs(count(*) - (SELECT count(*) FROM starts WHERE a = 0 OR a + 100 < n)) FROM kids) UNION ALL
+    SELECT 'manifest_parents_count_mismatch', (SELECT abs(count(*) - (SELECT count(*) FROM starts WHERE a = 0 OR a + 600 < n)) FROM parents) UNION ALL
+    SELECT 'manifest_sections_count_mismatch', (SELECT abs(count(*) - (SELECT count(*) FROM documents_)) FROM documents_))
+    SELECT "check", CAST(violations AS BIGINT) AS violations FROM x"""
+
+
+def _checks(spark, sf_dir):
+    """The snapshot's checks against the counts that a manifest of the same documents states."""
+    docs = read(spark, sf_dir, "documents")
+    n = docs.agg(F.count("*").alias("input"), F.count_if(F.expr("doc_id % 10 > 0")).alias("documents"), F.sum(F.when(F.expr("doc_id % 10 > 0"), S.window_count(F.length("text"), 500, 400))).alias("children"), F.sum(F.when(F.expr("doc_id % 10 > 0"), S.window_count(F.length("text"), 1000, 400))).alias("parents")).first().asDict()
+    return S.integrity(*snapshot(spark, sf_dir), counts=n | {"sections": n["documents"]}, budgets=(90, 190))
+
+
+@query(SNAPSHOT_CHECKS)
 def int01_snapshot_checks(spark, sf_dir):
-    return S.integrity(*snapshot(spark, sf_dir), counts={"input": 1000, "documents": 900}, budgets=(90, 190))
+    return _checks(spark, sf_dir)
 
 
-@query("SELECT doc_id, text, length(text) AS char_count, CASE WHEN regexp_matches(text, '(?i)^just a moment') THEN 'ERROR_PAGE' WHEN length(trim(text)) = 0 THEN 'EMPTY' END AS exclusion_reason FROM documents WHERE doc_id % 5 = 0")
-def eligibility(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").where("doc_id % 5 = 0")
-    reason = F.when(F.col("text").rlike("(?i)^just a moment"), "ERROR_PAGE").when(F.length(F.trim("text")) == 0, "EMPTY")
-    return d.select("doc_id", "text", F.length("text").alias("char_count"), reason.alias("exclusion_reason"))
+def _one_check(name):
+    def run(spark, sf_dir):
+        return _checks(spark, sf_dir).where(F.col("check") == name)
+
+    run.__name__ = f"int01_{name}"
+    return query(f"SELECT * FROM ({SNAPSHOT_CHECKS}) WHERE \"check\" = '{name}'")(run)
+
+
+for _name in re.findall(r"SELECT '(\w+)', [(0]", SNAPSHOT_CHECKS):
+    _one_check(_name)
 
 
 @query("SELECT doc_id, text, length(text) AS char_count, CASE WHEN regexp_matches(text, '(?i)^just a moment') THEN 'ERROR_PAGE' WHEN length(trim(text)) = 0 THEN 'EMPTY' END AS exclusion_reason FROM documents")
-def eligibility_all(spark, sf_dir):
-    """eligibility of every document."""
+def eligibility(spark, sf_dir):
     reason = F.when(F.col("text").rlike("(?i)^just a moment"), "ERROR_PAGE").when(F.length(F.trim("text")) == 0, "EMPTY")
     return read(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").alias("char_count"), reason.alias("exclusion_reason"))
 
