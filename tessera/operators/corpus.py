@@ -191,3 +191,37 @@ def drift(now: DataFrame, before: DataFrame, metric: str, value: str, threshold:
     b = before.select(metric, F.col(value).alias("baseline"))
     change = F.when(F.col("baseline") == 0, F.when(F.col(value) == 0, 0.0).otherwise(1.0)).otherwise((F.col(value) - F.col("baseline")) / F.abs("baseline"))
     return now.join(b, metric).select(metric, F.round(value, 6).alias("value"), F.round("baseline", 6).alias("baseline"), F.round(change, 6).alias("change"), (F.abs(change) > threshold).alias("warning"))
+
+
+def evenly_spaced(rows: DataFrame, order, n: int) -> DataFrame:
+    """About n rows in even steps of the order: those at positions floor(i * rows / n)."""
+    placed = positions(rows, order)
+    total = placed.agg(F.count("*").alias("__total"))
+    wanted = total.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"), "__total").select(F.floor(F.col("i") * F.col("__total") / n).alias("position")).distinct()  # n rows
+    return placed.join(wanted, "position")
+
+
+def exact_quantiles(rows: DataFrame, by: list[str], value: str, points: list[float]) -> DataFrame:
+    """(by, point, quantile): interpolated quantiles of each group, nulls left out. Values are put in
+    order by range and picked by rank, so that no group is held in one buffer."""
+    placed = positions(rows.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("v"), F.monotonically_increasing_id().alias("__u")), [*by, "v", "__u"])
+    groups = placed.groupBy(*by).agg(F.min("position").alias("first"), F.count("*").alias("n"))
+    at = groups.select(*by, "first", F.explode(F.array(*[F.struct(F.lit(float(p)).alias("point"), (F.lit(float(p)) * (F.col("n") - 1)).alias("h")) for p in points])).alias("p")).select(*by, "p.point", (F.col("first") + F.floor("p.h")).alias("low"), (F.col("first") + F.ceil("p.h")).alias("high"), (F.col("p.h") - F.floor("p.h")).alias("share"))
+    values = placed.select("position", "v")
+    got = at.join(values.withColumnsRenamed({"position": "low", "v": "a"}), "low").join(values.withColumnsRenamed({"position": "high", "v": "b"}), "high")
+    return got.select(*by, "point", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("quantile"))
+
+
+def merged_counters(parts: DataFrame, counters: str) -> DataFrame:
+    """(name, n): the sum over parts of a column of maps from name to count."""
+    return parts.select(F.explode(counters).alias("name", "n")).groupBy("name").agg(F.sum("n").alias("n"))
+
+
+def inner_without(left: DataFrame, middle: DataFrame, on: str, right: DataFrame, by: str) -> DataFrame:
+    """Rows of left that meet a row of middle, joined with it, and no row of right."""
+    return left.join(middle, on).join(right.select(by), by, "left_anti")
+
+
+def row_digest(columns: list[str]) -> Column:
+    """SHA-256 of the row as JSON, its columns in the order of their names."""
+    return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)

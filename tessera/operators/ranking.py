@@ -139,13 +139,33 @@ def first_of_each(units: DataFrame, key: Column, ordinal: str, carry: list[str])
 
 
 def cutoff_sweep(ranking: DataFrame, gold: DataFrame, query_key: str, key: str, grid: list[dict], digits: int = 6) -> DataFrame:
-    """(setting, f2, size) of each cutoff of a small grid, best first and smaller first among equals."""
-    out = []
-    for i, g in enumerate(grid):
-        kept = retrieval.cutoff(ranking, query_key, "rank", "score", **g)
-        m = evaluation.macro(evaluation.document_metrics(kept, gold, query_key, key), digits=digits)
-        out.append(m.crossJoin(kept.agg(F.count("*").alias("size"))).select(F.lit(i).alias("setting"), "f2", "size"))  # one row each
-    return reduce(DataFrame.unionByName, out).orderBy(F.desc("f2"), "size", "setting")
+    """(setting, minimum, maximum, margin, floor, f2, size) of every cutoff of a grid, best first and
+    smaller first among equals. All settings are judged in one pass over the ranking."""
+    spark = ranking.sparkSession
+    kinds = "setting int, minimum int, maximum int, margin double, floor double"
+    settings = spark.createDataFrame([(i, g["minimum"], g["maximum"], g.get("margin"), g.get("floor")) for i, g in enumerate(grid)], kinds)
+    top = F.max("score").over(Window.partitionBy(query_key))
+    each = ranking.select(query_key, key, "rank", "score", top.alias("top")).crossJoin(F.broadcast(settings))  # the grid is a list of the caller
+    list_of = Window.partitionBy("setting", query_key).orderBy("rank")
+    passed = F.coalesce(F.col("score") >= F.col("floor"), F.lit(True)) & F.coalesce(F.col("score") >= F.col("top") - F.col("margin"), F.lit(True))
+    kept = each.withColumn("n", F.row_number().over(list_of)).where((F.col("n") <= F.col("minimum")) | passed).withColumn("n", F.row_number().over(list_of)).where(F.col("n") <= F.col("maximum"))
+    g = gold.select(query_key, key).distinct()
+    met = kept.join(g.withColumn("hit", F.lit(1)), [query_key, key], "left").groupBy("setting", query_key).agg(F.count("*").alias("np"), F.count("hit").alias("hits"))
+    asked = g.groupBy(query_key).agg(F.count("*").alias("ng")).crossJoin(F.broadcast(settings.select("setting")))
+    rows = asked.join(met, ["setting", query_key], "left").na.fill(0, ["np", "hits"])
+    precision, recall = F.when(F.col("np") > 0, F.col("hits") / F.col("np")).otherwise(0.0), F.col("hits") / F.col("ng")
+    f2 = rows.groupBy("setting").agg(F.round(F.avg(evaluation.f2(precision, recall)), digits).alias("f2"))
+    sizes = kept.groupBy("setting").agg(F.count("*").alias("size"))
+    return settings.join(f2, "setting").join(sizes, "setting", "left").na.fill(0, ["size"]).orderBy(F.desc("f2"), "size", "setting")
+
+
+def rerank_text(title: Column, children: Column, budget: int) -> Column:
+    """The title and, in order, the first words of each child: what the title leaves of the budget of
+    words, in equal shares."""
+    words = lambda t: F.filter(F.split(t, r"\s+"), lambda w: w != "")
+    share = F.greatest(F.lit(0), F.floor((budget - F.size(words(title))) / F.greatest(F.size(children), F.lit(1)))).cast("int")
+    heads = F.transform(children, lambda c: F.concat_ws(" ", F.slice(words(c), F.lit(1), share)))
+    return F.concat_ws("\n", F.filter(F.concat(F.array(title), heads), lambda x: x != ""))
 
 
 def stage_recall(gold: DataFrame, stages: dict[str, DataFrame], query_key: str, key: str, digits: int = 6) -> DataFrame:

@@ -123,11 +123,18 @@ def auxiliary_units(spark, sf_dir):
     return K.first_of_each(read(spark, sf_dir, "documents"), F.col("text"), "doc_id", ["source"])
 
 
-@query()
+GRID = [(m, x, g, f) for m in (1, 3, 5) for x in (5, 10, 20) for g in (None, 0.1, 0.3, 0.6) for f in (None, 0.2, 0.5, 0.8)]
+
+
+@query(f"""WITH {GOLD}, grid(setting, minimum, maximum, margin, floor) AS (VALUES {", ".join(f"({i}, {m}, {x}, {'NULL::DOUBLE' if g is None else f'{g}::DOUBLE'}, {'NULL::DOUBLE' if f is None else f'{f}::DOUBLE'})" for i, (m, x, g, f) in enumerate(GRID))}),
+    e AS (SELECT r.*, grid.*, max(score) OVER (PARTITION BY setting, query_id) AS top FROM (SELECT * FROM r WHERE rank <= 50) r CROSS JOIN grid),
+    ok AS (SELECT *, row_number() OVER (PARTITION BY setting, query_id ORDER BY rank) AS place FROM e WHERE rank <= minimum OR (coalesce(score >= floor, true) AND coalesce(score >= top - margin, true))),
+    k AS (SELECT * FROM ok WHERE place <= maximum), m AS (SELECT setting, query_id, count(*) AS np, count_if((query_id, vec_id) IN (SELECT (query_id, vec_id) FROM g)) AS hits FROM k GROUP BY ALL),
+    n AS (SELECT query_id, count(*) AS ng FROM g GROUP BY 1), z AS (SELECT setting, CASE WHEN coalesce(hits, 0) > 0 THEN 5 * (hits / np) * (hits / ng) / (4 * (hits / np) + hits / ng) ELSE 0 END AS f2 FROM n CROSS JOIN (SELECT setting AS s FROM grid) LEFT JOIN m ON m.query_id = n.query_id AND m.setting = s)
+    SELECT grid.*, round(avg(f2), 6) AS f2, (SELECT count(*) FROM k WHERE k.setting = grid.setting) AS size FROM grid JOIN z USING (setting) GROUP BY ALL""")
 def cutoff_sweep(spark, sf_dir):
     ranking, gold = _ranking_and_gold(spark, sf_dir)
-    grid = [{"minimum": m, "maximum": x, "margin": g} for m in (1, 3) for x in (5, 10) for g in (None, 0.5)]
-    return K.cutoff_sweep(ranking.cache(), gold, "query_id", "vec_id", grid)
+    return K.cutoff_sweep(ranking, gold, "query_id", "vec_id", [{"minimum": m, "maximum": x, "margin": g, "floor": f} for m, x, g, f in GRID])
 
 
 @query(f"WITH {GOLD}, m AS (SELECT g.query_id, count(*) FILTER (WHERE rank <= 50) / count(*) AS a, count(*) FILTER (WHERE rank <= 10) / count(*) AS b FROM g LEFT JOIN r ON g.query_id = r.query_id AND g.vec_id = r.vec_id GROUP BY 1) SELECT 'candidates' AS stage, round(avg(a), 6) AS recall, count(*) FILTER (WHERE a = 0) AS lost FROM m UNION ALL SELECT 'final', round(avg(b), 6), count(*) FILTER (WHERE b = 0) FROM m")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.plans import pipelines, ranking, relational, retrieval, textual
+from tessera.plans import extended, pipelines, ranking, relational, retrieval, textual
 
 
 def _modules():
-    return [relational, textual, retrieval, ranking, pipelines]
+    return [relational, textual, retrieval, ranking, pipelines, extended]
 
 
 def queries() -> dict:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import posixpath
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +41,36 @@ def damaged_parts(spark: SparkSession, root: str, digests: dict[str, str]) -> Da
     return want.join(found, "name", "left").where(~F.col("expected").eqNullSafe(F.col("found")))
 
 
+def part_digests(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """SHA-256 of each file by name, hashed where it is read; one row a file reaches the driver."""
+    rows = spark.read.format("binaryFile").load(paths).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("digest")).collect()
+    return {r["name"]: r["digest"] for r in rows}
+
+
+def read_checked(spark: SparkSession, root: str, digests: dict[str, str], schema: StructType | str | None = None) -> DataFrame:
+    """read_parts after every part has met its checksum; a damaged or missing part is an error."""
+    bad = [r["name"] for r in damaged_parts(spark, root, digests).collect()]
+    if bad:
+        raise ValueError(f"parts that differ from their manifest: {', '.join(sorted(bad))}")
+    return read_parts(spark, root, list(digests), schema)
+
+
+def publish_json(spark: SparkSession, path: str, value) -> None:
+    """One JSON document, keys in order, whole or not at all: written aside and renamed."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(json.dumps(value, sort_keys=True, ensure_ascii=False).encode()))
+    finally:
+        stream.close()
+    fs.delete(target, False)
+    if not fs.rename(draft, target):
+        raise OSError(f"could not publish {path}")
+
+
 def read_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Files of several vintages as one table: columns meet by name, missing ones are null."""
     return spark.read.option("mergeSchema", True).parquet(*paths)
