@@ -23,9 +23,18 @@ def key_profile(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def length_quantiles(df: DataFrame, value: Column, points=(0.5, 0.95), digits: int = 6) -> DataFrame:
-    """Least, interpolated quantiles and greatest; exact."""
-    p = F.percentile(value, F.array(*[F.lit(x) for x in points]))
-    return df.agg(F.min(value).alias("least"), p.alias("p"), F.max(value).alias("most")).select("least", *[F.round(F.col("p")[i], digits).alias(f"p{int(100 * x)}") for i, x in enumerate(points)], "most")
+    """Least, interpolated quantiles and greatest; exact, by rank."""
+    names = {0.0: "least", **{x: f"p{int(100 * x)}" for x in points}, 1.0: "most"}
+    got = exact_quantiles(df.select(value.alias("v")), [], "v", list(names))
+    row = got.agg(*[F.max(F.when(F.col("point") == x, F.col("quantile"))).alias(n) for x, n in names.items()])
+    kind = df.select(value.alias("v")).schema["v"].dataType
+    return row.select(F.col("least").cast(kind).alias("least"), *[F.round(names[x], digits).alias(names[x]) for x in points], F.col("most").cast(kind).alias("most"))
+
+
+def quantile_columns(df: DataFrame, by: list[str], value: str, points: dict[str, float], digits: int = 6) -> DataFrame:
+    """One row a group with a column for each point."""
+    got = exact_quantiles(df, by, value, list(points.values()))
+    return got.groupBy(*by).agg(*[F.round(F.max(F.when(F.col("point") == x, F.col("quantile"))), digits).alias(n) for n, x in points.items()])
 
 
 def group_count(df: DataFrame, *by: str, name: str = "rows") -> DataFrame:

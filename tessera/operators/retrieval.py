@@ -103,7 +103,7 @@ def vector_problems(vectors: DataFrame, key: str, vector: str, dimension: int, t
     return row.unpivot([], [*checks, "duplicate_key"], "check", "violations")
 
 
-def exact_topk(queries: DataFrame, vectors: DataFrame, k: int, query_key: str = "query_id", key: str = "vec_id", vector: str = "embedding", most: int = 20_000, digits: int = 6) -> DataFrame:
+def exact_topk(queries: DataFrame, vectors: DataFrame, k: int, query_key: str = "query_id", key: str = "vec_id", vector: str = "embedding", most: int = 20_000, digits: int = 6, turn: int = 0) -> DataFrame:
     """(query_key, key, score, rank) by inner product, over all vectors.
 
     Up to `most` queries, a checked bound, are sent to every task, which multiplies them with its
@@ -113,8 +113,9 @@ def exact_topk(queries: DataFrame, vectors: DataFrame, k: int, query_key: str =
     rows = queries.select(query_key, vector).orderBy(query_key)
     total = rows.count()
     if total > most:
-        parts = [rows.where(F.pmod(F.xxhash64(query_key), F.lit(-(-total // most) * 2)) == i) for i in range(-(-total // most) * 2)]
-        return reduce(DataFrame.unionByName, [exact_topk(p, vectors, k, query_key, key, vector, total, digits) for p in parts])
+        n = -(-total // most) * 2
+        parts = [rows.where(F.pmod(F.xxhash64(query_key, F.lit(turn)), F.lit(n)) == i) for i in range(n)]
+        return reduce(DataFrame.unionByName, [exact_topk(p, vectors, k, query_key, key, vector, most, digits, turn + 1) for p in parts])
     got = rows.toArrow()
     ids = got.column(query_key).to_pylist()
     matrix = np.array(got.column(vector).to_pylist(), np.float64).reshape(len(ids), -1) if ids else np.zeros((0, 1))
@@ -127,12 +128,14 @@ def exact_topk(queries: DataFrame, vectors: DataFrame, k: int, query_key: str =
         for batch in batches:
             if not batch.num_rows or not len(names):
                 continue
-            m = np.array(batch.column(1).to_pylist(), np.float64)
-            s = np.concatenate([best_s, np.round(q @ m.T, digits)], axis=1)
-            keys = np.concatenate([best_k, np.tile(np.array(batch.column(0).to_pylist(), object), (len(names), 1))], axis=1)
-            place = np.unique(keys, return_inverse=True)[1].reshape(keys.shape)  # keys of any type, by order
-            order = np.lexsort((place, -s), axis=1)[:, :k]
-            best_s, best_k = np.take_along_axis(s, order, 1), np.take_along_axis(keys, order, 1)
+            m, keys = np.array(batch.column(1).to_pylist(), np.float64), np.array(batch.column(0).to_pylist(), object)
+            by_key = np.argsort(keys, kind="stable")  # so that a stable order by score leaves ties to the smaller key
+            s = np.round(q @ m[by_key].T, digits)
+            top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+            both_s, both_k = np.concatenate([best_s, np.take_along_axis(s, top, 1)], axis=1), np.concatenate([best_k, keys[by_key][top]], axis=1)
+            place = np.unique(both_k, return_inverse=True)[1].reshape(both_k.shape)  # keys of any type, by order
+            order = np.lexsort((place, -both_s), axis=1)[:, :k]
+            best_s, best_k = np.take_along_axis(both_s, order, 1), np.take_along_axis(both_k, order, 1)
         n = best_s.shape[1]
         if not n:
             return
@@ -180,31 +183,12 @@ def trained_centres(vectors: DataFrame, key: str, vector: str, n: int, sample: i
     return c
 
 
-def ann_topk(queries: DataFrame, vectors: DataFrame, k: int, centres: np.ndarray, probes: int, query_key: str = "query_id", key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Inverted-file search: vectors of the cells that a query probes, rescored exactly."""
-    v = cells(vectors.select(key, vector), centres, vector).select(key, F.col(vector).alias("__v"), "cell")
-    q = cells(queries.select(query_key, vector), centres, vector, probes).select(query_key, F.col(vector).alias("__q"), "cell")
-    return ranked(q.join(v, "cell").select(query_key, key, dot(F.col("__q"), F.col("__v")).alias("score")), query_key, key, k)
-
-
 def recall_against(exact: DataFrame, found: DataFrame, query_key: str, key: str) -> DataFrame:
     """Mean share of the exact results that were found."""
     both = exact.select(query_key, key).join(found.select(query_key, key).withColumn("hit", F.lit(1)), [query_key, key], "left")
     return both.groupBy(query_key).agg((F.count("hit") / F.count("*")).alias("recall")).agg(F.avg("recall").alias("recall"), F.count("*").alias("queries"))
 
 
-def gated_ann(queries: DataFrame, vectors: DataFrame, k: int, cells_wanted: int = 64, probes: int = 4, least: float = 0.95, query_key: str = "query_id", key: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, float, int]:
-    """Double the probes until mean recall against the exact leg reaches `least`."""
-    centres = trained_centres(vectors, key, vector, cells_wanted)
-    exact = exact_topk(queries, vectors, k, query_key, key, vector).cache()
-    while True:
-        found = ann_topk(queries, vectors, k, centres, min(probes, len(centres)), query_key, key, vector)
-        recall = recall_against(exact, found, query_key, key).first()["recall"] or 0.0
-        if recall >= least or probes >= len(centres):
-            return found, recall, min(probes, len(centres))
-        probes *= 2
-
-
 def weighted_rrf(branches: DataFrame, query_key: str, key: str, weights: dict[str, float], offset: int = 60) -> DataFrame:
     """(query_key, key, score, evidence) from rows (query_key, branch, key, rank, score).
 

@@ -38,19 +38,24 @@ def window_count(n: Column, size: int, step: int) -> Column:
 
 def sections(docs: DataFrame, key: str, text: str, headings: Column) -> DataFrame:
     """Sections that begin at exact heading lines and together cover the text; the first has no
-    heading if text comes before one. Offsets are running sums over lines: native."""
-    lines = docs.select(F.col(key), F.length(text).alias("n"), headings.alias("h"), F.posexplode(F.split(text, "\n")).alias("i", "line"))
-    w = Window.partitionBy(key).orderBy("i")
-    before = F.coalesce(F.sum(F.length("line") + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = lines.withColumn("at", before)
-    lead = F.length("line") - F.length(F.ltrim("line"))
-    value = F.trim("line")
-    anchors = placed.where((value != "") & F.array_contains("h", value)).select(key, "n", (F.col("at") + lead).alias("start_char"), value.alias("heading_text"))
-    head = docs.select(F.col(key), F.length(text).alias("n"), F.lit(0).cast("long").alias("start_char"), F.lit("").alias("heading_text")).where("n > 0")
-    first = anchors.where("start_char = 0").select(key)
-    rows = anchors.unionByName(head.join(first, key, "left_anti"))
-    w = Window.partitionBy(key).orderBy("start_char")
-    return rows.select(key, (F.row_number().over(w) - 1).alias("section_index"), "heading_text", "start_char", F.coalesce(F.lead("start_char").over(w), F.col("n").cast("long")).alias("end_char"))
+    heading if text comes before one. A fold over the lines of each row: native, nothing is shuffled."""
+    kind = "array<struct<start_char:int,heading_text:string>>"
+
+    def step(s, line):
+        value = F.trim(line)
+        lead = F.length(line) - F.length(F.ltrim(line))
+        here = F.array(F.struct((s["at"] + lead).alias("start_char"), value.alias("heading_text"))).cast(kind)
+        met = (value != "") & F.array_contains("__h", value)
+        return F.struct((s["at"] + F.length(line) + 1).alias("at"), F.concat(s["found"], F.when(met, here).otherwise(F.array().cast(kind))).alias("found"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
+    rows = docs.select(F.col(key), F.col(text).alias("__t"), headings.alias("__h")).where(F.length("__t") > 0)
+    rows = rows.select(key, F.length("__t").alias("n"), F.aggregate(F.split("__t", "\n"), start, step)["found"].alias("a"))
+    lead = F.when((F.size("a") == 0) | (F.col("a")[0]["start_char"] > 0), F.array(F.struct(F.lit(0).alias("start_char"), F.lit("").alias("heading_text"))).cast(kind)).otherwise(F.array().cast(kind))
+    rows = rows.withColumn("a", F.concat(lead, "a"))
+    rows = rows.select(key, "n", "a", F.posexplode("a").alias("section_index", "s"))
+    end = F.coalesce(F.try_element_at("a", F.col("section_index") + 2)["start_char"], F.col("n"))
+    return rows.select(key, "section_index", "s.heading_text", F.col("s.start_char").cast("long").alias("start_char"), end.cast("long").alias("end_char"))
 
 
 def paragraphs(docs: DataFrame, key: str, text: str) -> DataFrame:

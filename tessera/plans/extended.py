@@ -10,9 +10,8 @@ from tessera.operators import hooks as H
 from tessera.operators import passages as P
 from tessera.operators import ranking as K
 from tessera.operators import retrieval as R
-from tessera.operators import vector_index as V
 from tessera.plans.relational import read
-from tessera.plans.retrieval import ALL_TERMS, TOKENS, _vector_queries, _words, bm25_sql
+from tessera.plans.retrieval import ALL_TERMS, TOKENS, _words, bm25_sql
 from tessera.plans.textual import WINDOWS, children
 from tessera.session import new_folder
 from tessera.sources import tables
@@ -119,14 +118,6 @@ def token_chunks(spark, sf_dir):
     return P.chunked(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text").drop("text")
 
 
-@query()
-def quantised_search(spark, sf_dir):
-    """Stored index with byte codes, gated on sampled queries."""
-    e, q = read(spark, sf_dir, "embeddings"), _vector_queries(spark, sf_dir)
-    found, recall, probes = V.gated_search(V.build(e), q, e, 10)
-    return found.withColumns({"recall": F.lit(recall), "probes": F.lit(probes)})
-
-
 @query("WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents), w AS (SELECT DISTINCT i * (SELECT count(*) FROM documents) // 23 AS position FROM range(23) t(i)) SELECT position, doc_id FROM p JOIN w USING (position)")
 def evenly_spaced_documents(spark, sf_dir):
     return C.evenly_spaced(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", 23)

@@ -247,17 +247,16 @@ def contiguous_shards(spark, sf_dir):
 
 @query("SELECT event_type, count(*) AS requested, count(*) FILTER (WHERE value > 50) AS success, round(sum(value) FILTER (WHERE value > 50), 4) AS total, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY 1")
 def health_by_group(spark, sf_dir):
-    good = F.col("value") > 50
-    p = F.percentile("value", F.array(F.lit(0.5), F.lit(0.95)))
-    rows = read(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("requested"), F.count_if(good).alias("success"), F.round(F.sum(F.when(good, F.col("value"))), 4).alias("total"), p.alias("p"))
-    return rows.select("event_type", "requested", "success", "total", F.round(F.col("p")[0], 6).alias("p50"), F.round(F.col("p")[1], 6).alias("p95"))
+    good, events = F.col("value") > 50, read(spark, sf_dir, "events")
+    rows = events.groupBy("event_type").agg(F.count("*").alias("requested"), F.count_if(good).alias("success"), F.round(F.sum(F.when(good, F.col("value"))), 4).alias("total"))
+    return rows.join(C.quantile_columns(events, ["event_type"], "value", {"p50": 0.5, "p95": 0.95}), "event_type", "left")
 
 
 @query("SELECT m AS metric, round(avg(v), 6) AS mean, round(quantile_cont(v, 0.05), 6) AS p05, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.95), 6) AS p95, round(quantile_cont(v, 0.99), 6) AS p99 FROM (SELECT 'price' AS m, l_extendedprice AS v FROM lineitem UNION ALL SELECT 'quantity', l_quantity FROM lineitem UNION ALL SELECT 'discount', l_discount FROM lineitem) GROUP BY 1")
 def distribution_metrics(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount")).unpivot([], ["price", "quantity", "discount"], "metric", "v")
-    p = rows.groupBy("metric").agg(F.avg("v").alias("mean"), F.percentile("v", F.array(*[F.lit(x) for x in (0.05, 0.5, 0.95, 0.99)])).alias("p"))
-    return p.select("metric", F.round("mean", 6).alias("mean"), *[F.round(F.col("p")[i], 6).alias(n) for i, n in enumerate(("p05", "p50", "p95", "p99"))])
+    mean = rows.groupBy("metric").agg(F.round(F.avg("v"), 6).alias("mean"))
+    return mean.join(C.quantile_columns(rows, ["metric"], "v", {"p05": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99}), "metric")
 
 
 @query("SELECT lang, source, count(*) AS documents FROM documents GROUP BY 1, 2")

@@ -9,6 +9,7 @@ from tessera.operators import corpus as C
 from tessera.operators import evaluation as E
 from tessera.operators import intake as I
 from tessera.operators import retrieval as R
+from tessera.operators import vector_index as V
 from tessera.plans.relational import read
 from tessera.plans.textual import children
 
@@ -118,7 +119,9 @@ def maxp_documents(spark, sf_dir):
 
 @query()
 def ann_recall_gate(spark, sf_dir):
-    found, recall, probes = R.gated_ann(_vector_queries(spark, sf_dir), read(spark, sf_dir, "embeddings"), 10)
+    """Stored index with byte codes, its probes doubled until sampled queries reach the recall."""
+    q, e = _vector_queries(spark, sf_dir), read(spark, sf_dir, "embeddings")
+    found, recall, probes = V.gated_search(V.build(e), q, e, 10)
     return found.withColumns({"recall": F.lit(recall), "probes": F.lit(probes)})
 
 
@@ -126,7 +129,7 @@ def ann_recall_gate(spark, sf_dir):
 def candidate_rescore(spark, sf_dir):
     """Exact scores of the inverted-file search's hits, each query's own candidates."""
     e, q = read(spark, sf_dir, "embeddings"), _vector_queries(spark, sf_dir)
-    pairs = R.gated_ann(q, e, 10)[0].select("query_id", "vec_id")
+    pairs = V.search(V.build(e), q, e, 10, 4).select("query_id", "vec_id")
     return R.rescore(pairs, q, e, "query_id", "vec_id").withColumn("score", F.round("score", 6))
 
 
@@ -219,8 +222,8 @@ def lcs_similarity(spark, sf_dir):
 
 def _candidates(spark, sf_dir):
     hits = R.ranked(R.bm25(read(spark, sf_dir, "benchmark"), "item_id", _words(), children(spark, sf_dir).withColumn("child", F.concat_ws(":", "doc_id", "chunk_order")), "child", _words()), "item_id", "child", 60)
-    kids = children(spark, sf_dir).select("doc_id", F.concat_ws(":", "doc_id", "chunk_order").alias("child"), _words().alias("tokens"))
-    return hits.join(kids, "child")
+    kids = children(spark, sf_dir).select("doc_id", F.concat_ws(":", "doc_id", "chunk_order").alias("child"), "text")
+    return hits.join(kids, "child").withColumn("tokens", _words()).drop("text")
 
 
 @query()
