@@ -20,10 +20,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.chunks import chunk_codes, slices
+from tessera.llm.chunks import chunk_codes, listed, slices
 from tessera.session import ship_package
 
 #: Fixed by HTML: elements that begin a block of their own, that hold no running text, that are void.
@@ -42,9 +43,9 @@ _HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _HREF = re.compile(r"\bhref\s*=", re.I)
 _PARTS = re.compile(r"[a-z]+")
 
-PATH, WORDS, SHAPE, HIDDEN_UNITS = 448, 64, 10, 24  # WORDS: two to the power of six
+PATH, WORDS, SHAPE, HIDDEN_UNITS = 448, 512, 10, 24
 WIDTH = PATH + WORDS + SHAPE
-PAGES, EPOCHS, BATCH, SEED = 1200, 5, 24, 5
+PAGES, EPOCHS, BATCH, SEED = 3000, 7, 24, 5
 
 
 def _hash(text: str, n: int) -> int:
@@ -140,22 +141,13 @@ def leaf_blocks(page: str | None) -> list[Block]:
 
 
 def _hash_words(words: pa.Array) -> np.ndarray:
-    """A place among WORDS for each word: a polynomial of its first twelve bytes, A-Z lower-cased."""
-    words = words.cast(pa.large_binary())
-    _, offsets, data = words.buffers()
-    ends = np.frombuffer(offsets, np.int64, len(words) + 1, 8 * words.offset)
-    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(1, np.uint8)
-    size, h = np.diff(ends), np.zeros(len(words), np.uint64)
-    for i in range(12):
-        b = data[np.minimum(ends[:-1] + i, len(data) - 1)].astype(np.uint64)
-        b += np.where((b >= 65) & (b <= 90), np.uint64(32), np.uint64(0))
-        h = np.where(i < size, (h * np.uint64(0x100000001B3)) ^ b, h)
-    return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58)).astype(np.int64)
-
-
-def features(pages: list[list[Block]]) -> np.ndarray:
-    """One row of WIDTH for each block of all pages, in order."""
-    blocks = [b for p in pages for b in p]
+    """A place among WORDS for each whole word, lower-cased and without punctuation around it."""
+    return np.array([xxhash.xxh3_64_intdigest(w.strip(_AROUND).lower()) % WORDS for w in listed(words)], np.int64)
+
+
+def features(pages: list[list[Block]], start: int = 0, stop: int | None = None) -> np.ndarray:
+    """One row of WIDTH for each block of all pages, in order; of one page also of a part of it."""
+    blocks = [b for p in pages for b in p[start:stop]]
     x = np.zeros((len(blocks), WIDTH), np.float32)
     if not blocks:
         return x
@@ -168,8 +160,8 @@ def features(pages: list[list[Block]]) -> np.ndarray:
     counts = np.bincount(rows * WORDS + place[codes], minlength=len(blocks) * WORDS).reshape(-1, WORDS)
     x[:, PATH : PATH + WORDS] = np.log1p(counts) / np.log1p(np.maximum(n, 1))[:, None]
     length = np.array([len(b.text) for b in blocks])
-    at = np.concatenate([np.arange(len(p)) for p in pages])
-    size = np.repeat([len(p) for p in pages], [len(p) for p in pages])
+    at = np.concatenate([np.arange(len(p))[start:stop] for p in pages])
+    size = np.repeat([len(p) for p in pages], [len(p[start:stop]) for p in pages])
     last = [b.text[-1] in ".!?…。" for b in blocks]
     heading = [b.tag in ("h1", "h2", "h3", "h4", "h5", "h6") for b in blocks]
     shape = [np.log1p(np.minimum(length, 3000)) / 6, np.log1p(np.minimum(n, 500)) / 4, [b.linked for b in blocks], last, heading, at / size, np.minimum(at, 20) / 20, np.minimum(size - at, 20) / 20, length > 200, np.ones(len(blocks))]
@@ -194,11 +186,11 @@ class Labeller:
         self.p["o"] = (rng.standard_normal(2 * h) * 0.2).astype(np.float32)
         self.p["k"] = np.zeros(1, np.float32)
 
-    def _run(self, z, mask, u, keep):
-        """Hidden states of one direction; z: projected inputs, padded (time, page, 4h)."""
+    def _run(self, z, mask, u, keep, state=None):
+        """Hidden states of one direction and its last state; z: projected inputs, padded (time, page, 4h)."""
         h = HIDDEN_UNITS
         t, n = mask.shape
-        hidden, cell = np.zeros((n, h), np.float32), np.zeros((n, h), np.float32)
+        hidden, cell = state or (np.zeros((n, h), np.float32), np.zeros((n, h), np.float32))
         out, saved = np.zeros((t, n, h), np.float32), []
         for s in range(t):
             g = z[s] + hidden @ u
@@ -213,7 +205,7 @@ class Labeller:
             cell = np.where(m, grown, cell)
             hidden = np.where(m, o * squashed, hidden)
             out[s] = hidden
-        return out, saved
+        return out, saved, (hidden, cell)
 
     def _back(self, grad, saved, u):
         h = HIDDEN_UNITS
@@ -248,7 +240,7 @@ class Labeller:
         outs, caches = [], []
         for d, at in (("f", forward), ("b", backward)):
             z = x @ self.p["W" + d] + self.p["c" + d]
-            hidden, saved = self._run(z[at], mask, self.p["U" + d], keep)
+            hidden, saved, _ = self._run(z[at], mask, self.p["U" + d], keep)
             flat = np.zeros((len(x), HIDDEN_UNITS), np.float32)
             flat[at[mask]] = hidden[mask]
             outs.append(flat)
@@ -256,6 +248,19 @@ class Labeller:
         both = np.concatenate(outs, axis=1)
         return both @ self.p["o"] + self.p["k"], both, caches, mask
 
+    def long_logits(self, page: list[Block], part: int) -> np.ndarray:
+        """logits of one page whose blocks do not fit at once: features and projections are made for
+        `part` blocks at a time, and the state is carried on in either direction."""
+        both = np.zeros((len(page), 2 * HIDDEN_UNITS), np.float32)
+        starts = range(0, len(page), part)
+        for k, (d, order, step) in enumerate((("f", starts, 1), ("b", reversed(starts), -1))):
+            state = None
+            for a in order:
+                z = features([page], a, a + part)[::step] @ self.p["W" + d] + self.p["c" + d]
+                hidden, _, state = self._run(z[:, None], np.ones((len(z), 1), bool), self.p["U" + d], False, state)
+                both[a : a + part, k * HIDDEN_UNITS : (k + 1) * HIDDEN_UNITS] = hidden[::step, 0]
+        return both @ self.p["o"] + self.p["k"]
+
     def gradients(self, x, sizes, y):
         z, both, caches, mask = self.logits(x, sizes, keep=True)
         error = ((_sigmoid(z) - y) / len(y)).astype(np.float32)
@@ -280,7 +285,7 @@ class Labeller:
             batch, order = order[:n], order[n:]
             chosen = [pages[i] for i in batch]
             sizes = np.array([len(p) for p in chosen])
-            z = self.logits(features(chosen), sizes)[0]
+            z = self.logits(features(chosen), sizes)[0] if sizes.sum() <= blocks else self.long_logits(chosen[0], blocks)
             for i, part in zip(batch, np.split(z > 0, np.cumsum(sizes)[:-1]), strict=True):
                 out[i] = part
         return out
@@ -298,6 +303,26 @@ _NOISE = {
     "comments": "comments comment reply replies discussion disqus respond thread user",
     "share": "share social tags toolbar byline meta follow",
 }
+#: Words that mark such parts of a page in real text.
+_CUES = {
+    "nav": "home about contact news products services login menu archive next previous",
+    "header": "welcome official daily online edition search login",
+    "footer": "copyright rights reserved privacy terms imprint sitemap policy company",
+    "sidebar": "related popular recent posts categories also recommended latest more",
+    "notice": "cookies cookie consent accept privacy settings agree subscribe subscription continue",
+    "ad": "sponsored advertisement buy offer sale discount promoted free shipping deal",
+    "form": "name email password submit send address required sign register",
+    "comments": "reply says commented comments ago report likes thanks guest",
+    "share": "share tweet facebook print follow copy link whatsapp",
+}
+#: Frequent words of some languages, which say nothing about a block.
+_COMMON = (
+    "the of and to in is was for on that with as it at by from this be are or an have not which you "
+    "de la le et les des en un une du que qui dans pour par sur est au aux ne pas se ce il elle avec "
+    "der die das und in den von zu mit sich auf für ist im dem nicht ein eine als auch es an werden aus "
+    "el los las y del se por con una su para es al lo como más pero sus o este sí porque"
+)
+_AROUND = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¡¿«»…©"
 _NOISE_TAGS = {"nav": ("nav", "div", "ul"), "header": ("header", "div"), "footer": ("footer", "div"), "sidebar": ("aside", "div", "section"), "notice": ("div", "section", "aside"), "ad": ("div", "aside", "section", "ins"), "form": ("form",), "comments": ("section", "div", "ol"), "share": ("div", "ul")}
 _MAIN = "article content main post entry story body text page single news blog"
 
@@ -305,11 +330,21 @@ _MAIN = "article content main post entry story body text page single news blog"
 def _generated(rng: np.random.Generator) -> tuple[str, list[tuple[str, bool]]]:
     """A page and its (text, belongs to the article) in order."""
     syllables = "an er in on re th es ti or ea al la de un que con sch ung ein ment eau ra lo mi ka su".split()
+    common = _COMMON.split()
     pick = lambda a: a[int(rng.integers(len(a)))]
     truth: list[tuple[str, bool]] = []
 
+    part = ["main"]
+
     def words(n):
-        return " ".join("".join(pick(syllables) for _ in range(int(rng.integers(1, 5)))) for _ in range(n))
+        made = ["".join(pick(syllables) for _ in range(int(rng.integers(1, 5)))) for _ in range(n)]
+        for i, r in enumerate(rng.random(n)):  # words of any part: frequent ones, and any others
+            made[i] = pick(common) if r < 0.3 else "".join(pick("abcdefghijklmnopqrstuvwxyzéèüößñç") for _ in range(int(rng.integers(2, 9)))) if r < 0.5 else made[i]
+        sure = 0.02 if part[-1] == "main" else 0.5
+        if rng.random() < sure:  # some blocks of a part speak of what it is; an article may do so too
+            cues = _CUES[pick(list(_CUES)) if part[-1] == "main" else part[-1]].split()
+            made = [pick(cues) if rng.random() < 0.4 else w for w in made]
+        return " ".join(made)
 
     def sentence(n):
         t = words(n).capitalize()
@@ -369,6 +404,7 @@ def _generated(rng: np.random.Generator) -> tuple[str, list[tuple[str, bool]]]:
 
     def noise(kind):
         tag = pick(_NOISE_TAGS[kind])
+        part.append(kind)
         named = tag in ("nav", "footer", "aside", "header", "form")
         attributes = hint(kind, 0.35 if named else 0.97)
         n = int(rng.integers(1, 9))
@@ -385,6 +421,7 @@ def _generated(rng: np.random.Generator) -> tuple[str, list[tuple[str, bool]]]:
             inner = ("&copy; " if kind == "footer" and rng.random() < 0.5 else "") + emit(sentence(int(rng.integers(1, 30))), False)
         else:
             inner = "".join(f"<p>{emit(sentence(int(rng.integers(2, 40))), False)}</p>" for _ in range(1 + n // 3))
+        part.pop()
         return f"<{tag}{attributes}>{inner}</{tag}>"
 
     top = "".join(noise(k) for k in ("notice", "header", "nav", "ad", "share") if rng.random() < 0.55)
@@ -432,10 +469,8 @@ def trained(pages: int = PAGES, epochs: int = EPOCHS, seed: int = SEED) -> Label
         for k in rng.permutation(len(batches)):
             chosen = [data[i] for i in batches[k]]
             x = np.concatenate([x for x, _ in chosen])
-            words = x[:, PATH : PATH + WORDS]  # words of the corpus differ from ours: drop them or exchange them
-            words *= rng.random((len(x), 1)) < 0.6
-            mixed = rng.random(len(x)) < 0.3
-            words[mixed] = rng.permuted(words[mixed], axis=1)
+            x[:, PATH : PATH + WORDS] *= rng.random((len(x), 1)) < 0.5  # words of the corpus differ from ours
+            x[:, :PATH] *= rng.random((len(x), 1)) < 0.9  # and so do its tags
             g = net.gradients(x, np.array([len(y) for _, y in chosen]), np.concatenate([y for _, y in chosen]))
             step += 1
             rate = 0.01 * (1 - step / (total + 1)) + 1e-4

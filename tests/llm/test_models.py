@@ -426,3 +426,41 @@ def test_stage_rejects_texts_in_no_learnt_language(spark, sf_dir):
     odd = spark.createDataFrame([(10**6, "漢字仮名交文章資料処理言語判定試験問題" * 9, None, None, None), (10**6 + 1, "123 456", None, None, None), (10**6 + 2, None, None, None, None)], docs.schema)
     kept = {r.doc_id for r in languages.accepted(docs.unionByName(odd)).select("doc_id").collect()}
     assert kept == {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").select("doc_id").collect()}
+
+
+def test_a_long_page_is_labelled_as_in_one_piece(spark):
+    net, rng = blocks.trained_in_task(spark), np.random.default_rng(5)
+    page = [b for _ in range(30) for b in blocks.leaf_blocks(blocks._generated(rng)[0])]
+    assert len(page) > 300
+    whole = net.logits(blocks.features([page]), np.array([len(page)]))[0]
+    assert np.allclose(net.long_logits(page, 64), whole, atol=1e-4)
+    assert (net.label([page], blocks=100)[0] == (whole > 0)).all()
+    many = "<article>" + "<p>one cell</p>" * 60_000 + "</article>"
+    assert blocks.extract(spark.createDataFrame([(1, "u", many)], "page_id long, url string, html string")).first().n_blocks == 60_000
+
+
+def bare_accuracy(net):
+    """On layouts never seen in training: no class or id, and no tag that names a part."""
+    rng, right, total = np.random.default_rng(123), 0, 0
+    for _ in range(100):
+        page, truth = blocks._generated(rng)
+        page = re.sub(r"<(/?)(nav|aside|footer|header|main|article|section)\b", r"<\1div", re.sub(r'\s(class|id)="[^"]*"', "", page))
+        good = {" ".join(t.split()): g for t, g in truth}
+        found = blocks.leaf_blocks(page)
+        y = [good.get(b.text, good.get(b.text.removeprefix("© "), False)) for b in found]
+        right += (net.label([found])[0] == np.array(y)).sum()
+        total += len(y)
+    return right / total
+
+
+def test_words_context_and_paths_all_count(spark):
+    import copy
+
+    net = blocks.trained_in_task(spark)
+    whole = bare_accuracy(net)
+    for name, rows in (("U", slice(None)), ("W", slice(blocks.PATH, blocks.PATH + blocks.WORDS)), ("W", slice(0, blocks.PATH))):
+        less = copy.deepcopy(net)
+        for d in "fb":
+            less.p[name + d][rows] = 0
+        assert bare_accuracy(less) < whole - 0.01
+    assert whole > 0.92
