@@ -141,8 +141,10 @@ def leaf_blocks(page: str | None) -> list[Block]:
 
 
 def _hash_words(words: pa.Array) -> np.ndarray:
-    """A place among WORDS for each whole word, lower-cased and without punctuation around it."""
-    return np.array([xxhash.xxh3_64_intdigest(w.strip(_AROUND).lower()) % WORDS for w in listed(words)], np.int64)
+    """A place among WORDS for each whole word, lower-cased and without punctuation around it; one
+    place more for mere punctuation."""
+    cores = [w.strip(_AROUND).lower() for w in listed(words)]
+    return np.array([xxhash.xxh3_64_intdigest(w) % WORDS if w else WORDS for w in cores], np.int64)
 
 
 def features(pages: list[list[Block]], start: int = 0, stop: int | None = None) -> np.ndarray:
@@ -157,7 +159,7 @@ def features(pages: list[list[Block]], start: int = 0, stop: int | None = None)
     place = np.append(_hash_words(chunks), 0)
     n = np.diff(offsets)
     rows = np.repeat(np.arange(len(blocks)), n)
-    counts = np.bincount(rows * WORDS + place[codes], minlength=len(blocks) * WORDS).reshape(-1, WORDS)
+    counts = np.bincount(rows * (WORDS + 1) + place[codes], minlength=len(blocks) * (WORDS + 1)).reshape(-1, WORDS + 1)[:, :WORDS]
     x[:, PATH : PATH + WORDS] = np.log1p(counts) / np.log1p(np.maximum(n, 1))[:, None]
     length = np.array([len(b.text) for b in blocks])
     at = np.concatenate([np.arange(len(p))[start:stop] for p in pages])
