@@ -133,3 +133,29 @@ def round_robin(rows: DataFrame, by: str, order: list, n: int) -> DataFrame:
     """The first of each group, then the second of each, to n in all."""
     w = Window.partitionBy(by).orderBy(*order)
     return rows.withColumn("ordinal", F.row_number().over(w)).where(F.col("ordinal") <= n).orderBy("ordinal", by, *order).limit(n)
+
+
+def mined_negatives(candidates: DataFrame, gold: DataFrame, query_key: str, key: str, category: str, rank: str, tokens: str, quotas: dict[str, int], total: int, share: float = 0.8) -> DataFrame:
+    """hard_negatives of the candidates that are no positives, and whether the query has `total` of
+    them or is held. A candidate is a positive if its longest common subsequence with a gold passage
+    of its query has `share` of its own tokens; one without tokens is no negative either."""
+    from tessera.operators.retrieval import lcs
+
+    pairs = candidates.join(gold.select(query_key, F.col(tokens).alias("__g")), query_key, "left")
+    common = F.coalesce(F.max(lcs(F.col(tokens), F.col("__g"))), F.lit(0))
+    judged = pairs.groupBy(query_key, key).agg(common.alias("__c"), F.first(category).alias(category), F.min(rank).alias(rank), F.max(F.size(tokens)).alias("__n"))
+    chosen = hard_negatives(judged.where((F.col("__n") > 0) & (F.col("__c") < share * F.col("__n"))).drop("__c", "__n"), query_key, key, category, rank, quotas, total)
+    n = F.count("*").over(Window.partitionBy(query_key))
+    return chosen.withColumn("held", n < total)
+
+
+def draft_verdict(raw: Column, source: Column, question_ok, overlaps: Column, least_quote: int = 20) -> Column:
+    """(state, reason, question, quote) of a drafted question: JSON of two strings, a question that
+    `question_ok` accepts, a quote that stands in the source as it is, and no overlap with the
+    questions of the evaluation. Rejected drafts give neither question nor quote."""
+    d = F.from_json(raw, "question string, quote string", {"mode": "PERMISSIVE"})
+    plain = F.when(F.get_json_object(raw, "$").isNotNull(), F.array_sort(F.json_object_keys(raw)))
+    sound = F.coalesce((plain == F.array(F.lit("question"), F.lit("quote"))) & question_ok(d["question"]) & (F.length(F.trim(d["quote"])) >= least_quote) & F.contains(source, d["quote"]), F.lit(False))
+    reason = F.when(plain.isNull(), "INVALID_JSON").when(~sound, "QUESTION_OR_QUOTE").when(overlaps, "EVALUATION_OVERLAP")
+    shown = lambda x: F.when(reason.isNull(), x).otherwise("")
+    return F.struct(F.when(reason.isNull(), "NEEDS_REVIEW").otherwise("REJECTED").alias("state"), reason.alias("reason"), shown(d["question"]).alias("question"), shown(d["quote"]).alias("quote"))

@@ -81,3 +81,28 @@ def source_problem(status: Column, size: Column, digest: Column, body: Column) -
         .when(F.octet_length(body) != size, "SIZE_MISMATCH")
         .when(~digest.eqNullSafe(F.sha2(body, 256)), "HASH_MISMATCH")
     )
+
+
+def extraction_checks(frontier: DataFrame, crawl: DataFrame, extracted: DataFrame, official: DataFrame) -> DataFrame:
+    """(check, violations, fatal) of an extraction against what it was made from; a missing extraction
+    is a gap, everything else is fatal.
+
+    frontier(id, url, alias_count, snapshot), crawl(id, url, ok), extracted(id, url, text,
+    source_chars, snapshot), official(official_id, url): official links meet the frontier by url.
+    """
+    count = lambda df: df.agg(F.count("*").alias("violations"))
+    dup = lambda df, k: df.agg((F.count("*") - F.count_distinct(k)).alias("violations"))
+    fetched = crawl.where("ok").select("id", F.col("url").alias("c_url")).distinct()
+    bound = extracted.join(fetched, "id", "left")
+    mapped = official.groupBy("url").agg(F.count("*").alias("mapped"))
+    known = frontier.select("id", F.col("snapshot").alias("f_snapshot")).distinct()
+    checks = [
+        ("duplicate_extracted", dup(extracted, "id"), True),
+        ("invalid_extraction_binding", count(bound.where(~F.col("url").eqNullSafe(F.col("c_url")))), True),
+        ("missing_extraction", count(fetched.join(extracted.select("id").distinct(), "id", "left_anti")), False),
+        ("invalid_source_length", count(extracted.where(~F.col("source_chars").eqNullSafe(F.length("text")) | (F.length("text") == 0))), True),
+        ("unmapped_frontier_or_alias_mismatch", count(frontier.join(mapped, "url", "left").where(~F.col("alias_count").eqNullSafe(F.col("mapped")))), True),
+        ("duplicate_official_id", dup(official, "official_id"), True),
+        ("snapshot_binding_mismatch", count(extracted.join(known, "id").where(~F.col("snapshot").eqNullSafe(F.col("f_snapshot")))), True),
+    ]
+    return reduce(DataFrame.unionByName, [df.select(F.lit(n).alias("check"), "violations", F.lit(f).alias("fatal")) for n, df, f in checks])

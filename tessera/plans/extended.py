@@ -182,3 +182,57 @@ def checked_manifest_scan(spark, sf_dir):
     stated = spark.read.option("wholetext", True).text(f"{root}/manifest.json").select(F.from_json(F.get_json_object("value", "$.parts"), "map<string,string>").alias("p")).first()["p"]
     got = tables.read_checked(spark, f"{root}/data", stated)
     return got.agg(F.count("*").alias("rows"), F.sum(F.length("text")).alias("chars")).withColumn("parts", F.lit(len(stated)))
+
+
+EXTRACTION = """f AS (SELECT page_id AS id, split_part(url, '#', 1) AS url, CASE WHEN page_id % 31 = 5 THEN 7 ELSE count(*) OVER (PARTITION BY split_part(url, '#', 1)) END AS alias_count, 's1' AS snapshot FROM pages),
+    c AS (SELECT page_id AS id, split_part(url, '#', 1) AS url, page_id % 9 > 0 AS ok FROM pages),
+    x AS (SELECT page_id AS id, CASE WHEN page_id % 41 = 3 THEN 'other' ELSE split_part(url, '#', 1) END AS url, html AS text, length(html) + CASE WHEN page_id % 37 = 2 THEN 1 ELSE 0 END AS source_chars, CASE WHEN page_id % 43 = 1 THEN 's0' ELSE 's1' END AS snapshot FROM pages WHERE page_id % 9 > 0 AND page_id % 11 > 0 UNION ALL SELECT page_id, split_part(url, '#', 1), html, length(html), 's1' FROM pages WHERE page_id % 53 = 1 AND page_id % 9 > 0 AND page_id % 11 > 0),
+    o AS (SELECT page_id // CASE WHEN page_id % 29 = 1 THEN 2 ELSE 1 END AS official_id, split_part(url, '#', 1) AS url FROM pages)"""
+
+
+@query(f"""WITH {EXTRACTION}, m AS (SELECT url, count(*) AS mapped FROM o GROUP BY 1), v("check", violations, fatal) AS (
+    SELECT 'duplicate_extracted', (SELECT count(*) - count(DISTINCT id) FROM x), true
+    UNION ALL SELECT 'invalid_extraction_binding', (SELECT count(*) FROM x LEFT JOIN (SELECT * FROM c WHERE ok) k USING (id) WHERE x.url IS DISTINCT FROM k.url), true
+    UNION ALL SELECT 'missing_extraction', (SELECT count(*) FROM c WHERE ok AND id NOT IN (SELECT id FROM x)), false
+    UNION ALL SELECT 'invalid_source_length', (SELECT count(*) FROM x WHERE source_chars IS DISTINCT FROM length(text) OR length(text) = 0), true
+    UNION ALL SELECT 'unmapped_frontier_or_alias_mismatch', (SELECT count(*) FROM f LEFT JOIN m USING (url) WHERE alias_count IS DISTINCT FROM mapped), true
+    UNION ALL SELECT 'duplicate_official_id', (SELECT count(*) - count(DISTINCT official_id) FROM o), true
+    UNION ALL SELECT 'snapshot_binding_mismatch', (SELECT count(*) FROM x JOIN f USING (id) WHERE x.snapshot <> f.snapshot), true) SELECT * FROM v""")
+def extraction_binding_audit(spark, sf_dir):
+    """Frontier, crawl, extraction and official links derived from pages, with faults sown."""
+    from tessera.operators.intake import extraction_checks
+
+    p = read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.split_part("url", F.lit("#"), F.lit(1)).alias("url"), F.col("html").alias("text"))
+    aliases = p.groupBy("url").agg(F.count("*").alias("n"))
+    frontier = p.join(aliases, "url").select("id", "url", F.when(F.expr("id % 31 = 5"), 7).otherwise(F.col("n")).alias("alias_count"), F.lit("s1").alias("snapshot"))
+    crawl = p.select("id", "url", F.expr("id % 9 > 0").alias("ok"))
+    made = p.where("id % 9 > 0 AND id % 11 > 0").select("id", F.when(F.expr("id % 41 = 3"), "other").otherwise(F.col("url")).alias("url"), "text", (F.length("text") + F.expr("int(id % 37 = 2)")).alias("source_chars"), F.when(F.expr("id % 43 = 1"), "s0").otherwise("s1").alias("snapshot"))
+    again = p.where("id % 9 > 0 AND id % 11 > 0 AND id % 53 = 1").select("id", "url", "text", F.length("text").alias("source_chars"), F.lit("s1").alias("snapshot"))
+    official = p.select(F.expr("id div if(id % 29 = 1, 2, 1)").alias("official_id"), "url")
+    return extraction_checks(frontier, crawl, made.unionByName(again), official)
+
+
+@query()
+def mined_negatives(spark, sf_dir):
+    """Negatives of every benchmark item among its best passages, the first two being gold."""
+    from tessera.operators import evaluation as E
+    from tessera.plans.retrieval import _candidates
+
+    c = _candidates(spark, sf_dir).where("rank <= 40").withColumn("category", F.concat(F.lit("c"), (F.col("rank") % 3).cast("string")))
+    return E.mined_negatives(c, c.where("rank <= 2"), "item_id", "child", "category", "rank", "tokens", {"c0": 3, "c1": 2, "c2": 2}, 7)
+
+
+DRAFTS = "d AS (SELECT doc_id, text, CASE doc_id % 4 WHEN 0 THEN to_json({'question': 'Which words open document ' || doc_id || '?', 'quote': substr(text, 1, 30)}) WHEN 1 THEN 'no json' WHEN 2 THEN to_json({'question': 'Which words open it?', 'quote': 'these words are in no document'}) ELSE to_json({'question': 'Why?', 'quote': substr(text, 1, 30)}) END AS raw FROM documents)"
+
+
+@query(f"""WITH {DRAFTS}, v AS (SELECT doc_id, CASE WHEN doc_id % 4 = 1 THEN 'INVALID_JSON' WHEN doc_id % 4 > 1 OR length(trim(substr(text, 1, 30))) < 20 THEN 'QUESTION_OR_QUOTE' WHEN doc_id % 12 = 0 THEN 'EVALUATION_OVERLAP' END AS reason, raw FROM d)
+    SELECT doc_id, CASE WHEN reason IS NULL THEN 'NEEDS_REVIEW' ELSE 'REJECTED' END AS state, reason, CASE WHEN reason IS NULL THEN 'Which words open document ' || doc_id || '?' ELSE '' END AS question FROM v""")
+def draft_checks(spark, sf_dir):
+    """A draft for every document: sound, no JSON, a quote that is not there, a question too short."""
+    from tessera.operators import evaluation as E
+
+    made = lambda q, t: F.to_json(F.struct(q.alias("question"), t.alias("quote")))
+    head = F.substring("text", 1, 30)
+    raw = F.when(F.expr("doc_id % 4 = 0"), made(F.concat(F.lit("Which words open document "), F.col("doc_id").cast("string"), F.lit("?")), head)).when(F.expr("doc_id % 4 = 1"), F.lit("no json")).when(F.expr("doc_id % 4 = 2"), made(F.lit("Which words open it?"), F.lit("these words are in no document"))).otherwise(made(F.lit("Why?"), head))
+    verdict = E.draft_verdict(raw, F.col("text"), lambda q: F.length(F.trim(q)).between(15, 600), F.expr("doc_id % 12 = 0"))
+    return read(spark, sf_dir, "documents").select("doc_id", verdict.alias("v")).select("doc_id", "v.state", "v.reason", "v.question")

@@ -126,3 +126,14 @@ def test_expansions_of_each_kind(spark, sf_dir):
     rows = registry.queries()["expansion_checks"](spark, sf_dir).collect()
     kinds = {k: {r.problems for r in rows if r.item_id % 4 == k} for k in range(4)}
     assert kinds[0] == {""} and all("" not in kinds[k] for k in (1, 2, 3))
+
+
+def test_mined_negatives_are_no_positives_and_short_queries_are_held(spark):
+    from tessera.operators import evaluation
+
+    gold = [(1, "a b c d e".split()), (2, ["x"])]
+    rows = [(1, "near", "c0", 1, "a b c d z".split()), (1, "far", "c0", 2, "q w e r t".split()), (1, "other", "c1", 3, "a q w e r".split()), (1, "empty", "c1", 4, []), (2, "y", "c0", 1, ["y"]), (3, "n", "c0", 1, ["n"]), (3, "m", "c1", 2, ["m"])]
+    c = spark.createDataFrame(rows, "q long, k string, cat string, rank int, w array<string>")
+    g = spark.createDataFrame(gold, "q long, w array<string>")
+    got = {(r.q, r.k): r.held for r in evaluation.mined_negatives(c, g, "q", "k", "cat", "rank", "w", {"c0": 1, "c1": 1}, 2).collect()}
+    assert got == {(1, "far"): False, (1, "other"): False, (2, "y"): True, (3, "n"): False, (3, "m"): False}
