@@ -330,8 +330,13 @@ def slow_cotraining(text, meta, y):
             target = np.array([*(y[i] for i in train), *(extra[i] for i in sorted(extra))])
             share = min(0.95, max(0.05, target.mean()))
             weight = [(0.5 / share if t else 0.5 / (1 - share)) * (1 if k < len(train) else 0.3) for k, t in enumerate(target)]
+            if step == cotraining.ROUNDS:
+                v = 1 - len(models)
+                seen = 1 / (1 + np.exp(-(last[0][v](train) * last[1][v][0] + last[1][v][1])))
+                weight[: len(train)] = [w * (p if y[i] == 0 else 1) for w, p, i in zip(weight, seen, train)]
             models.append(fit(x, at, target, weight))
             scales.append(cotraining._calibrate(models[-1](calibration)[:, None], y[calibration]))
+        last = models, scales
         if step == cotraining.ROUNDS:
             break
         told = []
