@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import blocks, bpe, cotraining, interpolation, languages, rotation, simhash, sstable, templates, warc
+from tessera.llm import blocks, bpe, cotraining, interpolation, languages, repair, rotation, simhash, sstable, templates, url_trees, warc, whitening
 from tessera.session import ship_package
 
 
@@ -67,6 +67,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.score(docs, cotraining.fit(docs, labels))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_trees.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_main_text": op2_main_text,
@@ -78,6 +90,9 @@ QUERIES = {
     "op8_languages": op8_languages,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
+    "op11_conversations": op11_conversations,
+    "op12_whitening": op12_whitening,
+    "op13_url_filters": op13_url_filters,
     "pipeline": corpus_pipeline.run,
 }
 
