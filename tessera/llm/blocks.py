@@ -9,7 +9,9 @@ pages of many layouts, the same for the same seed.
 Character references are decoded, white space in a block becomes one space, blocks of the article
 are joined by one line feed in page order. Defined results: a null or empty page, and one without
 text, give the empty string; unclosed and stray tags, cut-off pages and very long ones are read as
-far as they go; repeated rows are extracted each; nothing is dropped by length.
+far as they go, in time that grows with their length; a quote in a tag that nothing closes is an
+ordinary character; a block whose logit is zero is not article; repeated rows are extracted each;
+nothing is dropped by length.
 """
 
 from __future__ import annotations
@@ -33,14 +35,11 @@ HIDDEN = ("script", "style", "noscript", "template", "svg", "math", "textarea",
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Fixed by HTML: what an opening tag closes if it is open.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
-    r"|<(" + "|".join(HIDDEN) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</\1\s*>|\Z)|\Z)"
-    r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
-    re.S | re.I,
-)
+_OPEN = re.compile(r"<!--|<[!?]|<(" + "|".join(HIDDEN) + r")\b|<(/?)([a-z][^\s/>]*+)", re.I)
+_STOP = re.compile(r"[>\"']")
+_ENDS = {t: re.compile(rf"</{t}\s*+>", re.I) for t in HIDDEN}
+_LONG_REFERENCE = re.compile(r"&#(?:([0-9]{9,})|[xX]([0-9a-fA-F]{9,}));?")
 _HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HREF = re.compile(r"\bhref\s*=", re.I)
 _PARTS = re.compile(r"[a-z]+")
 
 PATH, WORDS, SHAPE, HIDDEN_UNITS = 448, 512, 10, 24
@@ -59,46 +58,127 @@ class Block:
         self.path, self.text, self.linked, self.tag = path, text, linked, tag
 
 
+def _long_reference(m: re.Match) -> str:
+    """A reference of so many digits that it is out of range, but for leading zeros."""
+    digits = (m[1] or m[2]).lstrip("0")
+    return "\ufffd" if len(digits) > 8 else f"&#{'x' if m[2] else ''}{digits or '0'};"
+
+
+def decoded(text: str) -> str:
+    """Character references decoded, white space made single spaces, trimmed."""
+    return " ".join(entities.unescape(_LONG_REFERENCE.sub(_long_reference, text)).split())
+
+
+def tags(page: str):
+    """Yield (start, end, name, closing, attributes) of every tag, comment and hidden element in order; the
+    name is None where nothing but the extent counts. Each character is looked at a bounded number of
+    times: what is found is never read again, and a quote that does not recur is remembered."""
+    at, lone = 0, set()
+    while m := _OPEN.search(page, at):
+        i = m.end()
+        if m[1] is None and m[3] is None:
+            to = page.find("-->", i) if m[0] == "<!--" else page.find(">", i)
+            at = len(page) if to < 0 else to + (3 if m[0] == "<!--" else 1)
+            yield m.start(), at, None, False, ""
+            continue
+        inside = i
+        while stop := _STOP.search(page, i):
+            if stop[0] == ">":
+                break
+            i = stop.end()
+            if stop[0] not in lone:
+                to = page.find(stop[0], i)
+                if to < 0:
+                    lone.add(stop[0])  # an unclosed quote is an ordinary character
+                else:
+                    i = to + 1
+        until, at = (stop.start(), stop.end()) if stop else (len(page), len(page))
+        if m[1] is None:
+            yield m.start(), at, m[3].lower(), bool(m[2]), page[inside:until]
+        else:
+            end = _ENDS[m[1].lower()].search(page, at) if m[1].lower() in _ENDS else None
+            at = end.end() if end else len(page)
+            yield m.start(), at, None, False, ""
+
+
+class _Open:
+    """The open elements. All it is asked costs the same at any depth: the innermost block element, the
+    innermost element of a name, and the features of all that is open, kept as counts."""
+
+    def __init__(self):
+        self.stack, self.blocks, self.places, self.counts, self.links, self.path = [], [], {}, {}, 0, None
+
+    def push(self, tag: str, features: tuple[int, ...]) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, features))
+        self.links += tag == "a"
+        for f in features:
+            self.counts[f] = self.counts.get(f, 0) + 1
+        self.path = None
+
+    def close(self, to: int) -> None:
+        while len(self.stack) > to:
+            tag, features = self.stack.pop()
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+            self.links -= tag == "a"
+            for f in features:
+                self.counts[f] -= 1
+                if not self.counts[f]:
+                    del self.counts[f]
+        self.path = None
+
+    def block(self) -> str | None:
+        return self.stack[self.blocks[-1]][0] if self.blocks else None
+
+    def closing(self, tag: str) -> None:
+        """What an end tag closes: the innermost element of its name, for an inline one within its block."""
+        place = self.places.get(tag)
+        if place and (tag in BLOCK or not self.blocks or place[-1] > self.blocks[-1]):
+            self.close(place[-1])
+
+    def features(self) -> tuple[int, ...]:
+        if self.path is None:
+            self.path = tuple(self.counts)
+        return self.path
+
+
 def leaf_blocks(page: str | None) -> list[Block]:
-    """The blocks of a page in order: features of the tag path, text, characters inside links."""
+    """The blocks of a page in order: features of the tag path, text, characters inside links. Work
+    grows with the length of the page whatever its markup."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[int, ...]]] = []
+    opened = _Open()
     raw: list[str] = []
-    state = {"links": 0, "linked": 0}
+    linked = 0
     memo: dict[str, tuple[int, ...]] = {}
 
     def end_block() -> None:
+        nonlocal linked
         if raw:
-            text = " ".join(entities.unescape("".join(raw)).split())
+            text = decoded("".join(raw))
             if text:
-                path = set()
-                for _, features in stack:
-                    path.update(features)
-                out.append(Block(path, text, min(1.0, state["linked"] / len(text)), next((t for t, _ in reversed(stack) if t in BLOCK), "body")))
+                out.append(Block(opened.features(), text, min(1.0, linked / len(text)), opened.block() or "body"))
             raw.clear()
-        state["linked"] = 0
+        linked = 0
 
     def add(text: str) -> None:
+        nonlocal linked
         raw.append(text)
-        if state["links"]:
-            state["linked"] += len(text)
-
-    def close(to: int) -> None:
-        for t, _ in stack[to:]:
-            if t == "a":
-                state["links"] = max(0, state["links"] - 1)
-        del stack[to:]
+        if opened.links:
+            linked += len(text)
 
     page = page or ""
     at = 0
-    for m in _TAG.finditer(page):
-        if m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        if m[3] is None:
+    for start, end, tag, closing, attributes in tags(page):
+        if start > at:
+            add(page[at:start])
+        at = end
+        if tag is None:
             continue
-        tag, closing = m[3].lower(), bool(m[2])
-        if tag in ("head",) and not closing:
+        if tag == "head" and not closing:
             end_block()
             continue
         if tag == "br":
@@ -108,31 +188,18 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if block:
             end_block()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-                if not block and stack[i][0] in BLOCK:
-                    break
+            opened.closing(tag)
         elif tag not in VOID:
-            if block:
-                shut = CLOSES.get(tag, ())
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "p" or stack[i][0] in shut:
-                        close(i)
-                        break
-                    if stack[i][0] in BLOCK and stack[i][0] != "p":
-                        break
-            key = tag + m[4]
+            if block and (opened.block() == "p" or opened.block() in CLOSES.get(tag, ())):
+                opened.close(opened.blocks[-1])
+            key = tag + attributes
             features = memo.get(key)
             if features is None:
                 names = {"<" + tag}
-                for a, b, c in _HINTS.findall(m[4]):
+                for a, b, c in _HINTS.findall(attributes):
                     names |= {"." + x for x in _PARTS.findall((a or b or c).lower())}
                 features = memo[key] = tuple(_hash(x, PATH) for x in names)
-            stack.append((tag, features))
-            if tag == "a":
-                state["links"] += 1
+            opened.push(tag, features)
     rest = page[at:]
     if rest and not re.match(r"<[a-zA-Z/!?]", rest):
         add(rest)

@@ -1,13 +1,13 @@
 """Language identification by multilingual mixture inference.
 
-Each language is a distribution over hashed character trigrams of lower-cased letters, with one
-space between words, learnt from labelled documents and smoothed. A document is a mixture: its
+Each language is a distribution over hashed character trigrams of lower-cased letters and marks, with
+one space between words, learnt from labelled documents and smoothed. A document is a mixture: its
 trigrams are drawn from its languages in unknown proportions, which expectation-maximisation finds.
 The set of languages is chosen by penalised likelihood: the likeliest 1, 2, 3 ... languages are
 fitted, and each further one must raise the log likelihood by more than `penalty` * log(trigrams).
 lang_pred is the language of the largest proportion in the chosen set, score that proportion.
 
-Defined results: a text that is null or without letters gives `und` with score 0 and no languages;
+Defined results: a text that is null or without letters (category L, of any plane; marks are none) gives `und` with score 0 and no languages;
 documents of any length are read whole; ties go to the language first in order; repeated rows are
 predicted each. If nothing is labelled every document is `und`.
 """
@@ -38,34 +38,38 @@ LEAST = 0.5
 SLICE = 1_500_000
 
 
-def _letters_of(batch_text: str) -> np.ndarray:
-    """Code points, lower-cased, with everything but letters and marks made a space."""
+def _letters_of(batch_text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Code points, lower-cased, with everything but letters and marks made a space; which are letters."""
     points = np.frombuffer(batch_text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return _TABLE[np.minimum(points, len(_TABLE) - 1)]
+    return _TABLE[points], _LETTER[points]
 
 
-def _table() -> np.ndarray:
-    n = 0x30000
-    out = np.full(n + 1, 32, np.uint32)
-    for i in range(n):
-        c = chr(i)
-        if unicodedata.category(c)[0] in "LM":
-            low = c.lower()
-            out[i] = ord(low) if len(low) == 1 else i
-    return out
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Of all code points; those above plane 3, but for some marks and tags of plane 14, are
+    unassigned or private."""
+    out, letter = np.full(0x110000, 32, np.uint32), np.zeros(0x110000, bool)
+    for part in (range(0x40000), range(0xE0000, 0xE1000)):
+        for i in part:
+            c = chr(i)
+            kind = unicodedata.category(c)[0]
+            if kind in "LM":
+                low = c.lower()
+                out[i] = ord(low) if len(low) == 1 else i
+                letter[i] = kind == "L"
+    return out, letter
 
 
-_TABLE = _table()
+_TABLE, _LETTER = _tables()
 
 
 def trigrams(texts: pa.Array, features: int = FEATURES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, feature, count) of the distinct trigrams of each text, and letters in each text."""
     lengths = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     text = pc.binary_join(pa.scalar(pc.fill_null(texts, "").to_pylist(), pa.list_(pa.string())), "").as_py() if len(texts) else ""
-    c = _letters_of(text)
+    c, counted = _letters_of(text)
     doc = np.repeat(np.arange(len(texts)), lengths)
     letter = c != 32
-    letters = np.bincount(doc[letter], minlength=len(texts))
+    letters = np.bincount(doc[counted], minlength=len(texts))
     keep = letter.copy()
     if len(keep):
         keep[1:] |= letter[:-1] & (doc[1:] == doc[:-1])  # one space after each word

@@ -19,7 +19,8 @@ syevd, which numpy calls). One step of Ogita and Aishima's refinement (Japan J.
 Defined results: rows whose vector is null or empty, holds null or non-finite entries, or entries
 beyond 2**46 are left out; so are rows whose length is not the commonest one of the distinct vectors
 (the smaller on a tie). Repeated rows each get their own result; a missing key stays null.
-Directions without variance are no components, so one distinct vector gives no rows. `deviation` is
+Directions whose variance is below rounding, d x 2**-52 of the greatest, are no components, so one
+distinct vector gives no rows. `deviation` is
 null where it exceeds a long. Extra columns are not read.
 """
 
@@ -156,7 +157,8 @@ def components(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarra
     gap = value[None, :] - value[:, None]
     far = np.abs(gap) > near
     v = v + v @ np.where(far, (turned + value[None, :] * off) / np.where(far, gap, 1), off / 2)
-    v = v / np.sqrt((v * v).sum(axis=0))
+    for _ in range(2):  # unit and orthogonal again, to the last digit
+        v = v @ (3 * np.eye(len(v)) - v.T @ v) / 2
     value = ((v * (scaled @ v)).sum(axis=0) * size).astype(np.float64)
     order = np.argsort(-value, kind="stable")
     v = v[:, order].astype(np.float64)
