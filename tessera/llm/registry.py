@@ -126,6 +126,66 @@ ORACLES: dict[str, str] = {
                CASE WHEN w.chosen <> p.page_id THEN w.chosen END AS refers_to
         FROM p LEFT JOIN w ON p.payload_digest = w.payload_digest AND p.payload_bytes = w.payload_bytes
     """,
+    "op11_conversations": r"""
+        WITH RECURSIVE bits(i, v, k) AS (
+            SELECT range, range::UBIGINT, 0 FROM range(256)
+            UNION ALL
+            SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8
+        ), crc AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+        keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::UBIGINT) AS bytes
+            FROM conversations
+        ), hashed AS (
+            SELECT conv_id, turn, role, text,
+                   xor(list_reduce(list_concat([4294967295::UBIGINT], bytes), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255)::INTEGER + 1])), 4294967295::UBIGINT) % 20 AS harm
+            FROM keyed, crc
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+                   CASE WHEN harm = 1 THEN '' WHEN harm = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+            FROM hashed, (VALUES (1), (2)) c(copy) WHERE harm <> 0 AND (copy = 1 OR harm = 3)
+        ), marked AS (
+            SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS content, left(role, 1) AS initial,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos
+            FROM damaged
+        ), turns AS (
+            SELECT *, CASE WHEN content = '' THEN 'blank' WHEN seen THEN 'duplicate' WHEN right(content, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                   lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair
+            FROM marked
+        ), ids AS (SELECT row_number() OVER () AS c, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
+        numbered AS (SELECT ids.c, t.pos, t.role, t.text, t.initial, t.fault FROM turns t JOIN ids ON t.conv_id IS NOT DISTINCT FROM ids.conv_id),
+        inserted(q, r, price, letters, more) AS (
+            VALUES (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []), (0, 2, 5, 'I', ['user:']), (0, 3, 10, 'II', ['user:', 'assistant:']),
+                   (1, 2, 5, 'I', ['user:']), (1, 3, 10, 'II', ['user:', 'assistant:']), (2, 3, 5, 'I', ['assistant:']), (3, 2, 5, 'I', ['user:'])
+        ), edits(q, r, letter, initial, price) AS (
+            VALUES (0, 1, 'K', 's', 0), (0, 2, 'K', 'u', 0), (1, 2, 'K', 'u', 0), (3, 2, 'K', 'u', 0), (2, 3, 'K', 'a', 0),
+                   (0, 2, 'R', NULL, 1), (1, 2, 'R', NULL, 1), (3, 2, 'R', NULL, 1), (2, 3, 'R', NULL, 1), (0, 0, 'D', NULL, 2), (1, 1, 'D', NULL, 2), (2, 2, 'D', NULL, 2), (3, 3, 'D', NULL, 2)
+        ), paths(c, pos, q, cost, audit, parts) AS (
+            SELECT c, 0::BIGINT, 0, 0, '', []::VARCHAR[] FROM ids
+            UNION ALL
+            SELECT * FROM (
+                SELECT p.c, n.pos, e.r, p.cost + i.price + e.price + CASE WHEN n.fault = 'truncated' AND e.letter <> 'D' THEN 5 ELSE 0 END AS total,
+                       p.audit || i.letters || e.letter AS trail,
+                       list_concat(p.parts, i.more, CASE e.letter WHEN 'D' THEN [] WHEN 'K' THEN [n.role || ':' || n.text] ELSE [CASE e.r WHEN 2 THEN 'user:' ELSE 'assistant:' END || n.text] END)
+                FROM paths p JOIN numbered n ON n.c = p.c AND n.pos = p.pos + 1
+                JOIN inserted i ON i.q = p.q JOIN edits e ON e.q = i.r AND (e.initial IS NULL OR e.initial = n.initial) AND (e.letter = 'D' OR n.fault NOT IN ('blank', 'duplicate'))
+                QUALIFY row_number() OVER (PARTITION BY p.c, e.r ORDER BY total, trail) = 1
+            )
+        ), last AS (SELECT ids.c, ids.conv_id, count(n.pos) AS rows FROM ids LEFT JOIN numbered n ON n.c = ids.c GROUP BY ALL),
+        done AS (
+            SELECT l.conv_id, p.cost + i.price AS total, p.audit || i.letters AS trail, array_to_string(list_concat(p.parts, i.more), chr(10)) AS repaired
+            FROM last l JOIN paths p ON p.c = l.c AND p.pos = l.rows JOIN inserted i ON i.q = p.q WHERE i.r IN (0, 3)
+            QUALIFY row_number() OVER (PARTITION BY l.c ORDER BY total, trail) = 1
+        ), counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM turns GROUP BY conv_id
+        )
+        SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, total::BIGINT AS cost, trail AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+        FROM done d LEFT JOIN counts k ON d.conv_id IS NOT DISTINCT FROM k.conv_id
+    """,
 }
 
 

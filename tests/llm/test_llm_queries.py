@@ -9,7 +9,7 @@ from tessera.llm import registry
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_equals_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("embeddings", "pages", "documents"):
+    for t in ("embeddings", "pages", "documents", "conversations"):
         con.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     df = registry.queries()[name](spark, sf_dir)
     rel = con.sql(registry.oracle_sql()[name])
