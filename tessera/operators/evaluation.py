@@ -112,14 +112,6 @@ def split_groups(grouped: DataFrame, key: str, group: str, seed: int, shares: di
     return grouped.select(key, group, split.otherwise(names[-1]).alias("split"))
 
 
-def independent(left: Column, right: Column, most: float = 0.9, least_words: int = 5) -> Column:
-    """Whether two texts' word arrays differ, and as sets overlap less than `most`; the overlap is
-    judged only if both have least_words."""
-    overlap = F.size(F.array_intersect(left, right)) / F.greatest(F.lit(1), F.size(F.array_union(left, right)))
-    long = (F.size(left) >= least_words) & (F.size(right) >= least_words)
-    return (F.concat_ws(" ", left) != F.concat_ws(" ", right)) & ~(long & (overlap >= most))
-
-
 def hard_negatives(candidates: DataFrame, query_key: str, key: str, category: str, rank: str, quotas: dict[str, int], total: int) -> DataFrame:
     """Up to a quota of each category by rank, then the next by rank, to `total` a query."""
     quota = F.create_map(*[x for c, n in quotas.items() for x in (F.lit(c), F.lit(n))])
@@ -129,12 +121,6 @@ def hard_negatives(candidates: DataFrame, query_key: str, key: str, category: st
     return first.withColumn("place", order).where(F.col("place") <= total).drop("__late")
 
 
-def round_robin(rows: DataFrame, by: str, order: list, n: int) -> DataFrame:
-    """The first of each group, then the second of each, to n in all."""
-    w = Window.partitionBy(by).orderBy(*order)
-    return rows.withColumn("ordinal", F.row_number().over(w)).where(F.col("ordinal") <= n).orderBy("ordinal", by, *order).limit(n)
-
-
 def mined_negatives(candidates: DataFrame, gold: DataFrame, query_key: str, key: str, category: str, rank: str, tokens: str, quotas: dict[str, int], total: int, share: float = 0.8) -> DataFrame:
     """hard_negatives of the candidates that are no positives, and whether the query has `total` of
     them or is held. A candidate is a positive if its longest common subsequence with a gold passage

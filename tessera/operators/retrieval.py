@@ -255,8 +255,9 @@ def select_passages(children: DataFrame, query_key: str, doc: str, parent: str,
     a near copy (LCS over union) of a passage before it in its document, per_doc of a document and
     `most` in all.
 
-    What a document yields hangs on that document alone, so each query and document is one small
-    group; documents and passages are then counted off by windows.
+    What a document yields hangs on that document alone, so rows meet by query and document and pass
+    in order, a document's passages held until the next; documents and passages are then counted off
+    by windows.
     """
     if documents is not None:
         first = Window.partitionBy(query_key, doc)
@@ -265,16 +266,24 @@ def select_passages(children: DataFrame, query_key: str, doc: str, parent: str,
     names = [query_key, doc, parent, order]
     schema = ", ".join(f"{c} {children.schema[c].dataType.simpleString()}" for c in names)
 
-    def distinct_passages(group: pa.Table) -> pa.Table:
-        group = group.sort_by([(order, "ascending"), (parent, "ascending")])
-        texts, parents, kept = group.column(tokens).to_pylist(), group.column(parent).to_pylist(), []
-        for i, p in enumerate(parents):
-            if len(kept) < per_doc and parents.index(p) == i and all(lcs_similarity(texts[j], texts[i]) < threshold for j in kept):
-                kept.append(i)
-        return group.select(names).take(pa.array(kept, pa.int64()))
+    def distinct_passages(batches):
+        """Rows come sorted by query, document, order and parent: one document's are held at a time."""
+        current, held, texts, out = None, [], [], []
+        for batch in batches:
+            for row, words in zip(zip(*[batch.column(c).to_pylist() for c in names], strict=True), batch.column(tokens).to_pylist(), strict=True):
+                if row[:2] != current:
+                    current, held, texts, seen = row[:2], 0, [], set()
+                if held < per_doc and row[2] not in seen and all(lcs_similarity(t, words) < threshold for t in texts):
+                    held += 1
+                    texts.append(words)
+                    out.append(row)
+                seen.add(row[2])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], batch.schema.field(c).type) for i, c in enumerate(names)], names=names)
+            out = []
 
     place = F.row_number().over(Window.partitionBy(query_key).orderBy(order, parent))
-    chosen = children.select(*names, tokens).groupBy(query_key, doc).applyInArrow(distinct_passages, schema)
+    dealt = children.select(*names, tokens).repartition(query_key, doc).sortWithinPartitions(query_key, doc, order, parent)
+    chosen = dealt.mapInArrow(distinct_passages, schema)
     return chosen.withColumn("place", place).where(F.col("place") <= most).select(query_key, doc, parent, "place")
 
 

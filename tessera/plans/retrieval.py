@@ -42,18 +42,10 @@ def bm25_sql(name: str, source: str, key: str, text: str, part: str = "") -> str
         FROM terms q JOIN {name}_t t ON q.term = t.term JOIN {name}_f f ON f.term = t.term{on_df} JOIN {name}_s s ON true{on} GROUP BY ALL)"""
 
 
-def terms_sql(n: int) -> str:
-    return f"terms AS (SELECT DISTINCT item_id, unnest({TOKENS.format('text')}) AS term FROM benchmark WHERE item_id < {n})"
-
-
-#: As terms_sql, of every benchmark item.
+#: The distinct terms of every benchmark item.
 ALL_TERMS = f"terms AS (SELECT DISTINCT item_id, unnest({TOKENS.format('text')}) AS term FROM benchmark)"
 
 
-def _queries(spark, sf_dir, n):
-    return read(spark, sf_dir, "benchmark").where(F.col("item_id") < n)
-
-
 def _words(c="text"):
     return T.words(F.col(c))
 
@@ -221,9 +213,11 @@ def lcs_similarity(spark, sf_dir):
 
 
 def _candidates(spark, sf_dir):
-    hits = R.ranked(R.bm25(read(spark, sf_dir, "benchmark"), "item_id", _words(), children(spark, sf_dir).withColumn("child", F.concat_ws(":", "doc_id", "chunk_order")), "child", _words()), "item_id", "child", 60)
-    kids = children(spark, sf_dir).select("doc_id", F.concat_ws(":", "doc_id", "chunk_order").alias("child"), "text")
-    return hits.join(kids, "child").withColumn("tokens", _words()).drop("text")
+    """The 60 best windows of each item; texts are read, and words cut, for these alone."""
+    kids = children(spark, sf_dir).select("doc_id", "chunk_order", "text", F.struct("doc_id", "chunk_order").alias("child"))
+    hits = R.ranked(R.bm25(read(spark, sf_dir, "benchmark"), "item_id", _words(), kids, "child", _words()), "item_id", "child", 60)
+    hits = hits.select("item_id", F.concat_ws(":", "child.doc_id", "child.chunk_order").alias("child"), "score", "rank", "child.doc_id", "child.chunk_order")
+    return hits.join(kids.drop("child"), ["doc_id", "chunk_order"]).withColumn("tokens", _words()).drop("text", "chunk_order")
 
 
 @query()
@@ -259,14 +253,6 @@ def group_splits(spark, sf_dir):
     return E.split_groups(E.duplicate_groups(d, "doc_id", ["text", "head"]), "doc_id", "group", 5, {"train": 0.8, "dev": 0.1, "held_out": 0.1})
 
 
-@query("WITH w AS (SELECT item_id, " + TOKENS.format("text") + " AS w FROM benchmark), p AS (SELECT a.item_id, a.w AS l, b.w AS r FROM w a JOIN w b ON b.item_id = (a.item_id // 2) * 2) SELECT item_id, array_to_string(l, ' ') <> array_to_string(r, ' ') AND NOT (len(l) >= 5 AND len(r) >= 5 AND len(list_intersect(l, r)) / greatest(1, len(list_distinct(list_concat(l, r)))) >= 0.9) AS independent FROM p")
-def query_independence(spark, sf_dir):
-    w = read(spark, sf_dir, "benchmark").select("item_id", _words().alias("l"))
-    other = w.select(F.col("item_id").alias("o"), F.col("l").alias("r"))
-    pairs = w.join(other, F.floor(F.col("item_id") / 2) * 2 == F.col("o"))
-    return pairs.select("item_id", E.independent(F.col("l"), F.col("r")).alias("independent"))
-
-
 @query(f"WITH {SEARCH}, c AS (SELECT query_id, vec_id, 'c' || vec_id % 5 AS category, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM hits), t AS (SELECT * FROM c WHERE rank <= 30), l AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY query_id, category ORDER BY rank, vec_id) > CASE category WHEN 'c0' THEN 2 WHEN 'c1' THEN 2 WHEN 'c2' THEN 1 ELSE 0 END THEN 1 ELSE 0 END AS late FROM t), p AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY late, rank, vec_id) AS place FROM l) SELECT query_id, vec_id, category, rank, place FROM p WHERE place <= 7")
 def hard_negative_mining(spark, sf_dir):
     top = R.exact_topk(_vector_queries(spark, sf_dir), read(spark, sf_dir, "embeddings"), 30).withColumn("category", F.concat(F.lit("c"), (F.col("vec_id") % 5).cast("string")))
