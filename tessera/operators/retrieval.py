@@ -103,12 +103,40 @@ def vector_problems(vectors: DataFrame, key: str, vector: str, dimension: int, t
     return row.unpivot([], [*checks, "duplicate_key"], "check", "violations")
 
 
+def whole_vectors(vector: str, dimension: int) -> Column:
+    """Whether a vector is there, has that length, and is finite in every component."""
+    v = F.col(vector)
+    return F.coalesce((F.size(v) == dimension) & F.forall(v, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))), F.lit(False))
+
+
+def matrix(column) -> np.ndarray:
+    """An Arrow column of lists of one length as rows of doubles, without an object for a number."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def _best(scores: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k best of each row, in order of columns; of equal scores at the edge the first."""
+    if scores.shape[1] <= k:
+        return np.broadcast_to(np.arange(scores.shape[1]), scores.shape)
+    edge = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+    above, equal = scores > edge, scores == edge
+    room = k - above.sum(axis=1, keepdims=True)
+    return np.nonzero(above | (equal & (np.cumsum(equal, axis=1) <= room)))[1].reshape(len(scores), k)
+
+
+#: Queries and vectors whose scores are held at once.
+TILE = (512, 4096)
+
+
 def exact_topk(queries: DataFrame, vectors: DataFrame, k: int, query_key: str = "query_id", key: str = "vec_id", vector: str = "embedding", most: int = 20_000, digits: int = 6, turn: int = 0) -> DataFrame:
     """(query_key, key, score, rank) by inner product, over all vectors.
 
     Up to `most` queries, a checked bound, are sent to every task, which multiplies them with its
-    vectors batch by batch and keeps its own k best; only those are shuffled. More queries are
-    taken in turns of `most`, each a pass over the vectors.
+    vectors tile by tile and keeps its own k best; only those are shuffled. A task holds the queries, k
+    results of each and one tile of scores. More queries are taken in turns of `most`, each a pass over
+    the vectors. Null vectors, vectors of another length than the first query's and such with null or
+    non-finite components are in no result, and a query of that kind has none.
     """
     rows = queries.select(query_key, vector).orderBy(query_key)
     total = rows.count()
@@ -116,32 +144,41 @@ def exact_topk(queries: DataFrame, vectors: DataFrame, k: int, query_key: str =
         n = -(-total // most) * 2
         parts = [rows.where(F.pmod(F.xxhash64(query_key, F.lit(turn)), F.lit(n)) == i) for i in range(n)]
         return reduce(DataFrame.unionByName, [exact_topk(p, vectors, k, query_key, key, vector, most, digits, turn + 1) for p in parts])
-    got = rows.toArrow()
+    first = rows.where(F.size(vector) > 0).select(F.size(vector)).first()
+    dimension = first[0] if first else 0
+    got = rows.where(whole_vectors(vector, dimension)).toArrow()
     ids = got.column(query_key).to_pylist()
-    matrix = np.array(got.column(vector).to_pylist(), np.float64).reshape(len(ids), -1) if ids else np.zeros((0, 1))
-    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix(got.column(vector)) if ids else np.zeros((0, 1))))
     qt, vt = (queries.schema[query_key].dataType.simpleString(), vectors.schema[key].dataType.simpleString())
 
     def run(batches):
         names, q = shared.value
-        best_s, best_k = np.full((len(names), 0), 0.0), np.full((len(names), 0), None, object)
+        best_s, best_k, kind = np.zeros((len(names), 0)), None, None
         for batch in batches:
             if not batch.num_rows or not len(names):
                 continue
-            m, keys = np.array(batch.column(1).to_pylist(), np.float64), np.array(batch.column(0).to_pylist(), object)
-            by_key = np.argsort(keys, kind="stable")  # so that a stable order by score leaves ties to the smaller key
-            s = np.round(q @ m[by_key].T, digits)
-            top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-            both_s, both_k = np.concatenate([best_s, np.take_along_axis(s, top, 1)], axis=1), np.concatenate([best_k, keys[by_key][top]], axis=1)
-            place = np.unique(both_k, return_inverse=True)[1].reshape(both_k.shape)  # keys of any type, by order
-            order = np.lexsort((place, -both_s), axis=1)[:, :k]
-            best_s, best_k = np.take_along_axis(both_s, order, 1), np.take_along_axis(both_k, order, 1)
+            kind = batch.schema.field(0).type
+            keys = np.array(batch.column(0).to_pylist())
+            by_key = np.argsort(keys, kind="stable")  # so that of equal scores the smaller key comes first
+            keys, m = keys[by_key], matrix(batch.column(1))[by_key]
+            best_k = np.zeros((len(names), 0), keys.dtype) if best_k is None else best_k
+            for at in range(0, len(m), TILE[1]):
+                part, part_keys = m[at : at + TILE[1]], keys[at : at + TILE[1]]
+                new_s, new_k = [], []
+                for i in range(0, len(q), TILE[0]):
+                    s = np.round(q[i : i + TILE[0]] @ part.T, digits)
+                    top = _best(s, k)
+                    new_s.append(np.take_along_axis(s, top, 1))
+                    new_k.append(part_keys[top])
+                both_s, both_k = np.concatenate([best_s, np.concatenate(new_s)], axis=1), np.concatenate([best_k, np.concatenate(new_k)], axis=1)
+                order = np.lexsort((both_k, -both_s), axis=1)[:, :k]
+                best_s, best_k = np.take_along_axis(both_s, order, 1), np.take_along_axis(both_k, order, 1)
         n = best_s.shape[1]
-        if not n:
-            return
-        yield pa.RecordBatch.from_pydict({query_key: [x for x in names for _ in range(n)], key: best_k.ravel().tolist(), "score": best_s.ravel()})
+        for i in range(0, len(names) if n else 0, TILE[1]):
+            part = best_s[i : i + TILE[1]]
+            yield pa.RecordBatch.from_pydict({query_key: [x for x in names[i : i + TILE[1]] for _ in range(n)], key: pa.array(best_k[i : i + TILE[1]].ravel().tolist(), kind), "score": part.ravel()})
 
-    local = vectors.select(key, vector).mapInArrow(run, f"{query_key} {qt}, {key} {vt}, score double")
+    local = vectors.where(whole_vectors(vector, dimension)).select(key, vector).mapInArrow(run, f"{query_key} {qt}, {key} {vt}, score double")
     return ranked(local, query_key, key, k, digits=digits)
 
 
@@ -156,33 +193,6 @@ def rescore(pairs: DataFrame, queries: DataFrame, vectors: DataFrame, query_key:
     return pairs.join(q, query_key).join(vectors.select(key, F.col(vector).alias("__v")), key).select(query_key, key, dot(F.col("__q"), F.col("__v")).alias("score"))
 
 
-def cells(vectors: DataFrame, centres: np.ndarray, vector: str = "embedding", probes: int = 1) -> DataFrame:
-    """The `probes` nearest centres of each vector by inner product, one row each."""
-    shared = vectors.sparkSession.sparkContext.broadcast(centres)
-
-    @F.pandas_udf("array<int>")
-    def nearest(v: pd.Series) -> pd.Series:
-        m = np.stack(v.to_numpy()).astype(np.float64)
-        return pd.Series(list(np.argsort(-(m @ shared.value.T), axis=1, kind="stable")[:, :probes].astype(np.int32)))
-
-    return vectors.withColumn("cell", F.explode(nearest(F.col(vector))))
-
-
-def trained_centres(vectors: DataFrame, key: str, vector: str, n: int, sample: int = 20_000, rounds: int = 8, seed: int = 3) -> np.ndarray:
-    """k-means centres of at most `sample` vectors, chosen by seeded hash of the key."""
-    total = vectors.count()
-    few = vectors if total <= sample else vectors.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) < int(1e6 * sample / total))
-    got = few.select(key, vector).orderBy(key).toArrow()
-    m = np.array(got.column(vector).to_pylist(), np.float64)
-    n = max(1, min(n, len(m) // 39 or 1))
-    c = m[np.random.default_rng(seed).choice(len(m), n, replace=False)]
-    for _ in range(rounds):
-        own = np.argmax(m @ c.T, axis=1)
-        c = np.stack([m[own == i].mean(axis=0) if (own == i).any() else c[i] for i in range(n)])
-        c /= np.linalg.norm(c, axis=1, keepdims=True)
-    return c
-
-
 def recall_against(exact: DataFrame, found: DataFrame, query_key: str, key: str) -> DataFrame:
     """Mean share of the exact results that were found."""
     both = exact.select(query_key, key).join(found.select(query_key, key).withColumn("hit", F.lit(1)), [query_key, key], "left")

@@ -1,4 +1,11 @@
-"""A stored inverted-file index with scalar quantisation, and its sampled recall gate."""
+"""A stored inverted-file index with a two-level quantiser and byte codes, and its sampled recall gate.
+
+Vectors go to cells, whose number grows with the square root of theirs, so that a cell and the list of
+cells both stay small. Cells are the means of a k-means whose rounds are Spark jobs over a sample that
+grows with the cells: tasks assign vectors and add them up by cell, and only the means come to the
+driver. Above the cells stands a second, coarse level, again the square root of them, so that finding
+the cells of a vector costs a fourth root's work instead of all.
+"""
 
 from __future__ import annotations
 
@@ -10,62 +17,165 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import retrieval
+from tessera.operators.retrieval import matrix, whole_vectors
 from tessera.session import materialise, ship_package
 
-#: Vectors that centres and value ranges are fitted on at most; all vectors are indexed.
-SAMPLE, SEED = 20_000, 3
+#: Sampled vectors for each cell, rounds of k-means, and coarse groups looked at besides those needed.
+PER_CELL, ROUNDS, SPARE, SEED = 64, 6, 8, 3
+
+
+class Centres:
+    """Cells in order of their coarse group; starts[g] is the first cell of group g."""
+
+    def __init__(self, cells: np.ndarray, seed: int = SEED):
+        n = max(1, math.isqrt(len(cells)))
+        coarse = cells[np.random.default_rng(seed).choice(len(cells), n, replace=False)]
+        for _ in range(ROUNDS):
+            own = np.argmax(cells @ coarse.T, axis=1)
+            coarse = np.stack([_unit(cells[own == g].mean(axis=0)) if (own == g).any() else coarse[g] for g in range(n)])
+        own = np.argmax(cells @ coarse.T, axis=1)
+        self.cells, self.coarse = cells[np.argsort(own, kind="stable")], coarse
+        self.starts = np.searchsorted(np.sort(own), np.arange(n + 1))
+
+    def __len__(self) -> int:
+        return len(self.cells)
+
+    def nearest(self, m: np.ndarray, probes: int) -> np.ndarray:
+        """About the `probes` nearest cells of each row by inner product: the nearest of the groups
+        whose coarse centres are nearest, enough groups to hold four times as many cells."""
+        probes = min(probes, len(self))
+        groups = min(len(self.coarse), SPARE + -(-4 * probes * len(self.coarse) // len(self)))
+        sizes = np.diff(self.starts)
+        chosen = np.argsort(-(m @ self.coarse.T), axis=1, kind="stable")
+        while (sizes[chosen[:, :groups]].sum(axis=1) < probes).any():
+            groups = min(len(self.coarse), 2 * groups)
+        chosen = chosen[:, :groups]
+        best_s, best = np.full((len(m), probes), -np.inf), np.zeros((len(m), probes), np.int32)
+        for g in np.unique(chosen):
+            a, b = self.starts[g], self.starts[g + 1]
+            rows = np.flatnonzero((chosen == g).any(axis=1))
+            if a == b:
+                continue
+            s = np.concatenate([best_s[rows], m[rows] @ self.cells[a:b].T], axis=1)
+            names = np.concatenate([best[rows], np.broadcast_to(np.arange(a, b, dtype=np.int32), (len(rows), b - a))], axis=1)
+            top = np.argpartition(-s, probes - 1, axis=1)[:, :probes] if s.shape[1] > probes else np.broadcast_to(np.arange(s.shape[1]), s.shape)
+            best_s[rows], best[rows] = np.take_along_axis(s, top, 1), np.take_along_axis(names, top, 1)
+        return np.take_along_axis(best, np.argsort(-best_s, axis=1, kind="stable"), 1)
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    n = np.linalg.norm(m, axis=-1, keepdims=True)
+    return m / np.where(n > 0, n, 1)
+
+
+def trained(vectors: DataFrame, key: str, vector: str, total: int, cells: int, rounds: int = ROUNDS, seed: int = SEED) -> Centres:
+    """k-means over PER_CELL vectors a cell, all if there are fewer, chosen by seeded hash of the key.
+    A round is one job: assignment and sums by cell in tasks, sums of the tasks merged by cell."""
+    few = vectors if total <= PER_CELL * cells else vectors.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 40)) < int((1 << 40) * (PER_CELL * cells / total)))
+    sample = materialise(few.select(F.xxhash64(F.col(key), F.lit(seed + 1)).alias("place"), F.col(vector).cast("array<double>").alias("v")), "sample")
+    first = sample.orderBy("place", "v").limit(cells).select("v").toArrow()
+    centres = Centres(_unit(matrix(first.column(0))), seed)
+    schema = "cell int, n long, v array<double>"
+
+    def added(ids: np.ndarray, counts: np.ndarray, sums: np.ndarray):
+        return pa.RecordBatch.from_pydict({"cell": pa.array(ids, pa.int32()), "n": pa.array(counts, pa.int64()), "v": pa.array(list(sums), pa.list_(pa.float64()))})
+
+    for _ in range(rounds):
+        shared = vectors.sparkSession.sparkContext.broadcast(centres)
+
+        def assign(batches, shared=shared):
+            c = shared.value
+            counts, sums = np.zeros(len(c), np.int64), np.zeros(c.cells.shape)
+            for b in batches:
+                m = matrix(b.column(0))
+                own = c.nearest(m, 1)[:, 0]
+                np.add.at(sums, own, m)
+                counts += np.bincount(own, minlength=len(c))
+            met = np.flatnonzero(counts)
+            for i in range(0, len(met), 4096):
+                yield added(met[i : i + 4096], counts[met[i : i + 4096]], sums[met[i : i + 4096]])
+
+        def merge(batches):
+            held = {}
+            for b in batches:
+                for cell, n, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), matrix(b.column(2)), strict=True):
+                    n0, v0 = held.get(cell, (0, 0.0))
+                    held[cell] = n0 + n, v0 + v
+            names = sorted(held)
+            for i in range(0, len(names), 4096):
+                part = names[i : i + 4096]
+                yield added(part, [held[x][0] for x in part], [held[x][1] for x in part])
+
+        means = sample.select("v").mapInArrow(assign, schema).repartition("cell").mapInArrow(merge, schema).toArrow()
+        new = centres.cells.copy()
+        if means.num_rows:
+            new[means.column("cell").to_numpy()] = _unit(matrix(means.column("v")) / means.column("n").to_numpy()[:, None])
+        centres = Centres(new, seed)
+    return centres
 
 
 class Index:
     """centres, per-dimension low and step of the codes, and the table (key, cell, code)."""
 
-    def __init__(self, table: DataFrame, centres: np.ndarray, low: np.ndarray, step: np.ndarray, key: str):
+    def __init__(self, table: DataFrame, centres: Centres, low: np.ndarray, step: np.ndarray, key: str):
         self.table, self.centres, self.low, self.step, self.key = table, centres, low, step, key
 
 
-def _matrix(column) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+def cells_of(n: int) -> int:
+    """How many cells n vectors get: four times their square root."""
+    return max(16, 4 * math.isqrt(n))
 
 
 def build(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cells: int | None = None) -> Index:
-    """Cells grow with the square root of the vectors, so that a cell and the centres both stay small;
-    there is at most one for 39 sampled vectors. Codes are bytes, with values beyond the sample's
-    range at its ends; they only choose candidates."""
+    """Codes are bytes over the range of each dimension; they only choose candidates. Null vectors, such
+    with null or non-finite components and such of a length that is not the commonest are not indexed."""
     spark = vectors.sparkSession
     ship_package(spark)
-    total = vectors.count()
-    few = vectors if total <= SAMPLE else vectors.where(F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1_000_000)) < int(1e6 * SAMPLE / total))
-    sample = _matrix(few.select(vector).toArrow().column(0)) if total else np.zeros((0, 1))
-    centres = retrieval.trained_centres(vectors, key, vector, cells or max(16, 4 * math.isqrt(total)), sample=SAMPLE, seed=SEED) if total else np.zeros((1, 1))
-    low = sample.min(axis=0) if total else np.zeros(1)
-    step = np.maximum((sample.max(axis=0) - low) / 255, 1e-12) if total else np.ones(1)
+    lengths = vectors.where(F.size(vector) > 0).groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()
+    d = lengths.d if lengths else 1
+    whole = vectors.where(whole_vectors(vector, d)).select(key, vector)
+    total = whole.count()
+    centres = trained(whole, key, vector, total, min(total, cells or cells_of(total))) if total else Centres(np.zeros((1, d)))
+    ranges = whole.select(F.posexplode(vector).alias("i", "x")).groupBy("i").agg(F.min("x").alias("low"), F.max("x").alias("high")).orderBy("i").collect()  # a row a dimension
+    low = np.array([float(r.low) for r in ranges]) if total else np.zeros(d)
+    step = np.maximum((np.array([float(r.high) for r in ranges]) - low) / 255, 1e-12) if total else np.ones(d)
+    shared = spark.sparkContext.broadcast(centres)
 
     def run(batches):
+        c = shared.value
         for b in batches:
-            m = _matrix(b.column(1))
-            cell = np.argmax(m @ centres.T, axis=1).astype(np.int32) if len(m) else np.zeros(0, np.int32)
+            m = matrix(b.column(1))
+            cell = c.nearest(m, 1)[:, 0] if len(m) else np.zeros(0, np.int32)
             code = np.clip(np.rint((m - low) / step), 0, 255).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cell), pa.array([r.tobytes() for r in code], pa.binary())], names=[key, "cell", "code"])
 
-    table = vectors.select(key, vector).mapInArrow(run, f"{key} {vectors.schema[key].dataType.simpleString()}, cell int, code binary")
+    table = whole.mapInArrow(run, f"{key} {vectors.schema[key].dataType.simpleString()}, cell int, code binary")
     return Index(materialise(table, "index"), centres, low, step, key)
 
 
 def candidates(index: Index, queries: DataFrame, k: int, probes: int, query_key: str = "query_id", vector: str = "embedding") -> DataFrame:
     """(query_key, key): the k best by codes of each query in each cell that it probes. A cell is
     taken in slices of bounded size, so a crowded one is many groups."""
-    key, low, step = index.key, index.low, index.step
+    key, low, step, spark = index.key, index.low, index.step, queries.sparkSession
     sizes = index.table.groupBy("cell").agg(F.ceil(F.count("*") / 65_536).cast("long").alias("parts"))
     dealt = index.table.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64(key), F.col("parts")))
-    asked = retrieval.cells(queries.select(query_key, vector), index.centres, vector, min(probes, len(index.centres)))
+    shared = spark.sparkContext.broadcast(index.centres)
+
+    def probe(batches):
+        for b in batches:
+            near = shared.value.nearest(matrix(b.column(1)), probes) if b.num_rows else np.zeros((0, 1), np.int32)
+            again = pa.array(np.repeat(np.arange(b.num_rows), near.shape[1]))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(again), b.column(1).take(again), pa.array(near.ravel(), pa.int32())], names=[query_key, vector, "cell"])
+
+    asked = queries.where(whole_vectors(vector, len(low))).select(query_key, F.col(vector).cast("array<double>").alias(vector))
+    asked = asked.mapInArrow(probe, f"{query_key} {queries.schema[query_key].dataType.simpleString()}, {vector} array<double>, cell int")
     asked = asked.join(sizes, "cell").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
 
     def run(q: pa.Table, v: pa.Table) -> pa.Table:
         if not q.num_rows or not v.num_rows:
             return pa.table({query_key: q.column(query_key).slice(0, 0), key: v.column(key).slice(0, 0)})
         m = np.frombuffer(b"".join(v.column("code").to_pylist()), np.uint8).reshape(v.num_rows, -1) * step + low
-        s = _matrix(q.column(vector)) @ m.T
+        s = matrix(q.column(vector)) @ m.T
         n = min(k, s.shape[1])
         best = np.argpartition(-s, n - 1, axis=1)[:, :n]
         return pa.table({query_key: q.column(query_key).take(pa.array(np.repeat(np.arange(len(s)), n))), key: v.column(key).take(pa.array(best.ravel()))})
@@ -74,18 +184,33 @@ def candidates(index: Index, queries: DataFrame, k: int, probes: int, query_key:
     return asked.groupBy("cell", "part").cogroup(dealt.select(key, "cell", "part", "code").groupBy("cell", "part")).applyInArrow(run, kinds)
 
 
+def full_candidates(index: Index, queries: DataFrame, k: int, probes: int, query_key: str = "query_id", vector: str = "embedding") -> DataFrame:
+    """Candidates of every query, at least k of each that has so many: probes are doubled for the queries
+    that fell short, and for those alone, until they have k or have seen all cells."""
+    pending, found = queries, None
+    while True:
+        got = materialise(candidates(index, pending, 4 * k, probes, query_key, vector).distinct(), "candidates")
+        counts = got.groupBy(query_key).agg(F.count("*").alias("__n")).where(F.col("__n") >= k)
+        if probes >= len(index.centres):
+            return got if found is None else found.unionByName(got)
+        done = got.join(counts.select(query_key), query_key, "left_semi")
+        found = done if found is None else found.unionByName(done)
+        pending = materialise(pending.where(whole_vectors(vector, len(index.low))).join(counts.select(query_key), query_key, "left_anti"), "pending")
+        if pending.isEmpty():
+            return found
+        probes *= 2
+
+
 def search(index: Index, queries: DataFrame, vectors: DataFrame, k: int, probes: int, query_key: str = "query_id", vector: str = "embedding") -> DataFrame:
-    """The k best of each query among its candidates, four times as many, by exact inner product."""
-    found = candidates(index, queries, 4 * k, probes, query_key, vector)
+    """The k best of each query among its candidates, four times as many a cell, by exact inner product."""
+    found = full_candidates(index, queries, k, probes, query_key, vector)
     return retrieval.ranked(retrieval.rescore(found, queries, vectors, query_key, index.key, vector), query_key, index.key, k)
 
 
 def gated_search(index: Index, queries: DataFrame, vectors: DataFrame, k: int, probes: int = 4, least: float = 0.95, sample: int = 8, query_key: str = "query_id", vector: str = "embedding") -> tuple[DataFrame, float, int]:
-    """(hits, recall, probes): probes are doubled until the mean recall of `sample` queries, taken in
-    even steps, reaches `least` against exact search; if all cells do not reach it, an error."""
-    ids = [r[0] for r in queries.select(query_key).orderBy(query_key).collect()]  # a query set is sent to tasks anyway
-    chosen = [ids[i * len(ids) // sample] for i in range(sample)] if len(ids) > sample else ids
-    few = materialise(queries.where(F.col(query_key).isin(chosen)), "gate")
+    """(hits, recall, probes): probes are doubled until the mean recall of `sample` queries, the first by
+    hash, reaches `least` against exact search; if all cells do not reach it, an error."""
+    few = materialise(queries.orderBy(F.xxhash64(query_key), query_key).limit(sample), "gate")
     exact = materialise(retrieval.exact_topk(few, vectors, k, query_key, index.key, vector), "gate")
     while True:
         recall = retrieval.recall_against(exact, search(index, few, vectors, k, probes, query_key, vector), query_key, index.key).first()["recall"]

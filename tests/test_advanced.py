@@ -4,10 +4,11 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import lexical_index, passages, replay, retrieval, set_join, spans
+from tessera.operators import lexical_index, passages, replay, retrieval, set_join, spans, vector_index
 from tessera.session import new_folder
 
 
@@ -187,3 +188,66 @@ def test_passages_of_a_document_in_order(spark):
     df = spark.createDataFrame(rows, "q long, doc long, parent string, ord int, tokens array<string>")
     got = {(r.q, r.place): (r.doc, r.parent) for r in retrieval.select_passages(df, "q", "doc", "parent", "tokens", "ord", 2, 8).collect()}
     assert got == {(1, 1): (1, "a"), (1, 2): (1, "c"), (1, 3): (2, "a"), (2, 1): (1, "b")}
+
+
+def vectors_around(rng, groups, members, d=16):
+    centres = rng.standard_normal((groups, d))
+    m = (centres[:, None, :] + 0.4 * rng.standard_normal((groups, members, d))).reshape(-1, d)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def test_cells_grow_and_recall_holds(spark):
+    rng = np.random.default_rng(5)
+    m = vectors_around(rng, 300, 100)
+    e = spark.createDataFrame([(i, v) for i, v in enumerate(m.tolist())], "vec_id long, embedding array<double>").repartition(8)
+    index = vector_index.build(e)
+    assert len(index.centres) == vector_index.cells_of(len(m)) == 4 * int(len(m) ** 0.5) > 512 and vector_index.cells_of(10**6) == 4000
+    used = index.table.groupBy("cell").count().agg(F.count("*").alias("cells"), F.max("count").alias("most")).first()
+    assert used.cells > 0.8 * len(index.centres) and used.most < 40 * len(m) / len(index.centres)
+    q = e.where("vec_id % 500 = 0").withColumnRenamed("vec_id", "query_id")
+    found, recall, probes = vector_index.gated_search(index, q, e, 10)
+    want = np.argsort(-(m[::500] @ m.T), axis=1)[:, :10]
+    mine = {}
+    for r in found.collect():
+        mine.setdefault(r.query_id, set()).add(r.vec_id)
+    assert recall >= 0.95 and probes < 64
+    assert np.mean([len(mine[i * 500] & set(w.tolist())) / 10 for i, w in enumerate(want)]) >= 0.95
+
+
+def test_the_coarse_level_finds_the_nearest_cells():
+    rng = np.random.default_rng(6)
+    centres = vector_index.Centres(vectors_around(rng, 60, 20))
+    m = vectors_around(rng, 40, 5)
+    near = centres.nearest(m, 8)
+    assert near.shape == (200, 8) and all(len(set(r)) == 8 for r in near.tolist())
+    exact = np.argsort(-(m @ centres.cells.T), axis=1)[:, :8]
+    assert np.mean([len(set(a) & set(b)) / 8 for a, b in zip(near.tolist(), exact.tolist(), strict=True)]) > 0.9
+    assert (np.sort(centres.nearest(m, len(centres)), axis=1) == np.arange(len(centres))).all()
+
+
+def test_probing_goes_on_until_k_are_found(spark):
+    e = spark.createDataFrame([(i, [float(i == j) + 0.01 * i for j in range(12)]) for i in range(12)], "vec_id long, embedding array<double>")
+    index = vector_index.build(e, cells=12)  # a vector a cell
+    q = e.where("vec_id < 3").withColumnRenamed("vec_id", "query_id")
+    assert {r["count"] for r in vector_index.candidates(index, q, 40, 2).groupBy("query_id").count().collect()} == {2}
+    got = {r.query_id: r["count"] for r in vector_index.search(index, q, e, 7, 1).groupBy("query_id").count().collect()}
+    assert got == {0: 7, 1: 7, 2: 7}
+    assert {r["count"] for r in vector_index.search(index, q, e, 99, 1).groupBy("query_id").count().collect()} == {12}
+
+
+def test_vectors_that_are_none_have_no_results(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "TILE", (2, 3))
+    good = [(i, [float(i % 3), float(i % 2)]) for i in range(20)]
+    bad = [(100, None), (101, [1.0]), (102, [None, 1.0]), (103, [float("nan"), 1.0]), (104, []), (105, [float("inf"), 0.0])]
+    e = spark.createDataFrame(good + bad, "vec_id long, embedding array<double>").repartition(3)
+    q = spark.createDataFrame([(i, v) for i, v in good[1:8] + bad], "query_id long, embedding array<double>")
+    got = {}
+    for r in retrieval.exact_topk(q, e, 6).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    want = {i: [v for _, v in sorted((-(a[0] * b[0] + a[1] * b[1]), v) for v, b in good)[:6]] for i, a in good[1:8]}
+    assert {i: [v for _, v in sorted(x)] for i, x in got.items()} == want
+    index = vector_index.build(e)
+    assert index.table.count() == 20 and {r.query_id for r in vector_index.search(index, q, e, 6, 1).collect()} == set(range(1, 8))
+    assert vector_index.build(e.where("vec_id = 100")).table.count() == 0
+    named = e.selectExpr("cast(vec_id as string) as vec_id", "embedding")
+    assert retrieval.exact_topk(q, named, 3).count() == 21
