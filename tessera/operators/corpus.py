@@ -155,8 +155,9 @@ def positions(rows: DataFrame, order, name: str = "position", partitions: int |
 
     keys = order if isinstance(order, list) else [order]
     n = partitions or shuffle_partitions(rows.sparkSession)
-    dealt = rows.repartitionByRange(n, *keys).withColumn("__p", F.spark_partition_id())
-    local = materialise(dealt.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(*keys))), "positions")
+    dealt = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id())
+    # the identifier is the partition's number, and below 33 bits the row's number in it
+    local = materialise(dealt.select(*rows.columns, F.shiftright("__id", 33).alias("__p"), (F.col("__id").bitwiseAND((1 << 33) - 1) + 1).alias("__r")), "positions")
     sizes = local.groupBy("__p").agg(F.count("*").alias("__n"))
     starts = sizes.withColumn("__s", F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))).select("__p", F.coalesce("__s", F.lit(0)).alias("__s"))
     return local.join(F.broadcast(starts), "__p").withColumn(name, (F.col("__s") + F.col("__r") - 1).cast("long")).drop("__p", "__r", "__s")
@@ -168,9 +169,10 @@ def range_parts(positioned: DataFrame, size: int, name: str = "position") -> Dat
 
 
 def range_complete(parts: DataFrame, first: str, rows: str) -> DataFrame:
-    """Parts that leave a gap or overlap with the part before; parts are few."""
-    w = Window.orderBy(first)
-    return parts.withColumn("expected", F.lag(F.col(first) + F.col(rows)).over(w)).where(F.col("expected").isNotNull() & (F.col("expected") != F.col(first)))
+    """Parts that leave a gap or overlap with the part before, with the place `expected` of them."""
+    from tessera.operators.ordered import following
+
+    return following(parts, first, rows).where(F.col("expected").isNotNull() & (F.col("expected") != F.col(first)))
 
 
 def keyset_page(df: DataFrame, key: str, after, n: int) -> DataFrame:

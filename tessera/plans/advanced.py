@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions import site_rules
 from tessera.functions import text as T
-from tessera.operators import passages as P
+from tessera.operators import hooks as H
 from tessera.operators import lexical_index as L
-from tessera.operators import replay, set_join
+from tessera.operators import ordered, replay, set_join, sketches
+from tessera.operators import passages as P
 from tessera.operators import retrieval as R
+from tessera.plans.extended import DIMENSION
+from tessera.plans.extended import ORACLES as EXTENDED
+from tessera.plans.relational import ORACLES as RELATIONAL
 from tessera.plans.relational import read
 from tessera.plans.retrieval import ALL_TERMS, TOKENS, bm25_sql
 from tessera.session import materialise, new_folder
+from tessera.sources import stores
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +133,162 @@ def bm25_stored(spark, sf_dir):
     L.merge(spark, folder)
     L.add(spark, folder, docs.where(third == 2), "doc_id", _words())
     return L.search(L.Index(spark, folder), items, "item_id", _words(), 20, "doc_id")[0]
+
+
+def _store(spark, sf_dir):
+    """A store after three runs: even documents, all documents, all again. Gives what each encoded."""
+    docs, folder, encoder = read(spark, sf_dir, "documents"), new_folder(spark, "vectors"), H.HashingEncoder(DIMENSION)
+    store = stores.VectorStore.create(spark, folder, encoder.name)
+    counts = [(run, store.add(rows, "doc_id", "text", encoder), len(store.state["blocks"])) for run, rows in enumerate((docs.where("doc_id % 2 = 0"), docs, docs))]
+    return store, docs, counts
+
+
+@query("""WITH e AS (SELECT count(DISTINCT coalesce(text, '')) AS n FROM documents WHERE doc_id % 2 = 0), a AS (SELECT count(DISTINCT coalesce(text, '')) AS n FROM documents)
+    SELECT 0 AS run, n AS encoded, CAST(n > 0 AS INT) AS blocks FROM e UNION ALL SELECT 1, a.n - e.n, CAST(e.n > 0 AS INT) + CAST(a.n > e.n AS INT) FROM e, a UNION ALL SELECT 2, 0, CAST(e.n > 0 AS INT) + CAST(a.n > e.n AS INT) FROM e, a""")
+def vector_store_reuse(spark, sf_dir):
+    """What each of three encoding runs over one store had to encode."""
+    return spark.createDataFrame(_store(spark, sf_dir)[2], "run int, encoded long, blocks int")
+
+
+@query(EXTENDED["encoded_documents"])
+def vector_store_lookup(spark, sf_dir):
+    """Vectors of all documents from a compacted store."""
+    store, docs, _ = _store(spark, sf_dir)
+    store.compact()
+    e = store.lookup(docs, "doc_id", "text")
+    mass = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + F.abs(x))
+    return e.select("doc_id", F.size(F.filter("embedding", lambda x: x != 0)).cast("long").alias("filled"), F.round(mass, 6).alias("mass"))
+
+
+@query(RELATIONAL["representative_argmin"])
+def incremental_representatives(spark, sf_dir):
+    """Representatives kept up by a stream of deltas, five files in turns of two, then a resumed run."""
+    docs, root = read(spark, sf_dir, "documents").select("doc_id", "lang", "text"), new_folder(spark, "representatives")
+    stores.Representatives.create(spark, f"{root}/table", "doc_id long, lang string")
+    rows = lambda batch: batch.select("doc_id", "lang", "text")
+    for part, files in (("doc_id % 3 <> 1", 3), ("doc_id % 3 = 1", 2)):
+        docs.where(part).repartition(files, "doc_id").write.mode("append").parquet(f"{root}/in")
+        stores.follow(spark, f"{root}/in", docs.schema, f"{root}/table", f"{root}/check", rows, "text", 2)
+    return stores.Representatives(spark, f"{root}/table").table().select("content_hash", F.col("doc_id").alias("representative"), "aliases", "lang")
+
+
+MOVES = {
+    ("NEW", "signup"): "NEEDS_CRAWL",
+    ("NEEDS_CRAWL", "view"): "NEEDS_RAW",
+    ("NEEDS_CRAWL", "error"): "FAILED",
+    ("FAILED", "signup"): "NEEDS_CRAWL",
+    ("NEEDS_RAW", "click"): "TEXT_READY",
+    ("TEXT_READY", "purchase"): "CHUNKED",
+    ("TEXT_READY", "error"): "CHUNK_REVIEW",
+    ("CHUNK_REVIEW", "click"): "TEXT_READY",
+}
+_MOVES = ", ".join(f"('{a}', '{e}', '{b}')" for (a, e), b in MOVES.items())
+
+
+@query(f"""WITH RECURSIVE m(a, e, b) AS (VALUES {_MOVES}), o AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+    r AS (SELECT user_id, 0::BIGINT AS n, 'NEW' AS state, 0 AS accepted, 0 AS rejected FROM (SELECT DISTINCT user_id FROM events)
+        UNION ALL SELECT r.user_id, o.n, coalesce(m.b, r.state), r.accepted + CAST(m.b IS NOT NULL AS INT), r.rejected + CAST(m.b IS NULL AS INT)
+        FROM r JOIN o ON o.user_id = r.user_id AND o.n = r.n + 1 LEFT JOIN m ON m.a = r.state AND m.e = o.event_type)
+    SELECT user_id, arg_max(state, n) AS state, max(accepted) AS accepted, max(rejected) AS rejected FROM r GROUP BY 1""")
+def key_lifecycle(spark, sf_dir):
+    """Each user's state after its events in order, and how many moves were legal."""
+    e = read(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    done = ordered.lifecycle(e, "user_id", ["ts", "event_id"], "event_type", MOVES, "NEW")
+    last = F.max_by("state", F.struct("ts", "event_id"))
+    return done.groupBy("user_id").agg(last.alias("state"), F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("rejected"))
+
+
+RUNS = """p AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents),
+    u AS (SELECT position // 32 AS run, position // 16 AS part, doc_id, CASE WHEN doc_id % 41 = 7 THEN text || '?' ELSE text END AS body, sha256(text) AS sha FROM p
+        UNION ALL SELECT position // 32 + 1, NULL, doc_id, text, sha256(text) FROM p WHERE position % 32 = 31),
+    parts AS (SELECT position // 32 AS run, position // 16 * 16 + CASE WHEN position // 16 % 5 = 3 THEN 2 ELSE 0 END AS first, count(*) AS n FROM p GROUP BY position // 32, position // 16)"""
+
+
+def _runs(spark, sf_dir):
+    """Runs of 32 documents in parts of 16; the last document of a run stands in the next run too, some bodies
+    are damaged, and every fifth part says that it begins two rows late."""
+    p = materialise(read(spark, sf_dir, "documents").select("doc_id", "text").transform(lambda d: _positions(d)), "runs")
+    run, part = F.floor(F.col("position") / 32), F.floor(F.col("position") / 16)
+    body = F.when(F.col("doc_id") % 41 == 7, F.concat("text", F.lit("?"))).otherwise(F.col("text"))
+    own = p.select(run.alias("run"), "doc_id", body.alias("body"), F.sha2("text", 256).alias("sha"))
+    again = p.where("position % 32 = 31").select((run + 1).alias("run"), "doc_id", F.col("text").alias("body"), F.sha2("text", 256).alias("sha"))
+    first = part * 16 + F.when(part % 5 == 3, 2).otherwise(0)
+    parts = p.groupBy(run.alias("run"), first.cast("long").alias("first")).agg(F.count("*").alias("n"))
+    return own.unionByName(again), parts
+
+
+def _positions(d):
+    from tessera.operators.corpus import positions
+
+    return positions(d, "doc_id")
+
+
+@query(f"""WITH {RUNS}, e AS (SELECT *, lag(first + n) OVER (ORDER BY first) AS expected FROM parts), good AS (SELECT DISTINCT doc_id, run FROM u WHERE sha256(body) = sha)
+    SELECT CASE WHEN first > expected THEN 'gap' ELSE 'overlap' END AS fault, run::VARCHAR AS run, first::VARCHAR AS subject FROM e WHERE expected <> first
+    UNION ALL SELECT 'damaged', run::VARCHAR, doc_id::VARCHAR FROM u WHERE sha256(body) IS DISTINCT FROM sha
+    UNION ALL SELECT 'duplicate', run::VARCHAR, doc_id::VARCHAR FROM good WHERE run <> (SELECT min(g.run) FROM good g WHERE g.doc_id = good.doc_id)""")
+def run_merge_faults(spark, sf_dir):
+    records, parts = _runs(spark, sf_dir)
+    return ordered.merged_runs(records, parts, "doc_id", "run", "first", "n", "body", "sha")[0]
+
+
+@query(f"WITH {RUNS} SELECT doc_id, min(run) AS run, any_value(sha) AS sha FROM u WHERE sha256(body) = sha GROUP BY 1")
+def run_merge(spark, sf_dir):
+    """One sound record of each document over all runs."""
+    records, parts = _runs(spark, sf_dir)
+    return ordered.merged_runs(records, parts, "doc_id", "run", "first", "n", "body", "sha")[1].select("doc_id", "run", "sha")
+
+
+@query("""WITH v AS (SELECT doc_id, sha256(array_to_string([octet_length(encode(x)) || ':' || x FOR x IN [doc_id::VARCHAR, coalesce(lang, chr(0)), coalesce(text, chr(0))]], ',')) AS h FROM documents),
+    e AS (SELECT h, count(*) AS n FROM v GROUP BY 1), c AS (SELECT count(*) AS n, CASE WHEN count(*) <= 256 THEN 0 WHEN count(*) <= 4096 THEN 1 ELSE 2 END AS d FROM e),
+    l2 AS (SELECT left(h, d) AS node, sha256(string_agg(h || ':' || e.n, chr(10) ORDER BY h || ':' || e.n)) AS dig FROM e, c GROUP BY left(h, d)),
+    l1 AS (SELECT left(node, 1) AS node, sha256(string_agg(node || ':' || dig, chr(10) ORDER BY node || ':' || dig)) AS dig FROM l2, c WHERE d = 2 GROUP BY 1 UNION ALL SELECT node, dig FROM l2, c WHERE d < 2),
+    l0 AS (SELECT sha256(string_agg(node || ':' || dig, chr(10) ORDER BY node || ':' || dig)) AS dig FROM l1, c WHERE d >= 1 HAVING count(*) > 0 UNION ALL SELECT dig FROM l1, c WHERE d = 0)
+    SELECT dig AS digest, (SELECT sum(n) FROM e)::BIGINT AS "rows", (SELECT count(DISTINCT doc_id) FROM documents) AS keys FROM l0""")
+def membership_digest(spark, sf_dir):
+    """One digest of all documents, by a tree over ranges of their digests."""
+    return ordered.tree_digest(read(spark, sf_dir, "documents"), "doc_id", ["lang", "text"], 256)
+
+
+HOST_RULES = [
+    ("example.com", 1, "tail", "<footer", None, None),
+    ("example.com", 2, "header", "<!DOCTYPE html>", None, None),
+    ("example.net", 1, "replace", "<[a-z0-9]+>", None, " "),
+    ("tionsh.example.net", 1, "tail", "<p>", 40, None),
+    ("org", 1, "header", "<html>", None, None),
+]
+
+
+@query("""WITH r(rule_host) AS (VALUES ('example.com'), ('example.net'), ('tionsh.example.net'), ('org')), p AS (SELECT page_id, html, regexp_extract(url, '://([^/?#]*)', 1) AS host FROM pages),
+    b AS (SELECT page_id, html, host, (SELECT arg_max(rule_host, length(rule_host)) FROM r WHERE p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AS rule_host FROM p),
+    e AS (SELECT *, CASE rule_host
+        WHEN 'example.com' THEN regexp_replace(CASE WHEN strpos(html, '<footer') > 0 AND length(trim(left(html, strpos(html, '<footer') - 1))) >= 300 THEN left(html, strpos(html, '<footer') - 1) ELSE html END, '^(?:<!DOCTYPE html>)', '')
+        WHEN 'example.net' THEN regexp_replace(html, '<[a-z0-9]+>', ' ', 'g')
+        WHEN 'tionsh.example.net' THEN CASE WHEN strpos(html, '<p>') > 0 AND length(trim(left(html, strpos(html, '<p>') - 1))) >= 40 THEN left(html, strpos(html, '<p>') - 1) ELSE html END
+        WHEN 'org' THEN regexp_replace(html, '^(?:<html>)', '') ELSE html END AS clean FROM b)
+    SELECT page_id, rule_host, length(trim(clean)) AS kept, md5(trim(clean)) AS clean FROM e""")
+def host_rules(spark, sf_dir):
+    """Pages after the ordered edits of the most specific rule of their host."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "html", F.regexp_extract("url", "://([^/?#]*)", 1).alias("host"))
+    rules = spark.createDataFrame(HOST_RULES, "host string, step int, kind string, pattern string, keep int, with string")
+    done = site_rules.apply_rules(pages, "host", "html", rules)
+    return done.select("page_id", "rule_host", F.char_length("clean").cast("long").alias("kept"), F.md5(F.encode("clean", "utf-8")).alias("clean"))
+
+
+METRICS_SQL = """SELECT 'source_chars' AS metric, length(text)::DOUBLE AS v FROM documents UNION ALL SELECT 'lines_per_doc', len(string_split(text, chr(10))) FROM documents
+    UNION ALL SELECT 'page_bytes', octet_length(encode(html)) FROM pages UNION ALL SELECT 'turn_chars', length(text) FROM conversations
+    UNION ALL SELECT 'turns_per_conversation', count(*) FROM conversations GROUP BY conv_id UNION ALL SELECT 'item_chars', length(text) FROM benchmark"""
+
+
+@query(f"WITH m AS ({METRICS_SQL}) SELECT metric, count(v) AS n, round(avg(v), 6) AS mean, quantile_disc(v, 0.05) AS p05, quantile_disc(v, 0.5) AS p50, quantile_disc(v, 0.95) AS p95, quantile_disc(v, 0.99) AS p99 FROM m WHERE v IS NOT NULL GROUP BY 1")
+def distribution_sketches(spark, sf_dir):
+    """Six metrics by sketches stored for each part and merged; exact while a metric has fewer values than the
+    sketch's size, as here."""
+    docs, pages, turns, items = read(spark, sf_dir, "documents", "pages", "conversations", "benchmark")
+    one = lambda df, name, v, part: df.select(F.lit(name).alias("metric"), F.pmod(F.xxhash64(part), F.lit(8)).alias("part"), v.cast("double").alias("v"))
+    rows = one(docs, "source_chars", F.char_length("text"), "doc_id").unionByName(one(docs, "lines_per_doc", F.size(F.split("text", "\n")), "doc_id"))
+    rows = rows.unionByName(one(pages, "page_bytes", F.octet_length("html"), "page_id")).unionByName(one(turns, "turn_chars", F.char_length("text"), "conv_id"))
+    rows = rows.unionByName(one(turns.groupBy("conv_id").agg(F.count("*").alias("n")), "turns_per_conversation", F.col("n"), "conv_id")).unionByName(one(items, "item_chars", F.char_length("text"), "item_id"))
+    folder = new_folder(spark, "sketches")
+    sketches.write(rows, ["metric"], "v", "part", folder, size=8192)
+    return sketches.quantiles(spark.read.parquet(folder), ["metric"], {"p05": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99})

@@ -175,11 +175,21 @@ def assignment_progress(spark, sf_dir):
     return K.assignment_progress(d.select((F.col("doc_id") % 5).alias("worker"), "doc_id"), done, "worker", "doc_id")
 
 
-@query("SELECT 7 AS parts, 4 AS reusable")
+@query("""WITH p AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, doc_id, text FROM documents), m AS (SELECT max(position) // 2 AS middle FROM p),
+    d AS (SELECT position // 16 AS i, md5(string_agg(sha256(text), '' ORDER BY doc_id)) AS h, md5(string_agg(sha256(CASE WHEN position = middle THEN text || '!' ELSE text END), '' ORDER BY doc_id)) AS g FROM p, m GROUP BY 1)
+    SELECT count(*) AS parts, coalesce(min(i) FILTER (WHERE h <> g), count(*)) AS reusable FROM d""")
 def exact_prefix(spark, sf_dir):
-    old = spark.createDataFrame([(i, f"h{i}") for i in range(6)], "i long, h string")
-    new = spark.createDataFrame([(i, "other" if i == 4 else f"h{i}") for i in range(7)], "i long, h string")
-    return K.exact_prefix(old, new, "i", "h")
+    """Parts of sixteen documents, then parts of the same table with one document in the middle changed."""
+    d = C.positions(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    middle = d.agg(F.floor(F.max("position") / 2)).first()[0]
+
+    def parts(text):
+        hashes = F.array_sort(F.collect_list(F.struct("doc_id", F.sha2(text, 256).alias("h"))))
+        digest = F.md5(F.array_join(F.transform(hashes, lambda x: x["h"]), ""))
+        return d.groupBy(F.floor(F.col("position") / 16).alias("i")).agg(digest.alias("h"))
+
+    changed = F.when(F.col("position") == middle, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    return K.exact_prefix(parts(F.col("text")), parts(changed), "i", "h")
 
 
 @query()
