@@ -51,9 +51,16 @@ def shared_dir(spark: SparkSession) -> str:
             named = f"file://{tempfile.mkdtemp(prefix='tessera-')}"
             sc.setCheckpointDir(named)
             atexit.register(shutil.rmtree, urlparse(named).path, ignore_errors=True)
-    if "://" not in named and not named.startswith("file:"):
-        named = f"file://{os.path.abspath(named)}"
-    return named.rstrip("/")
+    return qualified(spark, named).rstrip("/")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI: one without a scheme is on the cluster's default file system, as Spark itself
+    reads it, which need not be this machine's."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    uri = system.makeQualified(target).toString()
+    return f"file://{uri.removeprefix('file:')}" if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -208,3 +208,17 @@ def test_stored_sketches_merge_within_their_bound(spark):
         for name, q in points.items():
             assert abs(bisect.bisect_left(values, r[name]) / len(values) - q) < 3.0 / 512
             assert abs(bisect.bisect_left(values, exact[r.g, q]) / len(values) - q) < 1e-3
+
+
+def test_a_shared_folder_without_scheme_is_on_the_default_file_system(spark, tmp_path):
+    from tessera.session import qualified
+
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    assert qualified(spark, str(tmp_path)) == f"file://{tmp_path}" == qualified(spark, f"file:{tmp_path}")
+    conf.set("fs.defaultFS", "viewfs://cluster/")
+    conf.set("fs.viewfs.mounttable.cluster.link./shared", f"file://{tmp_path}")
+    try:
+        assert qualified(spark, "/shared/checkpoints") == "viewfs://cluster/shared/checkpoints"
+    finally:
+        conf.set("fs.defaultFS", before)
