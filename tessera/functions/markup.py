@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 SKIPPED = frozenset("script style noscript template svg nav header footer aside form button select".split())
 BREAKS = frozenset("p div section article main h1 h2 h3 h4 h5 h6 li ul ol table tr blockquote pre br figure figcaption dl dt dd hr".split())
 EMPTY = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: Hosts whose pages keep their text in a known place: host suffix to (element, class).
-SITES: dict[str, tuple[str, str]] = {}
 
 
 class _Reader(HTMLParser):
@@ -92,11 +90,14 @@ def extract_source(body: str | None, content_type: str = "text/html") -> dict:
     return {"title": "", "text": body, "headings": [], "parser": "plain"}
 
 
-def extract(pages: DataFrame, key: str, body: str, url: str) -> DataFrame:
-    """(key, url, title, text, headings, parser) of every page."""
+def extract(pages: DataFrame, key: str, body: str, url: str, content_type: str | None = None) -> DataFrame:
+    """(key, url, title, text, headings, parser) of every page; content_type is the column that names the
+    kind of the body, where there is one: markup as XML or HTML, all else as plain text. A null kind is
+    text/html."""
 
     @F.pandas_udf("struct<title:string,text:string,headings:array<string>,parser:string>")
-    def read(bodies: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([extract_source(b) for b in bodies], columns=["title", "text", "headings", "parser"])
+    def read(bodies: pd.Series, kinds: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([extract_source(b, k) for b, k in zip(bodies, kinds, strict=True)], columns=["title", "text", "headings", "parser"])
 
-    return pages.select(key, url, read(F.col(body)).alias("r")).select(key, url, "r.*")
+    kind = F.coalesce(F.col(content_type) if content_type else F.lit(None).cast("string"), F.lit("text/html"))
+    return pages.select(key, url, read(F.col(body), kind).alias("r")).select(key, url, "r.*")

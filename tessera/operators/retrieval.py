@@ -260,10 +260,11 @@ def lcs(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([None if a is None or b is None else lcs_length(list(a), list(b)) for a, b in zip(left, right, strict=True)], dtype="Int32")
 
 
-def select_passages(children: DataFrame, query_key: str, doc: str, parent: str, tokens: str, order: str, per_doc: int, most: int, threshold: float = 0.8, documents: int | None = None) -> DataFrame:
+def select_passages(children: DataFrame, query_key: str, doc: str, parent: str, tokens: str, order: str, per_doc: int, most: int, threshold: float = 0.8, documents: int | None = None, score: str | None = None, minimum: int = 0, margin: float | None = None, floor: float | None = None) -> DataFrame:
     """Passages of each query in order: of the first `documents` documents, without a parent twice or
     a near copy (LCS over union) of a passage before it in its document, per_doc of a document and
-    `most` in all.
+    `most` in all. With a score, passages after the first `minimum` must reach `floor` and come within
+    `margin` of the query's best; one that fails gives its place to the next.
 
     What a document yields hangs on that document alone, so rows meet by query and document and pass
     in order, a document's passages held until the next; documents and passages are then counted off
@@ -294,6 +295,9 @@ def select_passages(children: DataFrame, query_key: str, doc: str, parent: str,
     place = F.row_number().over(Window.partitionBy(query_key).orderBy(order, parent))
     dealt = children.select(*names, tokens).repartition(query_key, doc).sortWithinPartitions(query_key, doc, order, parent)
     chosen = dealt.mapInArrow(distinct_passages, schema)
+    if score is not None:
+        best = children.groupBy(query_key, doc, parent, order).agg(F.max(score).alias("__score"))
+        chosen = cutoff(chosen.join(best, [query_key, doc, parent, order]), query_key, order, "__score", minimum, most, margin, floor).drop("__score")
     return chosen.withColumn("place", place).where(F.col("place") <= most).select(query_key, doc, parent, "place")
 
 

@@ -292,3 +292,25 @@ def distribution_sketches(spark, sf_dir):
     folder = new_folder(spark, "sketches")
     sketches.write(rows, ["metric"], "v", "part", folder, size=8192)
     return sketches.quantiles(spark.read.parquet(folder), ["metric"], {"p05": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99})
+
+
+@query("""WITH d AS (SELECT doc_id, text, doc_id % 2 = 0 AS xml FROM documents),
+    l AS (SELECT doc_id, xml, text, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> '') AS lines FROM d)
+    SELECT doc_id, CASE WHEN text = '' THEN 'none' WHEN xml THEN 'xml' ELSE 'plain' END AS parser, md5(CASE WHEN xml THEN array_to_string(lines, chr(10)) ELSE text END) AS text FROM l""")
+def extract_typed(spark, sf_dir):
+    """Documents as bodies of two content types, XML for even ones and plain text for odd ones."""
+    from tessera.functions.markup import extract
+
+    escaped = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    xml = F.concat(F.lit("<article><body><p>"), F.replace(escaped, F.lit("\n"), F.lit("</p><p>")), F.lit("</p></body></article>"))
+    even = F.col("doc_id") % 2 == 0
+    docs = read(spark, sf_dir, "documents").withColumn("body", F.when(even & (F.col("text") != ""), xml).otherwise(F.col("text"))).withColumn("kind", F.when(even, "application/xml").otherwise("text/plain"))
+    return extract(docs, "doc_id", "body", "source", "kind").select("doc_id", "parser", F.md5(F.encode("text", "utf-8")).alias("text"))
+
+
+@query()
+def select_parents_cut(spark, sf_dir):
+    """select_parents with at least two passages, the others within 8 of the best score and above 6."""
+    from tessera.plans.retrieval import _candidates
+
+    return R.select_passages(_candidates(spark, sf_dir), "item_id", "doc_id", "child", "tokens", "rank", per_doc=2, most=8, score="score", minimum=2, margin=8.0, floor=6.0)

@@ -251,3 +251,29 @@ def test_vectors_that_are_none_have_no_results(spark, monkeypatch):
     assert vector_index.build(e.where("vec_id = 100")).table.count() == 0
     named = e.selectExpr("cast(vec_id as string) as vec_id", "embedding")
     assert retrieval.exact_topk(q, named, 3).count() == 21
+
+
+def test_passages_below_floor_or_margin_give_their_place(spark):
+    rng = random.Random(11)
+    rows = [(q, rng.randrange(4), f"p{i}", i, [f"{q}-{i}-{j}" for j in range(4)], 20.0 - 0.7 * i + rng.random() * 3) for q in range(6) for i in range(20)]
+    df = spark.createDataFrame(rows, "q long, doc long, parent string, ord int, tokens array<string>, score double")
+    got = {}
+    for r in retrieval.select_passages(df, "q", "doc", "parent", "tokens", "ord", 3, 5, score="score", minimum=2, margin=4.0, floor=15.0).collect():
+        got.setdefault(r.q, []).append((r.place, r.doc, r.parent))
+    for q in range(6):
+        taken, counts = [], {}
+        for _, doc, parent, i, _, s in sorted((r for r in rows if r[0] == q), key=lambda r: r[3]):
+            if counts.get(doc, 0) < 3:
+                counts[doc] = counts.get(doc, 0) + 1
+                taken.append((doc, parent, s))
+        best = max(s for _, _, s in taken)
+        kept = [(d, p) for i, (d, p, s) in enumerate(taken) if i < 2 or (s >= 15 and s >= best - 4)][:5]
+        assert sorted(got[q]) == [(i + 1, d, p) for i, (d, p) in enumerate(kept)]
+
+
+def test_the_content_type_chooses_the_parser(spark):
+    from tessera.functions import markup
+
+    rows = [(1, "<a><p>x  y</p><p>z</p></a>", "text/xml"), (2, "<p>x</p><p>y</p>", None), (3, "x < y", "text/plain"), (4, None, "text/xml"), (5, "<a><p>open", "application/xml"), (6, "<p>h</p>", "text/plain")]
+    got = {r.k: (r.parser, r.text) for r in markup.extract(spark.createDataFrame(rows, "k long, b string, t string").withColumn("u", F.lit("u")), "k", "b", "u", "t").collect()}
+    assert got == {1: ("xml", "x y\nz"), 2: ("html", "x\ny"), 3: ("plain", "x < y"), 4: ("none", ""), 5: ("html", "open"), 6: ("html", "h")}
