@@ -92,5 +92,5 @@ def test_stages_of_odd_rows(spark, tmp_path):
 
 def test_every_operator_is_registered_once():
     names = [int(k[2:].split("_")[0]) for k in registry.queries() if k.startswith("op")]
-    assert sorted(names) == list(range(1, 11)) and "pipeline" in registry.queries()
+    assert sorted(names) == list(range(1, 14)) and "pipeline" in registry.queries()
     assert pa.__version__
