@@ -63,6 +63,7 @@ def query_key(text: Column) -> Column:
     return F.concat_ws(" ", words(text))
 
 
+# The length of the run and its counts of classes.
 def has_encoded_payload(text: Column) -> Column:
     """Whether the text holds a base64-like run of 180 characters with mixed classes."""
     without = lambda v, p: F.length(v) - F.length(F.regexp_replace(v, p, ""))
@@ -70,6 +71,7 @@ def has_encoded_payload(text: Column) -> Column:
     return F.exists(F.regexp_extract_all(text, F.lit(ENCODED_RUN), F.lit(0)), mixed)
 
 
+# The codes.
 def error_page_reason(title: Column, text: Column) -> Column:
     """A code if the title, or the first line where it is blank, is that of an error page."""
     head = F.when(F.trim(title) != "", F.trim(title)).otherwise(F.split_part(F.trim(text), F.lit("\n"), F.lit(1)))
@@ -79,6 +81,7 @@ def error_page_reason(title: Column, text: Column) -> Column:
     return F.when(head.rlike(ERROR_TITLE), code)
 
 
+# The codes and the length of a code.
 def reason_code(reason: Column) -> Column:
     """A failure's reason as a short code of capitals and underscores."""
     value = F.when(reason.startswith("ValueError:"), F.substr(reason, F.lit(12))).otherwise(reason)
@@ -91,6 +94,7 @@ def reason_code(reason: Column) -> Column:
     )
 
 
+# Names of flags and tiers, and the thresholds.
 def quality(text: Column, title: Column, sections: Column, raw_bytes: Column) -> Column:
     """A struct of counters, flags and tier; it describes a document and never filters it."""
     lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
@@ -116,6 +120,7 @@ def quality(text: Column, title: Column, sections: Column, raw_bytes: Column) ->
     return F.struct(F.length(text).alias("char_count"), paragraphs.alias("paragraph_count"), letters.alias("alphabetic_ratio"), repeats.alias("duplicate_line_ratio"), flags.alias("quality_flags"), tier.alias("quality_tier"))
 
 
+# The least length and the shares of script characters.
 def language_hint(text: Column, declared: Column) -> Column:
     """A struct (language, method): short texts and texts without a script's mark trust what was
     declared; a fifth of Han characters means zh, a hundredth of Vietnamese marks vi."""
