@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from tessera.llm import registry, rotation, simhash, templates
 from tessera.operators.components import connected_components
 
@@ -187,6 +189,25 @@ def test_reparameterised_questions(spark):
     assert templates.contaminated(df.limit(0), items).count() == 0 and templates.decontaminate(df, items.limit(0)).count() == len(docs)
 
 
+def test_short_items_are_literal_windows(spark):
+    docs = spark.createDataFrame([(1, "He said: who wrote War and Peace? I know."), (2, "Who wrote Peace and War"), (3, "WHO WROTE WAR AND"), (4, "only 45 miles here"), (5, "it was only 30 miles, they say"), (6, "Rome"), (7, None), (None, "in 30mi")], "doc_id long, text string")
+    items = spark.createDataFrame([(10, "Who wrote War and"), (11, "only 30 miles"), (12, "Rome"), (13, "30 mi"), (14, "Rome"), (16, "30 miles"), (15, "  ")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.matched, r.windows, r.coverage, r.exact) for r in templates.contaminated(docs, items).collect()}
+    assert set(got) == {(1, 10), (3, 10), (5, 11), (5, 16), (None, 13)} and set(got.values()) == {(1, 1, 1.0, True)}
+
+
+def test_items_of_one_template_meet_documents_by_their_rare_windows(spark):
+    shared = "According to the table below which of these answers is the right one for"
+    rare = [f"word{i} follows alpha{i} and then beta{i} stands after gamma{i}" for i in range(60)]
+    items = spark.createDataFrame([(i, f"{shared} {r}") for i, r in enumerate(rare)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"Text {i}. {shared} {rare[i] if i < 20 else 'something else of no item here'}") for i in range(40)], "doc_id long, text string")
+    windows = templates.template_windows(items, "item_id", "text", item=True).withColumnsRenamed({"k": "item_id", "position": "item_position", "slots": "item_slots"})
+    total = windows.groupBy("item_id").agg(F.countDistinct("item_position").alias("windows"))
+    pairs = templates.candidates(templates.template_windows(docs, "doc_id", "text"), windows, total, 0.8)
+    assert sorted((r.k, r.item_id) for r in pairs.collect()) == [(i, i) for i in range(20)]
+    assert sorted((r.doc_id, r.item_id) for r in templates.contaminated(docs, items).collect()) == [(i, i) for i in range(20)]
+
+
 def test_decontamination_of_the_tables_equals_plain_windows(spark, sf_dir):
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     index, size = {}, {}
