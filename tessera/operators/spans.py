@@ -152,13 +152,13 @@ def token_windows(docs: DataFrame, key: str, text: str, size: int = 180, overlap
     return rows.withColumn("text", F.substring("__t", F.col("start_char") + 1, F.col("end_char") - F.col("start_char"))).drop("__t")
 
 
-def integrity(documents: DataFrame, failures: DataFrame, ledger: DataFrame, children: DataFrame, parents: DataFrame, sections_: DataFrame, counts: dict[str, int] | None = None, budgets=(10_000, 10_000)) -> DataFrame:
+def integrity(documents: DataFrame, failures: DataFrame, ledger: DataFrame, children: DataFrame, parents: DataFrame, sections_: DataFrame, counts: dict[str, int] | None = None, budgets=(10_000, 10_000), official: DataFrame | None = None) -> DataFrame:
     """(check, violations) of a snapshot, each check a join or an aggregate; all zero is sound.
 
     Columns: documents(doc_id, url, source_text, source_text_sha256), failures and ledger(doc_id,
     url), children and parents(doc_id, chunk_id, start_char, end_char, text, token_count,
     source_text_sha256; children also parent_id, section_id), sections(doc_id, section_id,
-    start_char, end_char, source_text_sha256).
+    start_char, end_char, source_text_sha256), and official(id, url), against which inputs are held.
     """
     outcomes = documents.select("doc_id", "url").unionByName(failures.select("doc_id", "url"))
     dup = lambda df, k: df.agg((F.count("*") - F.count_distinct(k)).alias("violations"))
@@ -194,6 +194,9 @@ def integrity(documents: DataFrame, failures: DataFrame, ledger: DataFrame, chil
         "child_outside_section": n(child_section.where((F.col("start_char") < F.col("s_a")) | (F.col("end_char") > F.col("s_b")))),
         "token_budget_failures": n(children.select("token_count").where(F.col("token_count") > budgets[0]).unionByName(parents.select("token_count").where(F.col("token_count") > budgets[1]))),
     }
+    if official is not None:
+        links = official.select(F.col("id").alias("o_id"), F.col("url").alias("o_url"))
+        checks["invalid_official_id_or_url"] = n(ledger.join(links, F.col("doc_id") == F.col("o_id"), "left").where(F.col("o_id").isNull() | differs(F.col("url"), F.col("o_url"))))
     tables = {"input": ledger, "documents": documents, "children": children, "parents": parents, "sections": sections_}
     for name, want in (counts or {}).items():
         checks[f"manifest_{name}_count_mismatch"] = tables[name].agg(F.abs(F.count("*") - want).alias("violations"))

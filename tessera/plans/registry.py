@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.plans import advanced, extended, pipelines, ranking, relational, retrieval, textual
+from tessera.plans import advanced, audits, extended, pipelines, ranking, relational, retrieval, textual
 
 
 def _modules():
-    return [relational, textual, retrieval, ranking, pipelines, extended, advanced]
+    return [relational, textual, retrieval, ranking, pipelines, extended, advanced, audits]
 
 
 def queries() -> dict:

@@ -212,6 +212,7 @@ SNAPSHOT_CHECKS = f"""WITH {SNAPSHOT}, bad AS (SELECT 'kids' AS kind, c.*, d.sou
     SELECT 'missing_document_children', (SELECT count(*) FROM documents_ d WHERE NOT EXISTS (SELECT 1 FROM kids c WHERE c.doc_id = d.doc_id)) UNION ALL
     SELECT 'child_outside_section', (SELECT count(*) FROM kids k JOIN documents_ d ON k.doc_id = d.doc_id WHERE k.e > length(d.source_text)) UNION ALL
     SELECT 'token_budget_failures', (SELECT count(*) FROM kids WHERE len(string_split(text, ' ')) > 90) + (SELECT count(*) FROM parents WHERE len(string_split(text, ' ')) > 190) UNION ALL
+    SELECT 'invalid_official_id_or_url', (SELECT count(*) FROM ledger l LEFT JOIN (SELECT doc_id AS id, CASE WHEN doc_id % 101 = 7 THEN 'moved' ELSE source END AS url FROM documents WHERE doc_id % 89 <> 5) o ON l.doc_id = o.id WHERE o.id IS NULL OR l.url IS DISTINCT FROM o.url) UNION ALL
     SELECT 'manifest_input_count_mismatch', (SELECT abs(count(*) - (SELECT count(*) FROM documents)) FROM ledger) UNION ALL
     SELECT 'manifest_documents_count_mismatch', (SELECT abs(count(*) - (SELECT count(*) - count_if(doc_id % 10 = 0) FROM documents)) FROM documents_) UNION ALL
     SELECT 'manifest_children_count_mismatch', (SELECT abs(count(*) - (SELECT count(*) FROM starts WHERE a = 0 OR a + 100 < n)) FROM kids) UNION ALL
@@ -224,7 +225,8 @@ def _checks(spark, sf_dir):
     """The snapshot's checks against the counts that a manifest of the same documents states."""
     docs = read(spark, sf_dir, "documents")
     n = docs.agg(F.count("*").alias("input"), F.count_if(F.expr("doc_id % 10 > 0")).alias("documents"), F.sum(F.when(F.expr("doc_id % 10 > 0"), S.window_count(F.length("text"), 500, 400))).alias("children"), F.sum(F.when(F.expr("doc_id % 10 > 0"), S.window_count(F.length("text"), 1000, 400))).alias("parents")).first().asDict()
-    return S.integrity(*snapshot(spark, sf_dir), counts=n | {"sections": n["documents"]}, budgets=(90, 190))
+    official = docs.where("doc_id % 89 <> 5").select(F.col("doc_id").alias("id"), F.expr("CASE WHEN doc_id % 101 = 7 THEN 'moved' ELSE source END AS url"))
+    return S.integrity(*snapshot(spark, sf_dir), official=official, counts=n | {"sections": n["documents"]}, budgets=(90, 190))
 
 
 @query(SNAPSHOT_CHECKS)

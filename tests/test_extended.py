@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import corpus, hooks, passages, retrieval, spans, vector_index
 from tessera.plans import registry
@@ -137,3 +138,70 @@ def test_mined_negatives_are_no_positives_and_short_queries_are_held(spark):
     g = spark.createDataFrame(gold, "q long, w array<string>")
     got = {(r.q, r.k): r.held for r in evaluation.mined_negatives(c, g, "q", "k", "cat", "rank", "w", {"c0": 1, "c1": 1}, 2).collect()}
     assert got == {(1, "far"): False, (1, "other"): False, (2, "y"): True, (3, "n"): False, (3, "m"): False}
+
+
+def test_audits_name_each_fault_once(spark):
+    from tessera.operators import audits
+
+    sha = "a" * 64
+    said = '{{"status":"SUCCESS_RAW","snapshot_id":"s1","raw_sha256":"{}","fetch_url":"{}"}}'
+    sound = lambda i: (i, f"u{i}", f"raw/{i}", sha, 5, said.format(sha, f"u{i}"), "s1", "s2", "EXTRACT_SUCCESS")
+    swapped = lambda i, **kw: tuple(kw.get(c, v) for c, v in zip(("id", "fetch", "path", "sha", "size", "json", "old", "new", "state"), sound(i)))
+    raw = spark.createDataFrame(
+        [sound(1), sound(1), swapped(2, path=None), swapped(3, path="raw/a\\b"), swapped(4, sha=sha + "\n"), swapped(5, size=None), swapped(6, json="{"), swapped(7, json=None), swapped(8, new=None), sound(9)],
+        "crawl_url_id long, fetch_url string, raw_path string, raw_sha256 string, raw_size_bytes long, original_crawl_record_json string, original_snapshot_id string, new_snapshot_id string, extract_status string",
+    )
+    mapping = spark.createDataFrame([(i, i, f"u{i}#x") for i in range(1, 9)] + [(8, 8, "u8#x"), (20, 20, "u20"), (None, None, None)], "doc_id long, crawl_url_id long, original_url string")
+    official = spark.createDataFrame([(i, f"u{i}#x") for i in range(1, 9)] + [(30, "u2#y"), (20, "other")], "id long, url string")
+    existing = spark.createDataFrame([(1, "u1#x"), (2, "else"), (2, None)], "doc_id long, url string")
+    got = {r.check: r.violations for r in audits.retained_crawl(mapping, raw, official, existing, "s2", "s1").collect()}
+    assert got == {
+        "duplicate_mapping_id": 2, "duplicate_raw_id": 1, "unmapped_native_id": 2, "mapping_missing_raw": 2, "raw_outside_mapping": 1, "native_url_conflict": 2,
+        "fetch_url_mismatch": 0, "invalid_raw_locator": 2, "invalid_raw_metadata": 2, "invalid_original_crawl": 3, "snapshot_mismatch": 1, "missing_official_alias": 1,
+    }
+    done = spark.createDataFrame([(2, "s1", sha, "EXTRACT_SUCCESS", "ab", 2), (2, "s1", sha, "EXTRACT_SUCCESS", " ", 1), (3, None, sha, "EXTRACT_SUCCESS", None, None), (99, "s1", sha, "EXTRACT_SUCCESS", "a", 1), (9, "s1", sha, None, "a", 2)], "crawl_url_id long, snapshot_id string, raw_sha256 string, extract_status string, text string, char_count long")
+    got = {r.check: r.violations for r in audits.retained_extraction(raw, done).collect()}
+    assert got == {"duplicate_extraction": 1, "invalid_source_length": 3, "extraction_binding": 3, "missing_successful_extraction": 7}
+    none = audits.retained_crawl(mapping.limit(0), raw.limit(0), official.limit(0), existing.limit(0), "s2", "s1").collect()
+    assert len(none) == 12 and not any(r.violations for r in none)
+
+
+def test_exclusions_in_order_and_without_values(spark):
+    from tessera.operators import audits
+
+    payload = "Ab1+xYz9Qr7LmN0pTt4Vw/Kc2Hg5Jd8SeUf6BiOa3" * 5
+    rows = [("404 Not Found", payload, "https://e.org/a", "https://e.org/"), ("404 Not Found", "x", "https://e.org/a", "https://e.org/"), ("404 Not Found", "x", "https://e.org/", "https://e.org/"), ("A title", "x", "https://e.org/a", "https://e.org/?q=1"), (None, None, None, None), (None, "Just a moment...\nx", None, "https://e.org/"), ("", "", "", "")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, title string, text string, a string, b string")
+    got = [r[0] for r in df.orderBy("i").select(audits.exclusion_reason(F.col("title"), F.col("text"), F.col("a"), F.col("b"))).collect()]
+    assert got == ["ENCODED_PAYLOAD_REVIEW", "ARTICLE_REDIRECTED_TO_HOMEPAGE", "NOT_FOUND_PAGE", None, None, "BOT_CHALLENGE", None]
+
+
+def test_ablations_and_gate_equal_a_plain_fusion(spark):
+    import random
+
+    from tessera.operators import audits
+
+    rng = random.Random(3)
+    legs = [(q, d, b, r + 1) for q in range(6) for b in "xyz" for r, d in enumerate(rng.sample(range(12), 6))]
+    gold = [(q, rng.randrange(12)) for q in range(6) for _ in range(2)] + [(9, 1)]
+    variants = {"full": {"x": 1.0, "y": 0.5, "z": 0.2}, "no_x": {"x": 0, "y": 0.5, "z": 0.2}, "y": {"y": 1.0}, "none": {"w": 1.0}}
+
+    def plain(weights):
+        out = []
+        for q in sorted({q for q, _ in gold}):
+            score = {}
+            for a, d, b, r in legs:
+                if a == q and weights.get(b, 0) > 0:
+                    score[d] = score.get(d, 0) + weights[b] / (60 + r)
+            top = sorted(score, key=lambda d: (-round(score[d], 6), d))[:3]
+            want = {d for a, d in gold if a == q}
+            p, r = len(want & set(top)) / len(top) if top else 0, len(want & set(top)) / len(want)
+            out.append(5 * p * r / (4 * p + r) if p + r else 0)
+        return sum(out) / len(out)
+
+    got = audits.ablations(spark.createDataFrame(legs, "q int, d int, branch string, rank int"), variants, spark.createDataFrame(gold, "q int, d int"), "q", "d", 3, "full").collect()
+    want = {v: plain(w) for v, w in variants.items()}
+    assert {r.variant: (r.queries, r.f2, r.change) for r in got} == {v: (7, pytest.approx(f, abs=1e-6), pytest.approx(f - want["full"], abs=2e-6)) for v, f in want.items()}
+    side = lambda rows: spark.createDataFrame(rows, "slice string, value string, f2 double")
+    gate = audits.slice_gate(side([("l", "en", 0.5), ("l", "de", 0.5), ("l", "fr", 0.1)]), side([("l", "en", 0.495), ("l", "de", 0.4), ("l", "es", 1.0)]), 0.01)
+    assert {(r.value, r.passed) for r in gate.collect()} == {("en", True), ("de", False), ("fr", False), ("es", False)}
