@@ -140,7 +140,7 @@ def _gold_and_slices(spark, sf_dir):
 
 def _ranking(spark, sf_dir):
     docs, items = read(spark, sf_dir, "documents", "benchmark")
-    return R.ranked(R.bm25(items, "item_id", _words(), docs, "doc_id", _words()), "item_id", "doc_id", 5)
+    return R.bm25_topk(items, "item_id", _words(), docs, ["doc_id"], {"text": (_words(), 1.0)}, 5)
 
 
 @query(f"WITH {GOLD}, {TOP}, p AS (SELECT item_id, doc_id FROM r WHERE rank <= 5), {JUDGED} {SLICES}")
