@@ -88,13 +88,15 @@ def merged_runs(records: DataFrame, parts: DataFrame, key: str, run: str, first:
 FANOUT = 16
 
 
-def tree_digest(rows: DataFrame, key: str, columns: list[str], leaf: int = 1024) -> DataFrame:
+def tree_digest(rows: DataFrame, key: str, columns: list[str], leaf: int = 1024, deepest: int | None = None) -> DataFrame:
     """(digest, rows, keys): one digest of a set of rows, however large, the same for the same rows.
 
     A row's digest is that of its key and columns, each with its length in bytes before it. Equal digests are counted first, so copies are one
     entry. Entries go to leaves by the first digits of their digest, as many digits as leave about `leaf`
     entries in each; a leaf's digest is that of its entries in order, and sixteen nodes make one of the
-    level above. No buffer holds more than a leaf or sixteen digests. A null key is a key like any other.
+    level above. No buffer holds more than a leaf or sixteen digests. `deepest` fixes the most digits of a
+    leaf, for digests that must equal those of a tree of that height: its leaves then grow with the rows, as
+    one in 16 ** deepest of them. A null key is a key like any other.
     """
     value = lambda c: F.concat_ws(":", F.octet_length(F.col(c).cast("string")), F.col(c).cast("string"))
     part = lambda c: F.when(F.col(c).isNull(), "-").otherwise(value(c))
@@ -102,7 +104,7 @@ def tree_digest(rows: DataFrame, key: str, columns: list[str], leaf: int = 1024)
     entries = materialise(rows.select(F.sha2(text, 256).alias("h")).groupBy("h").agg(F.count("*").alias("n")), "entries")
     total, distinct = entries.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     depth = 0
-    while distinct > leaf * FANOUT**depth:
+    while distinct > leaf * FANOUT**depth and depth != deepest:
         depth += 1
     line = F.concat_ws(":", "h", "n")
     nodes = entries.groupBy(F.substring("h", 1, depth).alias("node")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("d"))
