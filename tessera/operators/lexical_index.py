@@ -138,8 +138,11 @@ def search(index: Index, queries: DataFrame, query_key: str, tokens: Column, k:
     judged = tops.join(floors, "q", "left").select("q", "segment", "block", (F.col("floor").isNull() | (F.col("top") >= F.col("floor"))).alias("open"))
     judged = materialise(judged, "blocks")
     opened = judged.where("open").drop("open")
-    # Their documents, in full; a block's entries are read once and meet the queries that opened it.
-    asks = opened.join(terms.drop("seed"), "q")
-    hits = entries.join(asks, ["term", "segment", "block"]).select("q", "weight", F.explode("entries").alias("e")).groupBy("q", "e.key").agg(F.sum(score).alias("score"))
+    # Their documents, in full: a block's entries meet there, so that what a query adds up in it needs no
+    # further shuffle, and each task sends on its k best alone.
+    open_to = opened.groupBy("segment", "block").agg(F.collect_set("q").alias("open"))
+    held = entries.join(wanted, "term", "left_semi").join(open_to, ["segment", "block"])
+    asks = held.join(terms.drop("seed"), "term").where(F.array_contains("open", F.col("q")))
+    hits = asks.select("segment", "block", "q", "weight", F.explode("entries").alias("e")).groupBy("segment", "block", "q", "e.key").agg(F.sum(score).alias("score"))
     found = ranked(hits.select(F.col("q").alias(query_key), F.col("key").alias(key), "score"), query_key, key, k)
     return found, judged.agg(F.count("*").alias("blocks"), F.count_if("open").alias("read"))
