@@ -10,6 +10,7 @@ the cells of a vector costs a fourth root's work instead of all.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -115,10 +116,10 @@ def trained(vectors: DataFrame, key: str, vector: str, total: int, cells: int, r
 
 
 class Index:
-    """centres, per-dimension low and step of the codes, and the table (key, cell, code)."""
+    """centres, sizes of the cells, per-dimension low and step of the codes, and the table (key, cell, code, vector)."""
 
-    def __init__(self, table: DataFrame, centres: Centres, low: np.ndarray, step: np.ndarray, key: str):
-        self.table, self.centres, self.low, self.step, self.key = table, centres, low, step, key
+    def __init__(self, table: DataFrame, centres: Centres, sizes: np.ndarray, low: np.ndarray, step: np.ndarray, key: str):
+        self.table, self.centres, self.sizes, self.low, self.step, self.key = table, centres, sizes, low, step, key
 
 
 def cells_of(n: int) -> int:
@@ -127,13 +128,14 @@ def cells_of(n: int) -> int:
 
 
 def build(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cells: int | None = None) -> Index:
-    """Codes are bytes over the range of each dimension; they only choose candidates. Null vectors, such
+    """Codes are bytes over the range of each dimension; they only choose candidates, which the vectors beside
+    them decide. Rows of a cell lie together in each file. Rows without a key, null vectors, such
     with null or non-finite components and such of a length that is not the commonest are not indexed."""
     spark = vectors.sparkSession
     ship_package(spark)
     lengths = vectors.where(F.size(vector) > 0).groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()
     d = lengths.d if lengths else 1
-    whole = vectors.where(whole_vectors(vector, d)).select(key, vector)
+    whole = vectors.where(whole_vectors(vector, d) & F.col(key).isNotNull()).select(key, F.col(vector).cast("array<double>").alias(vector))
     total = whole.count()
     centres = trained(whole, key, vector, total, min(total, cells or cells_of(total))) if total else Centres(np.zeros((1, d)))
     ranges = whole.select(F.posexplode(vector).alias("i", "x")).groupBy("i").agg(F.min("x").alias("low"), F.max("x").alias("high")).orderBy("i").collect()  # a row a dimension
@@ -147,64 +149,119 @@ def build(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", ce
             m = matrix(b.column(1))
             cell = c.nearest(m, 1)[:, 0] if len(m) else np.zeros(0, np.int32)
             code = np.clip(np.rint((m - low) / step), 0, 255).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cell), pa.array([r.tobytes() for r in code], pa.binary())], names=[key, "cell", "code"])
-
-    table = whole.mapInArrow(run, f"{key} {vectors.schema[key].dataType.simpleString()}, cell int, code binary")
-    return Index(materialise(table, "index"), centres, low, step, key)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cell), pa.array([r.tobytes() for r in code], pa.binary()), b.column(1)], names=[key, "cell", "code", "vector"])
+
+    kinds = f"{key} {vectors.schema[key].dataType.simpleString()}, cell int, code binary, vector array<double>"
+    table = materialise(whole.mapInArrow(run, kinds).sortWithinPartitions("cell"), "index")
+    sizes = np.zeros(len(centres), np.int64)
+    for cell, n in table.groupBy("cell").count().collect():  # a row a cell
+        sizes[cell] = n
+    return Index(table, centres, sizes, low, step, key)
+
+
+#: Queries that go to every task at once, their bits for the cells, and pairs of one tile.
+MOST, BITS, PAIRS = 20_000, 256_000_000, 1_000_000
+
+
+def candidates(index: Index, queries: DataFrame, k: int, probes: int, query_key: str = "query_id", vector: str = "embedding", least: int = 0, turn: int = 0) -> DataFrame:
+    """(query_key, key, score): the k best of each query in its cells, by exact inner product, from every task.
+
+    A query probes its `probes` nearest cells, twice as many as long as they hold fewer than `least` vectors
+    and there are more. Queries, at most MOST, go to every task with a bit for each query and cell; more are
+    taken in turns. A task reads its part of the index and scores each cell for the queries that probe it: a
+    vector whose code, with the most that it can be off, does not reach a query's k-th best so far is passed
+    over, the others are scored exactly. So no pair is a row of a shuffle but the k best of a task, and every
+    vector of a probed cell is judged. A task holds the queries, k results of each and one tile.
+    """
+    spark, key, low, step, centres, sizes = queries.sparkSession, index.key, index.low, index.step, index.centres, index.sizes
+    most = max(1, min(MOST, BITS // len(centres)))
+    asked = queries.where(whole_vectors(vector, len(low)) & F.col(query_key).isNotNull()).select(query_key, F.col(vector).cast("array<double>").alias(vector))
+    total = asked.count()
+    if total > most:
+        n = -(-total // most) * 2
+        own = F.pmod(F.xxhash64(query_key, vector, F.lit(turn)), F.lit(n))
+        return reduce(DataFrame.unionByName, [candidates(index, asked.where(own == i), k, probes, query_key, vector, least, turn + 1) for i in range(n)])
+    shared = spark.sparkContext.broadcast(centres)
 
+    def probe(batches):
+        c = shared.value
+        for b in batches:
+            for at in range(0, b.num_rows, 1024):
+                rows = b.slice(at, 1024)
+                m = matrix(rows.column(1))
+                met, short, p = np.zeros((len(m), len(c)), bool), np.arange(len(m)), probes
+                while len(short):
+                    near = c.nearest(m[short], p)
+                    met[short[:, None], near] = True
+                    short, p = short[sizes[near].sum(axis=1) < least] if p < len(c) else short[:0], 2 * p
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([r.tobytes() for r in np.packbits(met, axis=1)], pa.binary())], names=[query_key, vector, "cells"])
+
+    kind = queries.schema[query_key].dataType.simpleString()
+    got = asked.mapInArrow(probe, f"{query_key} {kind}, {vector} array<double>, cells binary").toArrow()
+    names = got.column(0).combine_chunks()
+    names = names.combine_chunks() if isinstance(names, pa.ChunkedArray) else names
+    m = matrix(got.column(1)) if len(names) else np.zeros((0, len(low)))
+    bits = np.frombuffer(b"".join(got.column(2).to_pylist()), np.uint8).reshape(len(names), -1)
+    bits = np.packbits(np.unpackbits(bits, axis=1, count=len(centres)), axis=0) if len(names) else np.zeros((0, len(centres)), np.uint8)
+    # half a step of a code a dimension, what rounding takes, and half of the last digit of a score
+    off = np.abs(m) @ (step / 2 + 1e-9 * (np.abs(low) + 255 * step)) + 1e-6
+    held = spark.sparkContext.broadcast((names, m, off, np.ascontiguousarray(bits.T)))
 
-def candidates(index: Index, queries: DataFrame, k: int, probes: int, query_key: str = "query_id", vector: str = "embedding") -> DataFrame:
-    """(query_key, key): the k best by codes of each query in each cell that it probes. A cell is
-    taken in slices of bounded size, so a crowded one is many groups."""
-    key, low, step, spark = index.key, index.low, index.step, queries.sparkSession
-    sizes = index.table.groupBy("cell").agg(F.ceil(F.count("*") / 65_536).cast("long").alias("parts"))
-    dealt = index.table.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64(key), F.col("parts")))
-    shared = spark.sparkContext.broadcast(index.centres)
+    def run(batches):
+        names_, q, off_, bits_ = held.value
+        n, floor, waiting, size, kind_ = len(names_), np.full(len(names_), -np.inf), [], 0, None
+
+        def best(waiting):
+            """The k best of each query; ties go to the smaller key."""
+            own, s, keys = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            order = np.lexsort((keys, -s, own))
+            own, s, keys = own[order], s[order], keys[order]
+            begins = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            rank = np.arange(len(own)) - np.repeat(begins, np.diff(np.r_[begins, len(own)]))
+            floor[own[rank == k - 1]] = s[rank == k - 1]
+            return [(own[rank < k], s[rank < k], keys[rank < k])]
 
-    def probe(batches):
         for b in batches:
-            near = shared.value.nearest(matrix(b.column(1)), probes) if b.num_rows else np.zeros((0, 1), np.int32)
-            again = pa.array(np.repeat(np.arange(b.num_rows), near.shape[1]))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(again), b.column(1).take(again), pa.array(near.ravel(), pa.int32())], names=[query_key, vector, "cell"])
-
-    asked = queries.where(whole_vectors(vector, len(low))).select(query_key, F.col(vector).cast("array<double>").alias(vector))
-    asked = asked.mapInArrow(probe, f"{query_key} {queries.schema[query_key].dataType.simpleString()}, {vector} array<double>, cell int")
-    asked = asked.join(sizes, "cell").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-
-    def run(q: pa.Table, v: pa.Table) -> pa.Table:
-        if not q.num_rows or not v.num_rows:
-            return pa.table({query_key: q.column(query_key).slice(0, 0), key: v.column(key).slice(0, 0)})
-        m = np.frombuffer(b"".join(v.column("code").to_pylist()), np.uint8).reshape(v.num_rows, -1) * step + low
-        s = matrix(q.column(vector)) @ m.T
-        n = min(k, s.shape[1])
-        best = np.argpartition(-s, n - 1, axis=1)[:, :n]
-        return pa.table({query_key: q.column(query_key).take(pa.array(np.repeat(np.arange(len(s)), n))), key: v.column(key).take(pa.array(best.ravel()))})
-
-    kinds = f"{query_key} {queries.schema[query_key].dataType.simpleString()}, {key} {index.table.schema[key].dataType.simpleString()}"
-    return asked.groupBy("cell", "part").cogroup(dealt.select(key, "cell", "part", "code").groupBy("cell", "part")).applyInArrow(run, kinds)
-
-
-def full_candidates(index: Index, queries: DataFrame, k: int, probes: int, query_key: str = "query_id", vector: str = "embedding") -> DataFrame:
-    """Candidates of every query, at least k of each that has so many: probes are doubled for the queries
-    that fell short, and for those alone, until they have k or have seen all cells."""
-    pending, found = queries, None
-    while True:
-        got = materialise(candidates(index, pending, 4 * k, probes, query_key, vector).distinct(), "candidates")
-        counts = got.groupBy(query_key).agg(F.count("*").alias("__n")).where(F.col("__n") >= k)
-        if probes >= len(index.centres):
-            return got if found is None else found.unionByName(got)
-        done = got.join(counts.select(query_key), query_key, "left_semi")
-        found = done if found is None else found.unionByName(done)
-        pending = materialise(pending.where(whole_vectors(vector, len(index.low))).join(counts.select(query_key), query_key, "left_anti"), "pending")
-        if pending.isEmpty():
-            return found
-        probes *= 2
+            if not b.num_rows or not n:
+                continue
+            kind_ = b.schema.field(0).type
+            cell = b.column(1).to_numpy(zero_copy_only=False)
+            order = np.argsort(cell, kind="stable")
+            cell, keys, v = cell[order], np.array(b.column(0).to_pylist())[order], matrix(b.column(3))[order]
+            code = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint8).reshape(len(cell), -1)[order]
+            begins = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+            for a, z in zip(begins, [*begins[1:], len(cell)], strict=True):
+                own = np.flatnonzero(np.unpackbits(bits_[cell[a]], count=n))
+                for i in range(0, len(own), PAIRS):
+                    ask = own[i : i + PAIRS]
+                    qs, width = q[ask], max(1, PAIRS // len(ask))
+                    for x in range(a, z, width):
+                        y = min(x + width, z)
+                        near = qs @ (code[x:y] * step + low).T + off_[ask, None] >= floor[ask, None]
+                        r, c = np.nonzero(near)
+                        few = len(r) * q.shape[1] <= near.size
+                        s = np.round(np.einsum("ij,ij->i", qs[r], v[x + c]) if few else (qs @ v[x:y].T)[r, c], 6)
+                        good = s >= floor[ask[r]]
+                        if good.any():
+                            waiting.append((ask[r[good]], s[good], keys[x + c[good]]))
+                            size += int(good.sum())
+                        if size > max(retrieval.WAITING, 2 * k * n):
+                            waiting = best(waiting)
+                            size = len(waiting[0][0])
+        if waiting:
+            ((own, s, keys),) = best(waiting)
+            for i in range(0, len(own), 65_536):
+                part = slice(i, i + 65_536)
+                yield pa.RecordBatch.from_arrays([names_.take(pa.array(own[part])), pa.array(keys[part].tolist(), kind_), pa.array(s[part])], names=[query_key, key, "score"])
+
+    return index.table.mapInArrow(run, f"{query_key} {kind}, {key} {index.table.schema[key].dataType.simpleString()}, score double")
 
 
 def search(index: Index, queries: DataFrame, vectors: DataFrame, k: int, probes: int, query_key: str = "query_id", vector: str = "embedding") -> DataFrame:
-    """The k best of each query among its candidates, four times as many a cell, by exact inner product."""
-    found = full_candidates(index, queries, k, probes, query_key, vector)
-    return retrieval.ranked(retrieval.rescore(found, queries, vectors, query_key, index.key, vector), query_key, index.key, k)
+    """(query_key, key, score, rank): the k best of each query in the cells that it probes, by exact inner
+    product; probes are doubled for the queries whose cells hold fewer than k, and for those alone. `vectors`
+    is what was indexed: the index holds them beside their codes, so they are not joined."""
+    return retrieval.ranked(candidates(index, queries, k, probes, query_key, vector, k), query_key, index.key, k)
 
 
 def gated_search(index: Index, queries: DataFrame, vectors: DataFrame, k: int, probes: int = 4, least: float = 0.95, sample: int = 8, query_key: str = "query_id", vector: str = "embedding") -> tuple[DataFrame, float, int]:
