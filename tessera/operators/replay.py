@@ -110,14 +110,15 @@ def sweep(hits: DataFrame, docs: DataFrame, gold: DataFrame, query: str, doc: st
     spark = hits.sparkSession
     ranges = merged(parents(hits, docs, doc, text, variants=variants, **layout), query, doc, rank, variants)
     ranges = materialise(ranges.groupBy("variant", query, doc, "parent", "start_char", "end_char").agg(F.min(rank).alias(rank)), "replay")
-    words = F.expr("substring(t, start_char + 1, end_char - start_char)")
     from tessera.functions.text import words as tokens_of
 
     source = docs.select(doc, F.col(text).alias("t"))
-    passages_ = ranges.join(source, doc).withColumn("tokens", tokens_of(words)).drop("t").withColumn("asked", F.struct("variant", query))
-    passages_ = passages_.select(F.concat_ws("\x1f", "variant", F.col(query).cast("string")).alias("asked"), "variant", query, doc, "parent", rank, "tokens")
-    chosen = retrieval.select_passages(passages_, "asked", doc, "parent", "tokens", rank, per_doc, most, threshold)
-    kept = materialise(passages_.join(chosen.select("asked", doc, "parent", "place"), ["asked", doc, "parent"]), "replay")
+    ranges = ranges.withColumn("asked", F.concat_ws("\x1f", "variant", F.col(query).cast("string")))
+    with_text = lambda rows: rows.join(source, doc).withColumn("text", F.expr("substring(t, start_char + 1, end_char - start_char)")).drop("t")
+    chosen = retrieval.select_passages(with_text(ranges), "asked", doc, "parent", tokens_of(F.col("text")), rank, per_doc, most, threshold)
+    chosen = materialise(chosen.select("asked", doc, "parent", "place"), "replay")
+    # texts are read again for what was chosen alone
+    kept = materialise(with_text(ranges.join(chosen, ["asked", doc, "parent"])).withColumn("tokens", tokens_of(F.col("text"))).drop("text", "start_char", "end_char"), "replay")
     names = spark.createDataFrame([(named(t, c), t, c or 0) for t, c in variants], "variant string, size int, cap int")
     wanted = gold.join(F.broadcast(names.select("variant")), how="cross").withColumn("asked", F.concat_ws("\x1f", "variant", F.col(query).cast("string")))  # a handful of variants
     by_chunk = evaluation.chunk_metrics(kept, wanted, "asked", doc, "tokens").select("asked", F.col("f2").alias("chunk"))
