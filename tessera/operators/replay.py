@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import passages, spans
-from tessera.session import materialise, ship_package
+from tessera.session import materialise, sent_if_few, ship_package
 
 #: (parent tokens, merge cap): sizes alone, then the usual size with merging.
 VARIANTS = ((256, None), (384, None), (512, None), (640, None), (768, None), (512, 768))
@@ -54,7 +54,7 @@ def parents(hits: DataFrame, docs: DataFrame, doc: str, text: str, chunk: str =
         return pd.Series([of(t, list(o)) for t, o in zip(texts, orders, strict=True)])
 
     wanted = hits.groupBy(doc).agg(F.array_sort(F.collect_set(F.col(chunk).cast("int"))).alias("orders"))  # one tokenisation a document
-    found = docs.select(doc, F.col(text).alias("t")).join(wanted, doc).select(doc, F.explode(find("t", "orders")).alias("s"))
+    found = docs.select(doc, F.col(text).alias("t")).join(sent_if_few(wanted, hits), doc).select(doc, F.explode(find("t", "orders")).alias("s"))
     found = found.select(doc, F.col("s.chunk").alias(chunk), F.col("s.section").alias("section"), "s.span.*")
     return hits.withColumn(chunk, F.col(chunk).cast("int")).join(found, [doc, chunk])
 
