@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import posixpath
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,19 +33,85 @@ def read_parts(spark: SparkSession, root: str, parts: list[str], schema: StructT
     return reader.load(confined(root, parts))
 
 
+#: Bytes of a file that are held at once while it is hashed, and schemes of files that executors open by themselves.
+PIECE, OPENED = 1 << 20, ("file",)
+
+
+def hashed(spark: SparkSession, rows: list[tuple[str, str, str | None]]) -> DataFrame:
+    """(name, expected, found) of rows (name, path, expected): the SHA-256 of each file, null for one that
+    is missing, read in pieces, so that memory does not grow with the file. Files of the shared folder
+    are hashed in tasks, one each; those of other file systems by the driver's Hadoop client, as
+    Spark's own reader of binary files holds a file as one value."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def located(path):
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        uri = target.getFileSystem(conf).makeQualified(target).toUri()
+        return uri.getScheme(), uri.getPath()
+
+    def streamed(path):
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        system = target.getFileSystem(conf)
+        if not system.exists(target):
+            return None
+        stream = system.open(target)
+        try:
+            return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+        finally:
+            stream.close()
+
+    near, far = [], []
+    for name, path, expected in rows:
+        scheme, plain = located(path)
+        if scheme in OPENED:
+            near.append((name, plain, expected))
+        else:
+            far.append((name, expected, path))
+    with ThreadPoolExecutor(4) as pool:
+        digests = list(pool.map(streamed, [path for *_, path in far]))
+    piece = PIECE
+
+    def read(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        def digest(path):
+            try:
+                with open(path, "rb") as f:
+                    h = hashlib.sha256()
+                    while data := f.read(piece):
+                        h.update(data)
+                    return h.hexdigest()
+            except FileNotFoundError:
+                return None
+
+        for batch in batches:
+            names, paths, expected = batch.columns
+            yield pa.RecordBatch.from_arrays([names, expected, pa.array([digest(p) for p in paths.to_pylist()], pa.string())], names=["name", "expected", "found"])
+
+    schema = "name string, expected string, found string"
+    local = spark.createDataFrame(near, "name string, path string, expected string").repartition(max(1, len(near)))
+    return local.mapInArrow(read, schema).unionByName(spark.createDataFrame([(n, e, d) for (n, e, _), d in zip(far, digests, strict=True)], schema))
+
+
 def damaged_parts(spark: SparkSession, root: str, digests: dict[str, str]) -> DataFrame:
-    """(path, expected, found) of parts whose SHA-256 is not the manifest's; files are hashed by the
-    executors that read them."""
+    """(name, expected, found) of parts whose SHA-256 is not the manifest's."""
     paths = confined(root, list(digests))
-    want = spark.createDataFrame([(posixpath.basename(p), d) for p, d in zip(paths, digests.values(), strict=True)], "name string, expected string")
-    found = spark.read.format("binaryFile").load(paths).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("found"))
-    return want.join(found, "name", "left").where(~F.col("expected").eqNullSafe(F.col("found")))
+    rows = hashed(spark, [(posixpath.basename(p), p, d) for p, d in zip(paths, digests.values(), strict=True)])
+    return rows.where(~F.col("expected").eqNullSafe(F.col("found")))
 
 
 def part_digests(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """SHA-256 of each file by name, hashed where it is read; one row a file reaches the driver."""
-    rows = spark.read.format("binaryFile").load(paths).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("digest")).collect()
-    return {r["name"]: r["digest"] for r in rows}
+    """SHA-256 of each file by name; paths may be patterns. One row a file reaches the driver."""
+    jvm, rows = spark.sparkContext._jvm, []
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        met = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
+        if not met:
+            raise FileNotFoundError(path)
+        rows += [(s.getPath().getName(), s.getPath().toString(), None) for s in met]
+    return {r["name"]: r["found"] for r in hashed(spark, rows).collect()}
 
 
 def read_checked(spark: SparkSession, root: str, digests: dict[str, str], schema: StructType | str | None = None) -> DataFrame:
